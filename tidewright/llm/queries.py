@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
-from tidewright.llm.common import table
+from tidewright.llm import langid, quality
+from tidewright.llm.common import is_held_out, table
 from tidewright.llm.exact_dedup import exact_groups
 from tidewright.llm.secrets import scan_secrets
 
 
+def op1_quality_classifier(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    marked = labels.filter(~is_held_out()).select("doc_id", "quality")
+    net = quality.fit(docs.select("doc_id", "text").join(marked, "doc_id"))
+    return quality.score(docs, net).withColumn("held_out", is_held_out())
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~is_held_out()))
+    return langid.identify(docs, model).withColumn("held_out", is_held_out())
+
+
 def op10_secret_scan(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
 def queries():
-    return {f.__name__: f for f in (op3_exact_dedup, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op5_language_id, op10_secret_scan)}
 
 
 def oracle_sql():
