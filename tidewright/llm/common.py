@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,18 @@ def drop_staged(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int):
+    """While it lasts, Arrow batches have at most n rows, which bounds memory where rows hold long lists."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fresh(taken, *names: str) -> list[str]:
     """The names, each lengthened until no column in taken has it."""
     used, out = {c.lower() for c in taken}, []

@@ -6,15 +6,16 @@ intersection. Only entries that can reach the threshold are formed:
 1. Documents with one shingle set are one class, and one row of the matrix.
 2. Columns are ordered from rare to common by a sketch of how many documents hold them. Two rows that link share a
    column among the first n - ceil(0.75 n) + 1 of each, so the product runs over these leading columns alone.
-3. A first product takes a row's few leading columns and pairs it with two rows of each block; what it links are
-   the tight groups, which then count as one.
-4. The second product runs over all leading columns, between rows not yet in one component, and adds up the columns
-   that a pair shares. A pair goes on only if its sizes allow the threshold and the columns counted so far, with all
-   that may be left, reach the overlap the sizes ask for.
-5. What is left is confirmed on whole sets, block by block, and components of the links are taken.
+3. A short column, with up to SHORT rows, gives its pairs of rows, whose shared columns are added up. A pair goes on
+   only if its sizes allow the threshold and the columns counted so far, with all that may be left, reach the overlap
+   the sizes ask for. It is then confirmed on whole sets.
+4. The rows of a long column form a tile with those of other long columns that have the same central row. A tile is
+   cut into blocks of bounded size; each pair of blocks is multiplied on whole sets within one task, which hands on
+   the links that connect its rows, never all pairs.
+5. The components of all links are taken.
 
-No link between different components is lost: steps 2 and 4 discard only pairs that cannot link, and step 3 leaves
-out only pairs that are in one component already.
+Steps 2 and 3 discard only pairs that cannot link, and two rows that share a leading column meet in step 3 or 4, so
+no link between different components is lost.
 
 Defined cases: a null text counts as empty; a document without words has an empty set and links with nothing; one
 with fewer words than a shingle has its whole sequence as its one shingle; rows with null or repeated ids are rows like
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import drop_staged, fresh, stage
+from tidewright.llm.common import batch_rows, drop_staged, fresh, stage
 from tidewright.llm.components import components
 from tidewright.llm.shingles import parts_of, set_digests, shingle_sets
 
@@ -37,7 +38,11 @@ from tidewright.llm.shingles import parts_of, set_digests, shingle_sets
 THRESHOLD = 75
 _SKETCH_BITS = 19
 _SKETCH_ROWS = 256
-_LEADING = 4  # columns of the first product
+#: Rows up to which a column gives pairs; longer ones are multiplied in blocks.
+SHORT = 32
+_BLOCK_GRAMS, _BLOCK_ROWS = 200_000, 1000  # shingles and rows in a block, about
+_COLUMNS_AT_ONCE = 1024
+_BATCH = 512
 #: Ids that may be broadcast as a filter (8 bytes each); more are joined by a shuffle.
 _MOST_BROADCAST = 1_000_000
 
@@ -141,43 +146,86 @@ def _overlaps(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["u", "v"])
 
 
-def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, as (u, v)."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    grams = stage(_whole_sets(docs, nodes.select("node", "id", "d1", "d2").join(ends, "node")), "sets")
-    joined = pairs.join(grams.withColumnRenamed("node", "b").withColumnRenamed("grams", "grams_b"), "b").join(grams.withColumnRenamed("node", "a").withColumnRenamed("grams", "grams_a"), "a")
-    links = stage(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(_overlaps, "u long, v long"), "links")
-    drop_staged(grams)
-    return links
-
-
 def _fits(n: str, m: str) -> str:
     return f"100 * least({n}, {m}) >= {THRESHOLD} * greatest({n}, {m})"
 
 
-def _first_pairs(nodes: DataFrame) -> DataFrame:
-    """Each row with the least and the greatest row that shares a leading column and lies in one of two overlapping
-    classes of size."""
-    scale = F.log("n") / float(np.log(100 / THRESHOLD))
-    keyed = nodes.select("node", "n", F.explode(F.slice("lead", 1, _LEADING)).alias("column")).withColumn("size_class", F.explode(F.array(F.floor(scale) * 2, F.floor(scale + 0.5) * 2 + 1)))
-    ends = keyed.groupBy("column", "size_class").agg(F.min(F.struct("node", "n")).alias("lo"), F.max(F.struct("node", "n")).alias("hi")).filter("lo.node < hi.node")
-    met = keyed.join(ends, ["column", "size_class"]).select("node", "n", F.explode(F.array("lo", "hi")).alias("x"))
-    return met.filter(f"node <> x.node and {_fits('n', 'x.n')}").select(F.least("node", "x.node").alias("a"), F.greatest("node", "x.node").alias("b")).distinct()
-
-
-def _second_pairs(nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of rows in different components that share enough leading columns."""
-    cells = nodes.select(F.explode("lead").alias("column"), "node", "n")
-    shared = cells.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("column"))).filter("rows > 1").drop("rows")
-    shared = shared.join(roots, "node", "left").select("column", "node", "n", F.coalesce("root", "node").alias("root"))
-    shared = stage(shared, "cells")
-    mixed = shared.groupBy("column").agg(F.min("root").alias("r"), F.max("root").alias("s")).filter("r < s").select("column")
-    left = shared.join(mixed, "column").select("column", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    right = shared.select("column", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
-    met = left.join(right, "column").filter(f"a < b and root_a <> root_b and {_fits('n_a', 'n_b')}")
+def _short_pairs(cells: DataFrame) -> DataFrame:
+    """Pairs (a, b) of rows that share short columns and can reach the threshold. Long columns count as shared."""
+    long = cells.groupBy("node").agg(F.count_if(F.col("rows") > SHORT).alias("long"))
+    short = cells.filter(f"rows <= {SHORT}").select("column", "node", "n")
+    left, right = short.withColumnsRenamed({"node": "a", "n": "n_a"}), short.withColumnsRenamed({"node": "b", "n": "n_b"})
+    met = left.join(right, "column").filter(f"a < b and {_fits('n_a', 'n_b')}")
     counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("both"))
+    for x in "ab":
+        counted = counted.join(long.withColumnsRenamed({"node": x, "long": f"long_{x}"}), x)
     rest = lambda n: f"((({THRESHOLD} * {n} + 99) div 100) - 1)"  # noqa: E731  columns past the leading ones
-    return counted.filter(f"{100 + THRESHOLD} * (both + greatest({rest('n_a')}, {rest('n_b')})) >= {THRESHOLD} * (n_a + n_b)").select("a", "b")
+    most = f"both + least(long_a, long_b) + greatest({rest('n_a')}, {rest('n_b')})"
+    return counted.filter(f"{100 + THRESHOLD} * ({most}) >= {THRESHOLD} * (n_a + n_b)").select("a", "b")
+
+
+def _tiles(cells: DataFrame) -> DataFrame:
+    """(tile, node, n): rows of long columns, by the row of each column that shares most of its own."""
+    central = cells.groupBy("node").agg((F.count(F.lit(1)) / F.any_value("n")).alias("shared"))
+    long = cells.filter(f"rows > {SHORT}").join(central, "node")
+    heart = long.groupBy("column").agg(F.max(F.struct("shared", "node"))["node"].alias("tile"))
+    return long.join(heart, "column").select("tile", "node", "n").distinct()
+
+
+def _block_pairs(tiles: DataFrame) -> DataFrame:
+    """(tile, i, j, side, node): every row of a tile once for each pair of blocks that its own block is in."""
+    sizes = tiles.groupBy("tile").agg(F.ceil(F.greatest(F.sum("n") / _BLOCK_GRAMS, F.count(F.lit(1)) / _BLOCK_ROWS)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    cut = tiles.join(sizes, "tile").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
+
+
+def _multiply(key, rows):
+    """The links that connect the rows (node, grams) of a pair of blocks: each component's rows with its least."""
+    order = np.argsort(np.asarray(rows.column("node")))
+    nodes = np.asarray(rows.column("node"))[order]
+    lists = rows.column("grams").combine_chunks().take(pa.array(order))
+    values, at = np.asarray(lists.flatten()), np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
+    n, owner = np.diff(at), np.repeat(np.arange(len(nodes)), np.diff(at))
+    _, column, rows_in = np.unique(values, return_inverse=True, return_counts=True)
+    shared = rows_in[column] > 1
+    column, owner = (np.cumsum(rows_in > 1) - 1)[column[shared]], owner[shared]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    both = np.zeros((len(nodes), len(nodes)), np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS_AT_ONCE):
+        lo, hi = np.searchsorted(column, [a, a + _COLUMNS_AT_ONCE])
+        block = np.zeros((len(nodes), _COLUMNS_AT_ONCE), np.float32)
+        block[owner[lo:hi], column[lo:hi] - a] = 1
+        both += block @ block.T
+    linked = (100 + THRESHOLD) * both >= THRESHOLD * (n[:, None] + n[None, :])
+    least = np.arange(len(nodes))
+    while True:
+        new = np.array([least[row].min() if row.any() else i for i, row in enumerate(linked)])
+        new = np.minimum(least, new)[np.minimum(least, new)]
+        if (new == least).all():
+            break
+        least = new
+    some = least != np.arange(len(nodes))
+    return pa.table({"u": pa.array(nodes[some]), "v": pa.array(nodes[least[some]])})
+
+
+def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (u, v) with the same components as all links between nodes (node, id, n, d1, d2, lead)."""
+    every = nodes.select(F.explode("lead").alias("column"), "node", "n")
+    cells = stage(every.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("column"))).filter("rows > 1"), "cells")
+    pairs, tiles = stage(_short_pairs(cells), "pairs"), stage(_tiles(cells), "tiles")
+    drop_staged(cells)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(tiles.select("node")).distinct()
+    with batch_rows(docs.sparkSession, _BATCH):
+        grams = stage(_whole_sets(docs, nodes.select("node", "id", "d1", "d2").join(ends, "node")), "sets")
+        named = lambda x: grams.withColumnsRenamed({"node": x, "grams": f"grams_{x}"})
+        joined = pairs.join(named("b"), "b").join(named("a"), "a").select("a", "b", "grams_a", "grams_b")
+        confirmed = stage(joined.mapInArrow(_overlaps, "u long, v long"), "links")
+        blocks = _block_pairs(tiles).join(grams, "node").groupBy("tile", "i", "j").applyInArrow(_multiply, "u long, v long")
+        connected = stage(blocks.distinct(), "links")
+    drop_staged(grams)
+    return confirmed.unionByName(connected)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,14 +245,7 @@ def _members(docs: DataFrame) -> DataFrame:
     told = stage(told.withColumn("node", F.coalesce("node", "row")), "classes")
     drop_staged(rows)
     nodes = told.filter("lead is not null and n > 0")
-    pairs = stage(_first_pairs(nodes), "pairs")
-    links = _confirmed(docs, nodes, pairs)
-    drop_staged(pairs)
-    roots = components(links)
-    pairs = stage(_second_pairs(nodes, roots), "pairs")
-    if not pairs.isEmpty():
-        more = _confirmed(docs, nodes, pairs)
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    roots = components(_links(docs, nodes))
     rows = told.select("id", "n", "row", "node").join(roots, "node", "left").select("id", "n", "row", F.coalesce("root", "node").alias("root"))
     least = rows.groupBy("root").agg(F.min("id").alias("component_id"))
     return rows.join(least, "root")
