@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.llm import langid, quality
+from tidewright.llm import decontam, langid, quality
 from tidewright.llm.common import is_held_out, table
 from tidewright.llm.exact_dedup import exact_groups
 from tidewright.llm.ngram_join import jaccard_components
@@ -26,6 +26,10 @@ def op5_language_id(spark, sf_dir):
     return langid.identify(docs, model).withColumn("held_out", is_held_out())
 
 
+def op6_decontamination(spark, sf_dir):
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_secret_scan(spark, sf_dir):
 
 
 def queries():
-    return {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op5_language_id, op7_ngram_jaccard_join, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op10_secret_scan)}
 
 
 def oracle_sql():

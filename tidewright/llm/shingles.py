@@ -42,9 +42,10 @@ def parts_of(column: pa.Array):
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word of every row, lower-cased in A-Z, and the rows' offsets in them."""
-    is_word = _IS_WORD[data]
+def word_hashes(data: np.ndarray, offsets: np.ndarray, in_words: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of every row, lower-cased in A-Z, and the rows' offsets in them. in_words: for each byte
+    whether words are made of it."""
+    is_word = in_words[data]
     begins = is_word.copy()
     begins[1:] &= ~is_word[:-1]
     heads = offsets[:-1][np.diff(offsets) > 0]
