@@ -7,7 +7,7 @@ side word for word, and the stretch is reported if enough of it agrees, so a few
 Training texts pass a bitmap of the test hashes first (fixed size, so it may be broadcast whatever the benchmark's);
 what passes is joined with the test hashes by a shuffle and verified.
 
-Words are runs of letters and digits, lower-cased in A-Z; every character outside ASCII counts as a letter. A test item with fewer words than a mask is looked for as a whole.
+Words are runs of letters and digits, lower-cased; every character outside ASCII counts as a letter. A test item with fewer words than a mask is looked for as a whole.
 Defined cases: null and empty texts match nothing; an item without words matches nothing; rows that share an id are judged together, and each
 gets its own row; documents without a match have contaminated = false and null details.
 """
@@ -83,7 +83,7 @@ def _test_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     item = T.StructField("item", benchmark.schema[id_col].dataType)
     schema = T.StructType([item, *T._parse_datatype_string("mask int, seed long, at int, words array<long>, size int").fields])
-    return benchmark.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(seeds, schema)
+    return benchmark.select(F.col(id_col), F.lower(F.col(text_col).cast("string"))).mapInPandas(seeds, schema)
 
 
 def _bitmap(tests: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -167,7 +167,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_i
     tests = stage(_test_seeds(benchmark, item_col, item_text), "test-seeds")
     bitmap, short = _bitmap(tests)
     known = tests.select("item", "seed", F.col("at").alias("item_at"), F.col("words").alias("item_words"), "size")
-    pairs = _hits(docs, bitmap, short).join(known, "seed")
+    pairs = _hits(docs.select("row", F.lower("text")), bitmap, short).join(known, "seed")
     item = tests.schema["item"]
     schema = T.StructType([docs.schema["row"], item, *T._parse_datatype_string("word_start int, word_end int, agreeing int").fields])
     return pairs.select("row", "at", "words", "start", "item", "item_at", "item_words", "size").mapInPandas(_verified, schema).distinct()
