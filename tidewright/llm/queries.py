@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidewright.llm import decontam, langid, quality
-from tidewright.llm.common import is_held_out, table
+from tidewright.llm import chat, decontam, langid, licenses, quality, sentencepiece_codec, warc
+from tidewright.llm.common import is_held_out, new_path, table
 from tidewright.llm.exact_dedup import exact_groups
 from tidewright.llm.ngram_join import jaccard_components
 from tidewright.llm.secrets import scan_secrets
@@ -16,10 +16,21 @@ def op1_quality_classifier(spark, sf_dir):
     return quality.score(docs, net).withColumn("held_out", is_held_out())
 
 
+def op2_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.encode(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_formatting(spark, sf_dir):
+    both = "\\### Assistant: </turn> ok"
+    added = spark.sql("SELECT CAST(-7 AS BIGINT) AS conv_id, CAST(k AS BIGINT) AS turn, role, :both AS text FROM VALUES (0, 'user'), (1, 'assistant') AS t(k, role)", args={"both": both})
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(rows.unionByName(added)))
+
+
 def op5_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(~is_held_out()))
@@ -34,12 +45,22 @@ def op7_ngram_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark, sf_dir):
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
 def queries():
-    return {f.__name__: f for f in (op1_quality_classifier, op3_exact_dedup, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan)}
 
 
 def oracle_sql():
@@ -47,4 +68,21 @@ def oracle_sql():
         "op3_exact_dedup": """
             SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
             FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW g AS (PARTITION BY t)""",
+        "op4_chat_formatting": r"""
+            WITH c AS (
+                SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                UNION ALL SELECT -7, k, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(k, r)),
+            e AS (SELECT *, length(text) + length(regexp_replace(text, '[^\\<#]', '', 'g')) + length(role) + length(regexp_replace(role, '[^\\<#:\n]', '', 'g')) + 14 AS chars FROM c)
+            SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+                CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+                sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+                CAST(sum(chars) AS BIGINT) AS formatted_chars, false AS rewrites_history
+            FROM e GROUP BY conv_id""",
+        "op8_warc": """
+            WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+            o AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS owner FROM p)
+            SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+                array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, CAST((i // 4) * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
+                CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> owner THEN owner END AS refers_to, true AS complete
+            FROM o""",
     }
