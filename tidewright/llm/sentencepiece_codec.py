@@ -14,20 +14,22 @@ to its normalised form, which `exact` compares with the text itself.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 import struct
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import fresh
+from tidewright.llm.common import slices
 
 #: Where the public tokenizer files are; a parameter of every function that reads one.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,8 +37,8 @@ MARK = "▁"
 #: Kinds of pieces and of models, as the public protobuf definition numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words that a task keeps encoded, about 75 MB.
-_CACHE_WORDS = 300_000
+#: Words that a task keeps encoded, about 30 MB, and characters that it encodes at once.
+_CACHE_WORDS, _CHARS_AT_ONCE = 150_000, 1 << 19
 
 
 def _fields(data: bytes):
@@ -141,7 +143,7 @@ class Codec:
         self.tokenizer, self.normalise = build(self.model), normalizer(self.model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.threads = threads
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit little-endian numbers
         self.apart: set[str] = set()  # words whose ids aren't the library's
         self.pieces = [p for p, _, _ in self.model.pieces]
         self.kinds = [k for _, _, k in self.model.pieces]
@@ -161,18 +163,18 @@ class Codec:
         new = [w for w in words if w not in self.known]
         ours = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         for word, e, theirs in zip(new, ours, self._reference_ids(new), strict=True):
-            self.known[word] = ids = e.ids
-            if ids != theirs:
+            self.known[word] = struct.pack(f"<{len(e.ids)}i", *e.ids)
+            if e.ids != theirs:
                 self.apart.add(word)
 
-    def encode_batch(self, texts: list[str | None]) -> list[tuple[list[int], bool]]:
+    def encode_batch(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool]]:
         """(ids, parity) of each text."""
         if len(self.known) > _CACHE_WORDS:
             self.known.clear()
         split = [_WORDS.findall(self.normalise(t or "")) for t in texts]
         self.learn(set().union(*split))
         ids_of = self.known.__getitem__
-        return [(list(chain.from_iterable(map(ids_of, words))), self.apart.isdisjoint(words)) for words in split]
+        return [(np.frombuffer(b"".join(map(ids_of, words)), "<i4"), self.apart.isdisjoint(words)) for words in split]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes put together (what isn't UTF-8 becomes U+FFFD), markers as spaces, the first one off."""
@@ -191,34 +193,32 @@ def _codec(path: str, threads: int) -> Codec:
 
 
 
-def _encoded(model_path: str, threads: int, with_tokens: bool):
-    import hashlib
-
-    @F.pandas_udf("n_tokens long, token_sha256 string, parity boolean, exact boolean" + ", tokens array<int>" * with_tokens)
-    def encode(texts: pd.Series) -> pd.DataFrame:
-        codec = _codec(model_path, threads)
-        rows = []
-        values = [t if isinstance(t, str) else "" for t in texts]
-        at = 0
-        while at < len(values):
-            end, size = at, 0
-            while end < len(values) and (end == at or size + len(values[end]) <= 1 << 20):
-                size += len(values[end])
-                end += 1
-            for text, (ids, same) in zip(values[at:end], codec.encode_batch(values[at:end]), strict=True):
-                ids32 = np.array(ids, np.int32)
-                rows.append((len(ids), hashlib.sha256(ids32.astype("<i4").tobytes()).hexdigest(), same, codec.decode(ids) == text, *([ids32] * with_tokens)))
-            at = end
-        return pd.DataFrame(rows, columns=["n_tokens", "token_sha256", "parity", "exact", *["tokens"] * with_tokens])
-
-    return encode
-
-
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = DEFAULT_MODEL, threads: int = 2, with_tokens: bool = False) -> DataFrame:
     """One row per row of docs: id_col, n_tokens, token_sha256 (of the ids as 32-bit little-endian numbers), parity (every
     word's ids are those of the SentencePiece library), exact (the ids decode to the text itself), and tokens if asked."""
-    (e,) = fresh([id_col], "encoded")
-    return docs.select(F.col(id_col), _encoded(model_path, threads, with_tokens)(F.col(text_col).cast("string")).alias(e)).select(F.col(id_col), f"{e}.*")
+    added = "n_tokens long, token_sha256 string, parity boolean, exact boolean" + ", tokens array<int>" * with_tokens
+    schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(added).fields])
+
+    def encoded(batches):
+        codec = _codec(model_path, threads)
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            for a, b in slices(lengths, _CHARS_AT_ONCE):
+                texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
+                found = codec.encode_batch(texts)
+                ids = [x for x, _ in found]
+                columns = [
+                    batch.column(0).slice(a, b - a),
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]),
+                    pa.array([same for _, same in found]),
+                    pa.array([codec.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]),
+                ]
+                if with_tokens:
+                    columns.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32), pa.array(np.concatenate(ids))))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(encoded, schema)
 
 
 def decode(rows: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", model_path: str = DEFAULT_MODEL, threads: int = 2) -> DataFrame:
