@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.llm.common import bound_batches
+
 Messages = list[tuple[str, str]]
 WINDOW = 32
 #: Characters of control strings and what stands for them inside texts and roles.
@@ -94,6 +96,7 @@ def _digest(text: str) -> str:
 def format_conversations(conversations: DataFrame, template: Callable[[Messages], str] = render, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
     """conversations (conv_id, turn, role, text) -> conv_id, formatted, turn_spans, loss_spans (code points, end exclusive),
     rewrites_history. Conversations stream through the tasks in order; one at a time is held."""
+    bound_batches(conversations.sparkSession)
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
     rows = conversations.select("conv_id", "turn", text("role"), text("text"))
     schema = T.StructType([rows.schema["conv_id"], *T._parse_datatype_string("formatted string, turn_spans array<array<long>>, loss_spans array<array<long>>, rewrites_history boolean").fields])

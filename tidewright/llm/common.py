@@ -49,6 +49,13 @@ def drop_staged(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
+def bound_batches(spark: SparkSession, n: int = 1000) -> None:
+    """Lower the session's Arrow batches to n rows: whole texts are long, and a batch is held on both sides of the pipe."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= n:
+        spark.conf.set(key, str(n))
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, n: int):
     """While it lasts, Arrow batches have at most n rows, which bounds memory where rows hold long lists."""

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import fresh, stage
+from tidewright.llm.common import bound_batches, fresh, stage
 from tidewright.llm.shingles import parts_of, word_hashes
 
 #: The masks: 1 is a word that counts, 0 one that may differ. Both span 12 words and count 8.
@@ -176,6 +176,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_i
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """One row per row of docs: id_col, contaminated, item_id (of the longest stretch), n_items, word_start, word_end,
     agreeing."""
+    bound_batches(docs.sparkSession)
     found = find_overlaps(docs.select(F.col(id_col).alias("row"), F.col(text_col).cast("string").alias("text")), benchmark, item_col)
     found = found.groupBy(F.col("row").alias("id")).agg(F.max_by(F.struct("item", "word_start", "word_end", "agreeing"), F.struct("agreeing", "item", -F.col("word_start"))).alias("best"), F.count_distinct("item").alias("n_items"))
     rows = docs.select(F.col(id_col).alias("own"))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import fresh, slices, stage, unit_hash
+from tidewright.llm.common import bound_batches, fresh, slices, stage, unit_hash
 
 #: Labelled texts for each language that the classifiers are fitted on, about.
 MAX_PER_LANG = 2000
@@ -108,6 +108,7 @@ class Model:
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = MAX_PER_LANG) -> Model:
     """Fit on the rows of labelled whose language isn't null."""
+    bound_batches(labelled.sparkSession)
     known = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     langs = sorted(sizes)

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.llm.common import bound_batches
+
 #: Public license wordings and notices, by SPDX identifier.
 WORDINGS = (
     ("MIT", "Released under the MIT License."),
@@ -109,6 +111,7 @@ def licenses_in(text: str | None) -> list[tuple[int, int, str, float, float, boo
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per confirmed block: id_col, block_start, block_end, license_id, gain, share, exact, differences."""
+    bound_batches(docs.sparkSession)
     fields = "block_start long, block_end long, license_id string, gain double, share double, exact boolean, differences string"
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(fields).fields])
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import batch_rows, drop_staged, fresh, stage
+from tidewright.llm.common import batch_rows, bound_batches, drop_staged, fresh, stage
 from tidewright.llm.components import components
 from tidewright.llm.shingles import parts_of, set_digests, shingle_sets
 
@@ -42,7 +42,7 @@ _SKETCH_ROWS = 256
 SHORT = 32
 _BLOCK_GRAMS, _BLOCK_ROWS = 200_000, 1000  # shingles and rows in a block, about
 _COLUMNS_AT_ONCE = 1024
-_BATCH = 512
+_BATCH = 128
 #: Ids that may be broadcast as a filter (8 bytes each); more are joined by a shuffle.
 _MOST_BROADCAST = 1_000_000
 
@@ -237,6 +237,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def _members(docs: DataFrame) -> DataFrame:
     """docs (id, text) -> id, n, row, root, component_id; root is equal for the rows of one component."""
+    bound_batches(docs.sparkSession)
     rank = _sketch(docs.select("text"))
     rows = stage(_digested(docs, rank).withColumn("row", F.monotonically_increasing_id()), "rows")
     classes = rows.filter("n > 0").groupBy("d1", "d2").agg(F.min(F.struct(F.col("lead").isNull().alias("without"), F.col("row"))).alias("first"))

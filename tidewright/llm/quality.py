@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import fresh, unit_hash
+from tidewright.llm.common import bound_batches, fresh, unit_hash
 
 #: Bounds of the sample that the classifier is fitted on.
 MAX_PER_CLASS = 400
@@ -152,6 +152,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
 def score(docs: DataFrame, net: ConvNet, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """One row per row of docs: id_col, score, predicted (1 where score >= threshold)."""
+    bound_batches(docs.sparkSession)
     (s,) = fresh([id_col], "score")
 
     @F.pandas_udf("double")

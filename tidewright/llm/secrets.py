@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewright.llm.common import bound_batches
+
 #: Kinds in the order in which spans with one start are listed: base kinds, then confirmed ones.
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der", "ssh")
 
@@ -145,6 +147,7 @@ def _joined(spans: list[tuple[int, str, int]]) -> str:
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_assign, n_access, n_hex, base_sha256, spans."""
+    bound_batches(docs.sparkSession)
     schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
     def scan(batches):

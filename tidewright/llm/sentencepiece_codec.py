@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import slices
+from tidewright.llm.common import bound_batches, slices
 
 #: Where the public tokenizer files are; a parameter of every function that reads one.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -37,8 +37,8 @@ MARK = "▁"
 #: Kinds of pieces and of models, as the public protobuf definition numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words that a task keeps encoded, about 30 MB, and characters that it encodes at once.
-_CACHE_WORDS, _CHARS_AT_ONCE = 150_000, 1 << 19
+#: Words that a task keeps encoded, about 60 MB, and characters that it encodes at once.
+_CACHE_WORDS, _CHARS_AT_ONCE = 60_000, 1 << 19
 
 
 def _fields(data: bytes):
@@ -196,6 +196,7 @@ def _codec(path: str, threads: int) -> Codec:
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = DEFAULT_MODEL, threads: int = 2, with_tokens: bool = False) -> DataFrame:
     """One row per row of docs: id_col, n_tokens, token_sha256 (of the ids as 32-bit little-endian numbers), parity (every
     word's ids are those of the SentencePiece library), exact (the ids decode to the text itself), and tokens if asked."""
+    bound_batches(docs.sparkSession)
     added = "n_tokens long, token_sha256 string, parity boolean, exact boolean" + ", tokens array<int>" * with_tokens
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(added).fields])
 

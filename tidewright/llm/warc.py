@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewright.llm.common import bound_batches
+
 _END = b"\r\n"
 
 
@@ -80,6 +82,7 @@ def records_of(kind: str, page_id, url: str | None, payload: bytes, refers_to, r
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, segment_bytes: int = 16384, chunk_bytes: int = 4096, records_per_file: int = 1000) -> None:
     """Write pages (page_id, url, html) as gzipped WARC files under path. A file has a bounded number of records of bounded
     size, so a reader can hold one."""
+    bound_batches(pages.sparkSession)
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = rows.withColumn("digest", F.sha1("html"))
     owners = keyed.groupBy("digest").agg(F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
