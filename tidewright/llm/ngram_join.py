@@ -10,11 +10,13 @@ intersection. Only entries that can reach the threshold are formed:
    only if its sizes allow the threshold and the columns counted so far, with all that may be left, reach the overlap
    the sizes ask for. It is then confirmed on whole sets.
 4. The rows of a long column form a tile with those of other long columns that have the same central row. A tile is
-   cut into blocks of bounded size; each pair of blocks is multiplied on whole sets within one task, which hands on
-   the links that connect its rows, never all pairs.
-5. The components of all links are taken.
+   cut into blocks of bounded size, and each pair of blocks is multiplied within one task.
+5. Pairs and tiles are first multiplied on their leading columns alone: what two rows share before the lesser of their
+   last leading columns is known, so what they can share at all is bounded. What remains is multiplied on whole sets; a
+   pair of blocks hands on the links that connect its rows, never all pairs.
+6. The components of all links are taken.
 
-Steps 2 and 3 discard only pairs that cannot link, and two rows that share a leading column meet in step 3 or 4, so
+Steps 2, 3 and 5 discard only pairs that cannot link, and two rows that share a leading column meet in step 3 or 4, so
 no link between different components is lost.
 
 Defined cases: a null text counts as empty; a document without words has an empty set and links with nothing; one
@@ -106,12 +108,16 @@ def _digested(docs: DataFrame, rank: np.ndarray) -> DataFrame:
     return docs.mapInArrow(digest, T.StructType([docs.schema["id"], *T._parse_datatype_string("n long, d1 long, d2 long, lead array<long>").fields]))
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, grams) for the rows of wanted (node, id, d1, d2); grams are the set's hashes in ascending order."""
-    ids = wanted.select(F.col("id").alias("wanted_id")).distinct()
+def _among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose column is among the distinct ids, which are broadcast up to a checked number."""
     if ids.count() <= _MOST_BROADCAST:
         ids = F.broadcast(ids)
-    some = docs.join(ids, F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text")
+    return rows.join(ids, rows[column].eqNullSafe(ids[ids.columns[0]]), "left_semi")
+
+
+def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, grams) for the rows of wanted (node, id, d1, d2); grams are the set's hashes in ascending order."""
+    some = _among(docs, "id", wanted.select(F.col("id").alias("wanted_id")).distinct()).select("text")
 
     def sets_of(batches):
         for batch in batches:
@@ -180,25 +186,68 @@ def _block_pairs(tiles: DataFrame) -> DataFrame:
     return dealt.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
 
 
-def _multiply(key, rows):
-    """The links that connect the rows (node, grams) of a pair of blocks: each component's rows with its least."""
-    order = np.argsort(np.asarray(rows.column("node")))
-    nodes = np.asarray(rows.column("node"))[order]
-    lists = rows.column("grams").combine_chunks().take(pa.array(order))
-    values, at = np.asarray(lists.flatten()), np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
-    n, owner = np.diff(at), np.repeat(np.arange(len(nodes)), np.diff(at))
-    _, column, rows_in = np.unique(values, return_inverse=True, return_counts=True)
+def _product(lists: list[np.ndarray]) -> np.ndarray:
+    """How many values each pair of lists of distinct values shares: the product of their incidence matrix with its
+    transpose, over the columns that more than one list has, some at a time."""
+    k = len(lists)
+    owner = np.repeat(np.arange(k), [len(x) for x in lists])
+    _, column, rows_in = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     shared = rows_in[column] > 1
     column, owner = (np.cumsum(rows_in > 1) - 1)[column[shared]], owner[shared]
     order = np.argsort(column, kind="stable")
     column, owner = column[order], owner[order]
-    both = np.zeros((len(nodes), len(nodes)), np.float32)
+    both = np.zeros((k, k), np.float32)
     for a in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS_AT_ONCE):
         lo, hi = np.searchsorted(column, [a, a + _COLUMNS_AT_ONCE])
-        block = np.zeros((len(nodes), _COLUMNS_AT_ONCE), np.float32)
+        block = np.zeros((k, _COLUMNS_AT_ONCE), np.float32)
         block[owner[lo:hi], column[lo:hi] - a] = 1
         both += block @ block.T
-    linked = (100 + THRESHOLD) * both >= THRESHOLD * (n[:, None] + n[None, :])
+    return both
+
+
+def _lists(column) -> list[np.ndarray]:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    values, at = np.asarray(column.values), np.asarray(column.offsets)
+    return [values[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+def _beyond(n: int, lead: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """How many of a row's n columns come after each of the given ones, if those don't come after its own leading ones."""
+    return n - np.searchsorted(lead, last, "right")
+
+
+def _pairs_in_reach(batches):
+    """Of pairs (a, b, n_a, n_b, lead_a, lead_b) those that can link: up to the lesser of the last leading columns both
+    are known, so they share what is counted there and at most all that the smaller rest has."""
+    for batch in batches:
+        n_a, n_b = (np.asarray(batch.column(i)) for i in (2, 3))
+        keep = np.zeros(len(n_a), bool)
+        for i, (x, y) in enumerate(zip(_lists(batch.column(4)), _lists(batch.column(5)), strict=True)):
+            both = (y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()
+            last = min(x[-1], y[-1])
+            most = both + min(_beyond(n_a[i], x, last), _beyond(n_b[i], y, last))
+            keep[i] = (100 + THRESHOLD) * most >= THRESHOLD * (n_a[i] + n_b[i])
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], names=["a", "b"])
+
+
+def _tile_in_reach(key, rows):
+    """Of the rows (node, n, lead) of a pair of blocks of a tile those that can link with another."""
+    n, lists = np.asarray(rows.column("n")), _lists(rows.column("lead"))
+    last = np.array([x[-1] for x in lists])
+    rest = np.array([_beyond(m, x, np.minimum(last, x[-1])) for m, x in zip(n, lists, strict=True)])
+    most = _product(lists) + np.minimum(rest, rest.T)
+    fits = ((100 + THRESHOLD) * most >= THRESHOLD * (n[:, None] + n[None, :])) & (100 * np.minimum(n[:, None], n[None, :]) >= THRESHOLD * np.maximum(n[:, None], n[None, :]))
+    np.fill_diagonal(fits, False)
+    some = fits.any(axis=1)
+    return pa.table({"tile": pa.array([key[0].as_py()] * int(some.sum()), pa.int64()), "node": rows.column("node").filter(pa.array(some)), "n": pa.array(n[some])})
+
+
+def _multiply(key, rows):
+    """The links that connect the rows (node, grams) of a pair of blocks: each component's rows with its least."""
+    rows = rows.sort_by("node")
+    nodes, lists = np.asarray(rows.column("node")), _lists(rows.column("grams"))
+    n = np.array([len(x) for x in lists])
+    linked = (100 + THRESHOLD) * _product(lists) >= THRESHOLD * (n[:, None] + n[None, :])
     least = np.arange(len(nodes))
     while True:
         new = np.array([least[row].min() if row.any() else i for i, row in enumerate(linked)])
@@ -210,18 +259,31 @@ def _multiply(key, rows):
     return pa.table({"u": pa.array(nodes[some]), "v": pa.array(nodes[least[some]])})
 
 
+def _ends(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("end")).unionByName(tiles.select(F.col("node").alias("end"))).distinct()
+
+
+def _with_ends(pairs: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with the columns of both of their rows, each as column_a and column_b."""
+    for x in "ba":
+        pairs = pairs.join(rows.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]), x)
+    return pairs.select("a", "b", *[f"{c}_{x}" for c in columns for x in "ab"])
+
+
 def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links (u, v) with the same components as all links between nodes (node, id, n, d1, d2, lead)."""
     every = nodes.select(F.explode("lead").alias("column"), "node", "n")
     cells = stage(every.withColumn("rows", F.count(F.lit(1)).over(Window.partitionBy("column"))).filter("rows > 1"), "cells")
     pairs, tiles = stage(_short_pairs(cells), "pairs"), stage(_tiles(cells), "tiles")
     drop_staged(cells)
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(tiles.select("node")).distinct()
     with batch_rows(docs.sparkSession, _BATCH):
-        grams = stage(_whole_sets(docs, nodes.select("node", "id", "d1", "d2").join(ends, "node")), "sets")
-        named = lambda x: grams.withColumnsRenamed({"node": x, "grams": f"grams_{x}"})
-        joined = pairs.join(named("b"), "b").join(named("a"), "a").select("a", "b", "grams_a", "grams_b")
-        confirmed = stage(joined.mapInArrow(_overlaps, "u long, v long"), "links")
+        leads = stage(_among(nodes.select("node", "n", "lead"), "node", _ends(pairs, tiles)), "leads")
+        pairs = stage(_with_ends(pairs, leads, "n", "lead").mapInArrow(_pairs_in_reach, "a long, b long"), "pairs")
+        near = _block_pairs(tiles).join(leads, "node").groupBy("tile", "i", "j").applyInArrow(_tile_in_reach, "tile long, node long, n long")
+        tiles = stage(near.distinct(), "tiles")
+        drop_staged(leads)
+        grams = stage(_whole_sets(docs, _among(nodes.select("node", "id", "d1", "d2"), "node", _ends(pairs, tiles))), "sets")
+        confirmed = stage(_with_ends(pairs, grams, "grams").mapInArrow(_overlaps, "u long, v long"), "links")
         blocks = _block_pairs(tiles).join(grams, "node").groupBy("tile", "i", "j").applyInArrow(_multiply, "u long, v long")
         connected = stage(blocks.distinct(), "links")
     drop_staged(grams)
