@@ -151,7 +151,8 @@ def facts_of(files: DataFrame, kind: str) -> DataFrame:
                 except Exception:
                     found, status = [{}], "失敗"
                 rows += [{"code": code, "doc_id": doc, "ord": i, "status": status} | x for i, x in enumerate(found)]
-            yield pd.DataFrame(rows, columns=[*TIDY, "ord", "status"])
+            columns = [*TIDY, "ord", "status"]
+            yield pd.DataFrame([[r.get(c) for c in columns] for r in rows], columns=columns, dtype=object)
 
     return files.select("code", "doc_id", "content").mapInPandas(convert, _SCHEMA)
 
@@ -184,7 +185,7 @@ def json_cells(payloads: DataFrame, id_col: str, json_col: str) -> DataFrame:
                     rows += [(i, k, n, v) for k, r in enumerate(json_records(text)) for n, v in r.items()]
                 except (ValueError, TypeError):
                     rows.append((i, 0, None, None))
-            yield pd.DataFrame(rows, columns=[id_col, "row", "name", "value"])
+            yield pd.DataFrame(rows, columns=[id_col, "row", "name", "value"], dtype=object)
 
     return payloads.select(id_col, json_col).mapInPandas(cells, schema)
 
@@ -218,7 +219,7 @@ def links_of(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
                 p = _Links()
                 p.feed(html or "")
                 rows += [(i, k, h, t) for k, (h, t) in enumerate(p.found)]
-            yield pd.DataFrame(rows, columns=[id_col, "ord", "href", "label"])
+            yield pd.DataFrame(rows, columns=[id_col, "ord", "href", "label"], dtype=object)
 
     return pages.select(id_col, html_col).mapInPandas(parse, schema)
 
