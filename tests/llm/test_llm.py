@@ -158,6 +158,16 @@ def test_quality(spark):
     assert scored[900].score == scored[901].score and all(0 <= r.score <= 1 for r in scored.values())
 
 
+def test_labels_are_drawn_within_the_bound(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", "x") for i in range(60)] + [(None, "t", "x")], "doc_id long, text string, quality string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(100)] * 2 + [(None, 1), (1, None), (2, 7)], "doc_id long, quality int")
+    got = quality.draw_labelled(docs, marks, max_per_class=20).collect()
+    assert {r.text for r in got} == {f"t{r.doc_id}" for r in got} and len(got) == len(set(got)) and all(r.quality == r.doc_id % 2 for r in got)
+    assert 0 < sum(r.quality for r in got) <= 20 and len(got) <= 40
+    assert len(quality.draw_labelled(docs, marks).collect()) == 60
+    assert quality.draw_labelled(docs, marks.limit(0)).count() == 0
+
+
 def test_secrets(spark):
     der = base64.b64encode(bytes.fromhex("302e0201003005060306032b657004220420" + "11" * 32).replace(bytes.fromhex("3005060306032b6570"), bytes.fromhex("300506032b6570"))).decode()
     enc = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")

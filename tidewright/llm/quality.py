@@ -141,12 +141,22 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 12, batch: int = 3
     return net
 
 
+def draw_labelled(docs: DataFrame, marks: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_per_class: int = MAX_PER_CLASS) -> DataFrame:
+    """The labelled texts to fit on: id_col, text_col, label_col. Of the distinct marks of each class the first
+    max_per_class by a hash of the id are drawn, so few that they are broadcast and no text is shuffled; ids without a
+    text, and null ids, give no row."""
+    known = marks.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(id_col, label_col).distinct()
+    first = lambda label: known.filter(F.col(label_col) == label).orderBy(F.xxhash64(id_col, F.lit(17)), id_col).limit(max_per_class)
+    return docs.select(id_col, text_col).join(F.broadcast(first(0).unionByName(first(1))), id_col)
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_per_class: int = MAX_PER_CLASS) -> ConvNet:
     """Fit on rows whose label is 0 or 1. The bound holds what reaches the driver."""
     known = labelled.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = F.when(F.col("label") == 0, min(1.0, max_per_class / max(1, sizes.get(0, 0)))).otherwise(min(1.0, max_per_class / max(1, sizes.get(1, 0))))
-    sample = known.filter((unit_hash("id") < share) & (F.octet_length("text") <= MAX_TRAIN_BYTES)).orderBy(F.xxhash64("id"), "text").toPandas()
+    drawn = known.filter((unit_hash("id") < share) & (F.octet_length("text") <= MAX_TRAIN_BYTES))
+    sample = drawn.orderBy(F.xxhash64("id"), "text", "label").limit(4 * max_per_class).toPandas()
     return train(list(sample["text"]), sample["label"].to_numpy())
 
 

@@ -12,7 +12,7 @@ from tidewright.llm.secrets import scan_secrets
 def op1_quality_classifier(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     marked = labels.filter(~is_held_out()).select("doc_id", "quality")
-    net = quality.fit(docs.select("doc_id", "text").join(marked, "doc_id"))
+    net = quality.fit(quality.draw_labelled(docs, marked))
     return quality.score(docs, net).withColumn("held_out", is_held_out())
 
 
