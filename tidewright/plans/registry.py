@@ -279,7 +279,8 @@ def q32_left_pad_keys(t):
 def q33_window_sma(t):
     days = t("events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("d")).agg(F.sum(F.col("value").cast("decimal(18,6)")).cast("double").alias("v"))
     w = Window.partitionBy("event_type").orderBy("d").rowsBetween(-4, 0)
-    return days.select("event_type", "d", F.round("v", 2).alias("v"), F.round(F.avg("v").over(w), 2).alias("sma5"), F.count(F.lit(1)).over(w).alias("days"))
+    cents = lambda c: F.round(c * 100) / 100  # noqa: E731  rounds the double itself, not its shortest decimal form
+    return days.select("event_type", "d", cents(F.col("v")).alias("v"), cents(F.avg("v").over(w)).alias("sma5"), F.count(F.lit(1)).over(w).alias("days"))
 
 
 @query(r"SELECT doc_id, length(regexp_replace(text, '[ \t\n\r\f\v]+', '', 'g')) >= 200 AS meaningful FROM documents")
