@@ -39,7 +39,6 @@ from tidewright.llm.shingles import parts_of, set_digests, shingle_sets
 #: Link where 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
 _SKETCH_BITS = 19
-_SKETCH_ROWS = 256
 #: Rows up to which a column gives pairs; longer ones are multiplied in blocks.
 SHORT = 32
 _BLOCK_GRAMS, _BLOCK_ROWS = 200_000, 1000  # shingles and rows in a block, about
@@ -52,7 +51,6 @@ _MOST_BROADCAST = 1_000_000
 def _sketch(docs: DataFrame) -> np.ndarray:
     """For each of a fixed number of shingle buckets, how far its count stands above chance, as a small rank. A set that
     one task meets again counts once there."""
-    width = (1 << _SKETCH_BITS) // _SKETCH_ROWS
 
     def count(batches):
         counts, seen = np.zeros(1 << _SKETCH_BITS, np.int64), set()
@@ -64,19 +62,14 @@ def _sketch(docs: DataFrame) -> np.ndarray:
                     new[i] = d not in seen
                     seen.add(d)
                 counts += np.bincount((sets[np.repeat(new, np.diff(at))] >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64), minlength=len(counts))
-        if counts.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(_SKETCH_ROWS, dtype=np.int32)), pa.array(counts.reshape(_SKETCH_ROWS, width).tolist(), pa.list_(pa.int64()))], names=["row", "counts"])
-
-    def add(key, rows):
-        total = np.asarray(rows.column("counts").combine_chunks().flatten()).reshape(-1, width).sum(axis=0)
-        return pa.table({"row": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tolist()], pa.list_(pa.int64()))})
-
-    form = "row int, counts array<long>"
-    rows = docs.mapInArrow(count, form).groupBy("row").applyInArrow(add, form).collect()
-    counts = np.zeros((_SKETCH_ROWS, width))
-    for r in rows:
-        counts[r["row"]] = r["counts"]
-    counts = counts.ravel()
+        met = np.flatnonzero(counts)
+        for a in range(0, len(met), _COLUMNS_AT_ONCE):
+            some = met[a : a + _COLUMNS_AT_ONCE]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["bucket", "rows"])
+
+    found = docs.mapInArrow(count, "bucket int, rows long").groupBy("bucket").agg(F.sum("rows").alias("rows")).toArrow()
+    counts = np.zeros(1 << _SKETCH_BITS)
+    counts[np.asarray(found.column("bucket"))] = np.asarray(found.column("rows"))
     mean = counts.mean()
     return np.minimum(np.log2(1 + np.maximum(0, counts - mean - 6 * np.sqrt(mean) - 8)), 62).astype(np.uint8)
 
