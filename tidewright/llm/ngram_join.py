@@ -39,6 +39,7 @@ from tidewright.llm.shingles import parts_of, set_digests, shingle_sets
 #: Link where 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 75
 _SKETCH_BITS = 19
+_SKETCH_COLUMNS = 32  # counts in a row
 #: Rows up to which a column gives pairs; longer ones are multiplied in blocks.
 SHORT = 32
 _BLOCK_GRAMS, _BLOCK_ROWS = 200_000, 1000  # shingles and rows in a block, about
@@ -62,14 +63,15 @@ def _sketch(docs: DataFrame) -> np.ndarray:
                     new[i] = d not in seen
                     seen.add(d)
                 counts += np.bincount((sets[np.repeat(new, np.diff(at))] >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64), minlength=len(counts))
-        met = np.flatnonzero(counts)
-        for a in range(0, len(met), _COLUMNS_AT_ONCE):
-            some = met[a : a + _COLUMNS_AT_ONCE]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[some])], names=["bucket", "rows"])
-
-    found = docs.mapInArrow(count, "bucket int, rows long").groupBy("bucket").agg(F.sum("rows").alias("rows")).toArrow()
-    counts = np.zeros(1 << _SKETCH_BITS)
-    counts[np.asarray(found.column("bucket"))] = np.asarray(found.column("rows"))
+        if counts.any():
+            wide = counts.reshape(-1, _SKETCH_COLUMNS)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(wide), dtype=np.int32)), *[pa.array(c) for c in wide.T]], names=["part", *names])
+
+    names = [f"c{i}" for i in range(_SKETCH_COLUMNS)]
+    found = docs.mapInArrow(count, ", ".join(["part int", *[f"{c} long" for c in names]])).groupBy("part").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+    counts = np.zeros(((1 << _SKETCH_BITS) // _SKETCH_COLUMNS, _SKETCH_COLUMNS))
+    counts[np.asarray(found.column("part"))] = np.stack([np.asarray(found.column(c)) for c in names], axis=1)
+    counts = counts.ravel()
     mean = counts.mean()
     return np.minimum(np.log2(1 + np.maximum(0, counts - mean - 6 * np.sqrt(mean) - 8)), 62).astype(np.uint8)
 
@@ -121,7 +123,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), grams], names=["d1", "d2", "grams"])
 
     found = some.mapInArrow(sets_of, "d1 long, d2 long, grams array<long>")
-    return found.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).groupBy("node").agg(F.any_value("grams").alias("grams"))
+    return found.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).groupBy("d1", "d2", "node").agg(F.any_value("grams").alias("grams")).select("node", "grams")
 
 
 def _overlaps(batches):
