@@ -42,7 +42,7 @@ _SKETCH_BITS = 19
 _SKETCH_COLUMNS = 32  # counts in a row
 #: Rows up to which a column gives pairs; longer ones are multiplied in blocks.
 SHORT = 32
-_BLOCK_GRAMS, _BLOCK_ROWS = 200_000, 1000  # shingles and rows in a block, about
+_BLOCK_COLUMNS, _BLOCK_ROWS = 200_000, 1000  # columns that are multiplied and rows in a block, about
 _COLUMNS_AT_ONCE = 1024
 _BATCH = 128
 #: Ids that may be broadcast as a filter (8 bytes each); more are joined by a shuffle.
@@ -173,9 +173,10 @@ def _tiles(cells: DataFrame) -> DataFrame:
     return long.join(heart, "column").select("tile", "node", "n").distinct()
 
 
-def _block_pairs(tiles: DataFrame) -> DataFrame:
-    """(tile, i, j, side, node): every row of a tile once for each pair of blocks that its own block is in."""
-    sizes = tiles.groupBy("tile").agg(F.ceil(F.greatest(F.sum("n") / _BLOCK_GRAMS, F.count(F.lit(1)) / _BLOCK_ROWS)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+def _block_pairs(tiles: DataFrame, columns: str) -> DataFrame:
+    """(tile, i, j, node): every row of a tile once for each pair of blocks that its own block is in. columns: how many of a
+    row's n columns are multiplied."""
+    sizes = tiles.groupBy("tile").agg(F.ceil(F.greatest(F.sum(F.expr(columns)) / _BLOCK_COLUMNS, F.count(F.lit(1)) / _BLOCK_ROWS)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     cut = tiles.join(sizes, "tile").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return dealt.select("tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node")
@@ -274,12 +275,12 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     with batch_rows(docs.sparkSession, _BATCH):
         leads = stage(_among(nodes.select("node", "n", "lead"), "node", _ends(pairs, tiles)), "leads")
         pairs = stage(_with_ends(pairs, leads, "n", "lead").mapInArrow(_pairs_in_reach, "a long, b long"), "pairs")
-        near = _block_pairs(tiles).join(leads, "node").groupBy("tile", "i", "j").applyInArrow(_tile_in_reach, "tile long, node long, n long")
+        near = _block_pairs(tiles, f"n - ({THRESHOLD} * n + 99) div 100 + 1").join(leads, "node").groupBy("tile", "i", "j").applyInArrow(_tile_in_reach, "tile long, node long, n long")
         tiles = stage(near.distinct(), "tiles")
         drop_staged(leads)
         grams = stage(_whole_sets(docs, _among(nodes.select("node", "id", "d1", "d2"), "node", _ends(pairs, tiles))), "sets")
         confirmed = stage(_with_ends(pairs, grams, "grams").mapInArrow(_overlaps, "u long, v long"), "links")
-        blocks = _block_pairs(tiles).join(grams, "node").groupBy("tile", "i", "j").applyInArrow(_multiply, "u long, v long")
+        blocks = _block_pairs(tiles, "n").join(grams, "node").groupBy("tile", "i", "j").applyInArrow(_multiply, "u long, v long")
         connected = stage(blocks.distinct(), "links")
     drop_staged(grams)
     return confirmed.unionByName(connected)
