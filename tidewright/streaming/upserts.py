@@ -36,7 +36,11 @@ def latest(spark, path: str) -> DataFrame:
 
 
 def _versions(spark, path: str) -> list[int]:
+    """The versions that are written whole."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+    if not fs.exists(where):
+        return []
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = [s.getPath().getName() for s in fs.listStatus(where) if fs.exists(done(s.getPath(), "_SUCCESS"))]
     return [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
