@@ -78,6 +78,28 @@ def test_jaccard_components(spark):
     assert len({c for _, _, c in got}) == kept.count()
 
 
+def test_near_copies_and_leaks_are_dropped_by_row(spark):
+    """Rows with null or repeated ids and unlinked texts stay; of a component one row does."""
+    rng = random.Random(9)
+    text = lambda: [f"k{rng.randrange(10**6)}" for _ in range(60)]
+    near = lambda words: [*words[:-1], "other"]
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(None, a), (None, near(a)), (None, b), (None, c), (7, d), (7, near(d)), (7, text()), (7, text()), (3, near(b)), (8, text()), (None, []), (None, []), (7, [])]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.keep_one_of_each(docs_of(spark, rows)).collect()), key=str)
+    sets = [set(zip(*[t.split()[k:] for k in range(5)], strict=False)) for _, t in rows]
+    linked = lambda i, j: 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) and sets[i]
+    groups = {min(j for j in range(len(rows)) if j == i or linked(i, j)): [j for j in range(len(rows)) if j == i or linked(i, j)] for i in range(len(rows))}
+    assert len(kept) == len(groups) == 10
+    for group in groups.values():
+        least = min((rows[j][0] is None, rows[j][0] or 0) for j in group)
+        assert sum(k in [rows[j] for j in group if (rows[j][0] is None, rows[j][0] or 0) == least] for k in kept) == sum(g == group or rows[g[0]] == rows[group[0]] for g in groups.values())
+    leaked = spark.createDataFrame([(1, " ".join(a[:40]))], "item_id long, text string")
+    clean = [r for r in rows if "".join(a[:40]) not in r[1].replace(" ", "")]
+    assert sorted(((r.doc_id, r.text) for r in decontam.drop_contaminated(docs_of(spark, rows), leaked).collect()), key=str) == sorted(clean, key=str)
+    assert sum(r.contaminated for r in decontam.contamination(docs_of(spark, rows), leaked).collect()) == 2
+
+
 def test_jaccard_of_nothing(spark):
     assert ngram_join.jaccard_components(docs_of(spark, [])).count() == 0
     assert ngram_join.jaccard_components(docs_of(spark, [(1, None)])).first().component_id == 1

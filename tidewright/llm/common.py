@@ -49,6 +49,22 @@ def drop_staged(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
+#: Keys that may be broadcast as a filter (8 bytes each); more are joined by a shuffle.
+MOST_BROADCAST = 1_000_000
+
+
+def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """docs, staged with a number of its own for each row, and that column's name: ids may be null or repeated."""
+    (row,) = fresh(docs.columns, "row")
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
+def without_rows(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """rows without those whose number is in gone (one column), which is broadcast up to a checked number."""
+    gone = stage(gone.select(F.col(gone.columns[0]).alias(row)), "gone")
+    return rows.join(F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone, row, "left_anti")
+
+
 def bound_batches(spark: SparkSession, n: int = 1000) -> None:
     """Lower the session's Arrow batches to n rows: whole texts are long, and a batch is held on both sides of the pipe."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -8,8 +8,8 @@ Training texts pass a bitmap of the test hashes first (fixed size, so it may be
 what passes is joined with the test hashes by a shuffle and verified.
 
 Words are runs of letters and digits, lower-cased; every character outside ASCII counts as a letter. A test item with fewer words than a mask is looked for as a whole.
-Defined cases: null and empty texts match nothing; an item without words matches nothing; rows that share an id are judged together, and each
-gets its own row; documents without a match have contaminated = false and null details.
+Defined cases: null and empty texts match nothing; an item without words matches nothing; every row is judged by its own text,
+whatever rows share its id, null ids included; documents without a match have contaminated = false and null details.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import bound_batches, fresh, stage
+from tidewright.llm.common import bound_batches, numbered, stage, without_rows
 from tidewright.llm.shingles import parts_of, word_hashes
 
 #: The masks: 1 is a word that counts, 0 one that may differ. Both span 12 words and count 8.
@@ -177,19 +177,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of docs: id_col, contaminated, item_id (of the longest stretch), n_items, word_start, word_end,
     agreeing."""
     bound_batches(docs.sparkSession)
-    found = find_overlaps(docs.select(F.col(id_col).alias("row"), F.col(text_col).cast("string").alias("text")), benchmark, item_col)
-    found = found.groupBy(F.col("row").alias("id")).agg(F.max_by(F.struct("item", "word_start", "word_end", "agreeing"), F.struct("agreeing", "item", -F.col("word_start"))).alias("best"), F.count_distinct("item").alias("n_items"))
-    rows = docs.select(F.col(id_col).alias("own"))
-    return rows.join(found, F.col("own").eqNullSafe(F.col("id")), "left").select(
+    rows, _ = numbered(docs.select(F.col(id_col).alias("own"), F.col(text_col).cast("string").alias("text")), "numbered")
+    found = find_overlaps(rows.select("row", "text"), benchmark, item_col)
+    found = found.groupBy("row").agg(F.max_by(F.struct("item", "word_start", "word_end", "agreeing"), F.struct("agreeing", "item", -F.col("word_start"))).alias("best"), F.count_distinct("item").alias("n_items"))
+    return rows.select("row", "own").join(found, "row", "left").select(
         F.col("own").alias(id_col), F.col("best").isNotNull().alias("contaminated"), F.col("best.item").alias("item_id"), F.coalesce("n_items", F.lit(0)).alias("n_items"), "best.word_start", "best.word_end", "best.agreeing"
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """The rows of docs, with all their columns, whose id has no verified overlap with the benchmark. Rows that share an id
-    with a contaminated row go with it."""
-    (key,) = fresh(docs.columns, "key")
-    as_key = F.coalesce(F.col(id_col).cast("string"), F.lit("\0null"))
-    report = contamination(docs, benchmark, id_col, text_col, item_col)
-    gone = report.filter("contaminated").select(as_key.alias(key)).distinct()
-    return docs.withColumn(key, as_key).join(gone, key, "left_anti").select(*docs.columns)
+    """The rows of docs, with all their columns, whose text has no verified overlap with the benchmark."""
+    bound_batches(docs.sparkSession)
+    rows, row = numbered(docs, "numbered")
+    found = find_overlaps(rows.select(F.col(row).alias("row"), F.col(text_col).cast("string").alias("text")), benchmark, item_col)
+    return without_rows(rows, row, found.select("row").distinct()).select(*docs.columns)

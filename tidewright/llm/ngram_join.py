@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import batch_rows, bound_batches, drop_staged, fresh, stage
+from tidewright.llm.common import MOST_BROADCAST, batch_rows, bound_batches, drop_staged, fresh, numbered, stage, without_rows
 from tidewright.llm.components import components
 from tidewright.llm.shingles import parts_of, set_digests, shingle_sets
 
@@ -45,8 +45,6 @@ SHORT = 32
 _BLOCK_COLUMNS, _BLOCK_ROWS = 200_000, 1000  # columns that are multiplied and rows in a block, about
 _COLUMNS_AT_ONCE = 1024
 _BATCH = 128
-#: Ids that may be broadcast as a filter (8 bytes each); more are joined by a shuffle.
-_MOST_BROADCAST = 1_000_000
 
 
 def _sketch(docs: DataFrame) -> np.ndarray:
@@ -105,7 +103,7 @@ def _digested(docs: DataFrame, rank: np.ndarray) -> DataFrame:
 
 def _among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """The rows whose column is among the distinct ids, which are broadcast up to a checked number."""
-    if ids.count() <= _MOST_BROADCAST:
+    if ids.count() <= MOST_BROADCAST:
         ids = F.broadcast(ids)
     return rows.join(ids, rows[column].eqNullSafe(ids[ids.columns[0]]), "left_semi")
 
@@ -311,12 +309,10 @@ def _members(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, that stand for their component: those with its least id. A row without
-    words stays. Of rows that share that id, the first by a hash of all columns stays."""
-    members = _members(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")))
-    key, rank = fresh(docs.columns, "key", "rank")
-    as_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0null"))
-    kept = members.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(as_key("id").alias(key)).distinct()
+    """The rows of docs, with all their columns, that stand for their component: one row of each, with its least id (null
+    ids count as largest), of those the first by a hash of all columns. A row without words stays."""
+    rows, row = numbered(docs, "numbered")
     plain = [F.col(c) for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
-    found = docs.withColumn(key, as_key(id_col)).join(kept, key)
-    return found.withColumn(rank, F.row_number().over(Window.partitionBy(key).orderBy(F.xxhash64(*plain)))).filter(F.col(rank) == 1).select(*docs.columns)
+    key = F.struct(F.col(id_col).isNull().alias("without"), F.col(id_col).alias("own"), F.xxhash64(*plain).alias("tie"), F.col(row).alias("row"))
+    members = _members(rows.select(key.alias("id"), F.col(text_col).cast("string").alias("text")))
+    return without_rows(rows, row, members.filter("id.row != component_id.row").select("id.row")).select(*docs.columns)
