@@ -2,10 +2,13 @@
 
 import base64
 import hashlib
+import itertools
 import json
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tidewright.llm import chat, decontam, exact_dedup, langid, licenses, ngram_join, quality, secrets, sentencepiece_codec, warc
@@ -117,6 +120,47 @@ def test_decontamination(spark):
     assert decontam.contamination(docs_of(spark, rows), tests.limit(0)).filter("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("size", [*range(1, 21), 25])
+def test_every_leak_within_the_thresholds_is_hit(size):
+    """Every placement of the words that may be replaced in an item leaked whole, or 2,000 draws of them."""
+    rng = random.Random(size)
+    item = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seeds = dict(decontam.item_seeds(item))
+    for replaced in range(size // 5 + 1):
+        every = list(itertools.combinations(range(size), replaced))
+        for at in every if len(every) <= 2000 else rng.sample(every, 2000):
+            text = item.copy()
+            text[list(at)] = 7
+            if decontam.best_stretch(text == item)[2] >= min(12, math.ceil(0.8 * size - 1e-9)):
+                assert any((decontam._seeds(text, mask) == known).any() for mask, known in seeds.items()), at
+
+
+def test_every_long_stretch_is_hit():
+    """Every way in which 12 agreeing words and up to 3 others can lie, and draws of longer ones, in a longer item."""
+    rng = random.Random(3)
+    lie = [(n, s) for n in (13, 14, 15) for s in itertools.combinations(range(n), n - 12)]
+    lie += [(n, tuple(rng.sample(range(n), n // 5))) for n in range(16, 40) for _ in range(200)]
+    item = np.arange(1, 61, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    seeds = dict(decontam.item_seeds(item))
+    for n, at in lie:
+        text = np.full(60, 7, np.uint64)
+        text[10 : 10 + n] = item[10 : 10 + n]
+        text[[10 + k for k in at]] = 7
+        assert any((decontam._seeds(text, mask) == known).any() for mask, known in seeds.items()), at
+
+
+def test_short_items_with_replaced_words_are_found(spark):
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in (5, 6, 8, 10, 11, 12, 13, 14, 15, 16, 20)}
+    tests = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    rows = []
+    for n, w in items.items():
+        for lost in (n - math.ceil(0.8 * n - 1e-9), n - math.ceil(0.8 * n - 1e-9) + 2):
+            at = {round((k + 1) * n / (lost + 1)) - 1 for k in range(lost)}
+            rows.append((100 * n + len(at), "before it " + " ".join("other" if k in at else x for k, x in enumerate(w)) + " after"))
+    got = {r.doc_id: r.item_id for r in decontam.contamination(docs_of(spark, rows), tests).collect()}
+    assert got == {i: i // 100 if i % 100 <= i // 100 - min(12, math.ceil(0.8 * (i // 100) - 1e-9)) else None for i, _ in rows}
+
+
 def test_sentencepiece_parity(spark):
     texts = [None, "", " ", "  two  gaps ", "line\n\nbreak", "日本語 😀é", "a" * 400, "tab\tand\x00", LONG]
     rows = {r.doc_id: r for r in sentencepiece_codec.encode(docs_of(spark, list(enumerate(texts))), with_tokens=True).collect()}

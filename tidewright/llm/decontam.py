@@ -7,7 +7,8 @@ side word for word, and the stretch is reported if enough of it agrees, so a few
 Training texts pass a bitmap of the test hashes first (fixed size, so it may be broadcast whatever the benchmark's);
 what passes is joined with the test hashes by a shuffle and verified.
 
-Words are runs of letters and digits, lower-cased; every character outside ASCII counts as a letter. A test item with fewer words than a mask is looked for as a whole.
+Words are runs of letters and digits, lower-cased; every character outside ASCII counts as a letter. The masks are chosen by the item's
+length so that no stretch that would be verified is without a hit.
 Defined cases: null and empty texts match nothing; an item without words matches nothing; every row is judged by its own text,
 whatever rows share its id, null ids included; documents without a match have contaminated = false and null details.
 """
@@ -24,15 +25,29 @@ from pyspark.sql import types as T
 from tidewright.llm.common import bound_batches, numbered, stage, without_rows
 from tidewright.llm.shingles import parts_of, word_hashes
 
-#: The masks: 1 is a word that counts, 0 one that may differ. Both span 12 words and count 8.
-MASKS = ("110110101011", "101011011011")
-#: A verified stretch has at least so many agreeing words, or the whole item if it has fewer, and this share of them.
+#: A verified stretch has at least so many agreeing words, or LEAST_SHARE of the item's if those are fewer, and this share of them.
 LEAST_WORDS = 12
 LEAST_SHARE = 0.8
 REACH = 64  # words to either side of a hit that are laid side by side
 _BITMAP_BITS = 22  # 512 KB
 _IN_WORDS = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
-_SPAN = len(MASKS[0])
+#: Words that any mask spans at most.
+_SPAN = 7
+
+
+def least_agreeing(size: int) -> int:
+    """The agreeing words that a verified stretch of an item with so many words needs."""
+    return min(LEAST_WORDS, -(-size * round(100 * LEAST_SHARE) // 100))
+
+
+def masks_of(size: int) -> list[str]:
+    """The masks of an item with so many words: 1 is a word that counts, 0 one that may differ. Every stretch that would be
+    verified is hit by one of them. With m agreeing words and at most m / 4 others between them the longest run of agreeing
+    words has 4, or all runs have 3 with single words between; only in items of 5, 6 and 10 words can it be shorter."""
+    if size < 5:
+        return ["1" * size] if size else []
+    more = {5: ["10111", "11011", "11101"], 6: ["111011", "110111"], 10: ["1110111", "111011"]}
+    return ["1111", *more.get(size, ["1110111"] if size >= _SPAN else [])]
 
 
 def text_hashes(text: str | None) -> np.ndarray:
@@ -46,25 +61,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _seeds(h: np.ndarray, marks: list[int], salt: int, span: int) -> np.ndarray:
+def _seeds(h: np.ndarray, mask: str) -> np.ndarray:
     """The hash under a mask at every position where it fits."""
-    n = len(h) - span + 1
+    n = len(h) - len(mask) + 1
     if n < 1:
         return np.empty(0, np.uint64)
-    total = np.full(n, salt, np.uint64)
-    for k in marks:
-        total = _mix(total * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
+    total = np.full(n, int(mask, 2), np.uint64)
+    for k, c in enumerate(mask):
+        if c == "1":
+            total = _mix(total * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n])
     return total
 
 
-_MARKS = [[i for i, c in enumerate(m) if c == "1"] for m in MASKS]
-
-
-def item_seeds(h: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(mask, hashes by position) of a test item; an item shorter than the masks has one seed, of its whole length."""
-    if len(h) < _SPAN:
-        return [(-len(h), _seeds(h, list(range(len(h))), 100 + len(h), len(h)))] if len(h) else []
-    return [(k, _seeds(h, marks, k, _SPAN)) for k, marks in enumerate(_MARKS)]
+def item_seeds(h: np.ndarray) -> list[tuple[str, np.ndarray]]:
+    """(mask, hashes by position) of a test item."""
+    return [(mask, _seeds(h, mask)) for mask in masks_of(len(h))]
 
 
 def _test_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -82,40 +93,38 @@ def _test_seeds(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=["item", "mask", "seed", "at", "words", "size"])
 
     item = T.StructField("item", benchmark.schema[id_col].dataType)
-    schema = T.StructType([item, *T._parse_datatype_string("mask int, seed long, at int, words array<long>, size int").fields])
+    schema = T.StructType([item, *T._parse_datatype_string("mask string, seed long, at int, words array<long>, size int").fields])
     return benchmark.select(F.col(id_col), F.lower(F.col(text_col).cast("string"))).mapInPandas(seeds, schema)
 
 
-def _bitmap(tests: DataFrame) -> tuple[np.ndarray, list[int]]:
-    """A bit for each test hash, and the lengths of items shorter than the masks. At most 2**_BITMAP_BITS / 64 rows reach
-    the driver, and fewer lengths than a mask is long."""
+def _bitmap(tests: DataFrame) -> tuple[np.ndarray, list[str]]:
+    """A bit for each test hash, and the masks in use. At most 2**_BITMAP_BITS / 64 rows reach the driver, and the few masks
+    that there are."""
     bit = F.pmod(F.col("seed"), F.lit(1 << _BITMAP_BITS))
     rows = tests.groupBy((bit / 64).cast("int").alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("bits")).collect()
     bitmap = np.zeros(1 << (_BITMAP_BITS - 6), np.uint64)
     for r in rows:
         bitmap[r["cell"]] = r["bits"] & 0xFFFFFFFFFFFFFFFF
-    return bitmap, sorted(-r["mask"] for r in tests.filter("mask < 0").select("mask").distinct().collect())
+    return bitmap, sorted(r["mask"] for r in tests.select("mask").distinct().collect())
 
 
-def _hits(docs: DataFrame, bitmap: np.ndarray, short: list[int]) -> DataFrame:
+def _hits(docs: DataFrame, bitmap: np.ndarray, masks: list[str]) -> DataFrame:
     """row, seed, at, words, start: the positions of docs (row, text) whose hash the bitmap has, with the words around."""
 
     def is_test(seeds: np.ndarray) -> np.ndarray:
         bit = seeds & np.uint64((1 << _BITMAP_BITS) - 1)
         return np.flatnonzero((bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1))
 
-    masks = [(_SPAN, marks, k) for k, marks in enumerate(_MARKS)] + [(n, list(range(n)), 100 + n) for n in short]
-
     def hits(batches):
         for batch in batches:
             for a, b, data, offsets in parts_of(batch.column(1)):
                 h, bounds = word_hashes(data, offsets, _IN_WORDS)
                 rows, seeds, ats, words, starts = [], [], [], [], []
-                for span, marks, salt in masks:
-                    found = _seeds(h, marks, salt, span)
+                for mask in masks:
+                    found = _seeds(h, mask)
                     at = is_test(found)
                     row = np.searchsorted(bounds, at, "right") - 1
-                    whole = at + span <= bounds[row + 1]
+                    whole = at + len(mask) <= bounds[row + 1]
                     for p, r in zip(at[whole].tolist(), row[whole].tolist(), strict=True):
                         lo = max(bounds[r], p - REACH)
                         rows.append(a + r)
@@ -157,7 +166,7 @@ def _verified(batches):
             d, t = d[r.at - back :], t[r.item_at - back :]
             n = min(len(d), len(t))
             a, b, agree = best_stretch(d[:n] == t[:n])
-            if agree >= min(LEAST_WORDS, r.size):
+            if agree >= least_agreeing(r.size):
                 rows.append((r.row, r.item, r.start + r.at - back + a, r.start + r.at - back + b, agree))
         yield pd.DataFrame(rows, columns=["row", "item", "word_start", "word_end", "agreeing"])
 
@@ -165,9 +174,9 @@ def _verified(batches):
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs (row, text), where row is any id, -> row, item, word_start, word_end, agreeing: verified stretches, each once."""
     tests = stage(_test_seeds(benchmark, item_col, item_text), "test-seeds")
-    bitmap, short = _bitmap(tests)
+    bitmap, masks = _bitmap(tests)
     known = tests.select("item", "seed", F.col("at").alias("item_at"), F.col("words").alias("item_words"), "size")
-    pairs = _hits(docs.select("row", F.lower("text")), bitmap, short).join(known, "seed")
+    pairs = _hits(docs.select("row", F.lower("text")), bitmap, masks).join(known, "seed")
     item = tests.schema["item"]
     schema = T.StructType([docs.schema["row"], item, *T._parse_datatype_string("word_start int, word_end int, agreeing int").fields])
     return pairs.select("row", "at", "words", "start", "item", "item_at", "item_words", "size").mapInPandas(_verified, schema).distinct()
