@@ -7,6 +7,7 @@ import json
 import math
 import random
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -264,6 +265,18 @@ def test_licenses(spark):
     assert [(g[0], g[2]) for g in got[1:]] == [(1, False)] and got[1][3] in ("-2 +4", "-3 +4")
 
 
+def test_licenses_are_found_anywhere_on_a_line(spark):
+    bsd = dict(licenses.WORDINGS[::-1])
+    wrapped = lambda text, mark: f"\n{mark} ".join(textwrap.wrap(text, 60))
+    texts = ["This project is released under the MIT License.", "Copyright 2020 Example Ltd, all rights reserved.", "Copyright 2020 Example Ltd. All rights\n * reserved.",
+             " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy", "licensed under CC BY-SA 4.0. The rest, again, is licensed under CC BY 4.0 too",
+             wrapped(bsd["BSD-2-Clause"].upper(), "#"), "Words before. " + wrapped(bsd["BSD-3-Clause"].replace("the copyright holder nor", "Example Inc. nor"), " *"), bsd["LicenseRef-BSD"]]
+    got = {}
+    for i, name, exact, _, _ in scan_rows(spark, list(enumerate(texts))):
+        got.setdefault(i, []).append((name, exact))
+    assert got == {0: [("MIT", True)], 1: [("LicenseRef-all-rights-reserved", True)], 2: [("LicenseRef-all-rights-reserved", True)], 3: [("MPL-2.0", True)], 4: [("CC-BY-SA-4.0", True), ("CC-BY-4.0", True)], 5: [("BSD-2-Clause", True)], 6: [("BSD-3-Clause", False)], 7: [("LicenseRef-BSD", True)]}
+
+
 def scan_rows(spark, rows):
     texts = dict(rows)
     return [(r.doc_id, r.license_id, r.exact, r.differences, texts[r.doc_id][r.block_start : r.block_end]) for r in licenses.scan_licenses(docs_of(spark, rows)).collect()]

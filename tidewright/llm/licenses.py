@@ -1,9 +1,11 @@
 """License scans by conditional compression.
 
-Sentences with a license cue open a candidate block. For every known wording, the block of that wording's length is
-compressed twice: alone, and with the wording as a raw dictionary. The wordings are ranked by how much smaller the
-dictionary makes the block, and the best are confirmed by comparing words: the report names every word that is missing
-or added, so near wordings (another version, another name) stay apart.
+A license cue anchors candidate blocks: for every known wording that has the cue, a block of that wording's length whose
+cue lies where the wording's does, or up to SHIFT words off, whatever line breaks or words stand before it. Blocks that have
+too few of the wording's words to be confirmed are passed over; the others are compressed twice: alone, and with the wording
+as a raw dictionary. The wordings are ranked by how much smaller the dictionary makes the block, and the best are confirmed
+by comparing words: the report names every word that is missing or added, so near wordings (another version, another name)
+stay apart. Of those confirmed the one with the most words found stays.
 
 Defined cases: null and empty texts give no rows; a document gives one row for each confirmed block, in order, blocks
 don't overlap; repeated documents each give theirs. Offsets are code points, end exclusive.
@@ -11,8 +13,10 @@ don't overlap; repeated documents each give theirs. Offsets are code points, end
 
 from __future__ import annotations
 
+import bisect
 import difflib
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pandas as pd
@@ -32,7 +36,9 @@ WORDINGS = (
     ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0-or-later", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("LicenseRef-BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. This software is provided by the copyright holders and contributors \"as is\""),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
@@ -41,23 +47,35 @@ WORDINGS = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
-_CUES = ("licens", "licenc", "rights reserved", "permission", "redistribution", "redistribute", "creative commons")
-_CUE = re.compile("|".join(_CUES), re.IGNORECASE)
+_CUE = re.compile(r"licen[sc]|rights[\s*#/;>|%-]+reserved|permission|redistribution|redistribute|creative[\s*#/;>|%-]+commons", re.IGNORECASE)
+#: Every cue has one of these.
+_HINTS = ("licens", "licenc", "reserved", "permission", "redistribut", "creative")
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-_RANKED = 3  # wordings confirmed for each block, best first
+_RANKED = 3  # wordings confirmed for each cue, best first
+SHIFT = 3  # words that a block may begin before or after the place that its cue gives
 LEAST_SHARE = 0.85  # of the wording's words that the block must have, in order
 LEAST_GAIN = 0.2
 
 
+def _cues(text: str, starts: list[int]):
+    """(kind, index of the word it is in, start) of every cue; starts are those of the text's words."""
+    for m in _CUE.finditer(text):
+        yield m[0][:4].lower(), bisect.bisect_right(starts, m.start()) - 1, m.start()
+
+
 @lru_cache(maxsize=1)
 def _templates():
     import zstandard
 
     out = []
     for name, text in WORDINGS:
-        words = [w.lower() for w in _WORD.findall(text)]
+        found = list(_WORD.finditer(text))
+        words = [m[0].lower() for m in found]
+        cues: dict[str, list[int]] = {}
+        for kind, at, _ in _cues(text, [m.start() for m in found]):
+            cues.setdefault(kind, []).append(at)
         shared = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append((name, words, zstandard.ZstdCompressor(level=9, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)))
+        out.append((name, words, Counter(words), cues, zstandard.ZstdCompressor(level=9, dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False)))
     plain = zstandard.ZstdCompressor(level=9, write_content_size=False, write_checksum=False)
     return out, plain
 
@@ -72,39 +90,49 @@ def word_differences(template: list[str], block: list[str]) -> tuple[float, list
     return sum(m.size for m in match.get_matching_blocks()) / len(template), diffs
 
 
+def _reaches(template: list[str], block: list[str], at: int) -> bool:
+    """Whether a word of the block lies between those found in the template: a block isn't taken for a cue before or after it."""
+    met = [m for m in difflib.SequenceMatcher(None, template, block, autojunk=False).get_matching_blocks() if m.size]
+    return bool(met) and met[0].b <= at < met[-1].b + met[-1].size
+
+
 def licenses_in(text: str | None) -> list[tuple[int, int, str, float, float, bool, str]]:
     """(start, end, license, gain, share, exact, differences) of each confirmed block."""
-    if not text or not any(c in (low := text.lower()) for c in _CUES):
+    if not text or not any(c in (low := text.lower()) for c in _HINTS):
         return []
     templates, plain = _templates()
-    longest = max(len(w) for _, w, _ in templates)
+    at = list(_WORD.finditer(text))
+    words = [m[0].lower() for m in at]
     found, done = [], 0
-    for cue in _CUE.finditer(text):
-        if cue.start() < done:
+    for kind, cue, _ in _cues(text, [m.start() for m in at]):
+        if cue < done:
             continue
-        begin = max(done, text.rfind("\n", 0, cue.start()) + 1, text.rfind(". ", max(0, cue.start() - 2000), cue.start()) + 1, cue.start() - 2000)
-        words = []
-        for m in _WORD.finditer(text, begin, begin + 40 * longest + 2000):
-            words.append(m)
-            if len(words) >= longest:
-                break
         ranked = []
-        for name, wording, conditional in templates:
-            part = words[: len(wording)]
-            if not part or part[-1].end() <= cue.start():
-                continue
-            block = text[part[0].start() : part[-1].end()].lower().encode("utf-8", "surrogatepass")
-            alone = len(plain.compress(block))
-            ranked.append(((alone - len(conditional.compress(block))) / alone, len(wording), name, wording, part))
+        for name, wording, count, cues, conditional in templates:
+            least, blocks = LEAST_SHARE * len(wording), {}
+            for begin in (cue - k for k in cues.get(kind, ())):
+                if (Counter(words[max(done, begin - SHIFT) : begin + SHIFT + len(wording)]) & count).total() >= least:
+                    for off in range(-SHIFT, SHIFT + 1):
+                        block = max(done, begin + off), min(len(words), begin + off + len(wording))
+                        blocks[block] = min(abs(off), blocks.get(block, SHIFT))
+            blocks = [(a, b, off) for (a, b), off in sorted(blocks.items()) if a <= cue < b and (Counter(words[a:b]) & count).total() >= least]
+            gains = []
+            for a, b, _ in blocks:
+                block = text[at[a].start() : at[b - 1].end()].lower().encode("utf-8", "surrogatepass")
+                alone = len(plain.compress(block))
+                gains.append((alone - len(conditional.compress(block))) / alone)
+            if blocks:
+                ranked.append((max(gains), len(wording), name, wording, list(zip(gains, blocks, strict=True))))
         ranked.sort(key=lambda x: (-round(x[0], 3), -x[1], x[2]))
         best = None
-        for gain, _, name, wording, part in ranked[:_RANKED]:
-            share, diffs = word_differences(wording, [m[0].lower() for m in part])
-            if gain >= LEAST_GAIN and share >= LEAST_SHARE:
-                candidate = (not diffs, share * len(wording), part[0].start(), part[-1].end(), name, gain, share, not diffs, " ".join(diffs))
-                best = max(best, candidate, key=lambda x: x[:2]) if best else candidate
+        for _, _, name, wording, blocks in ranked[:_RANKED]:
+            for gain, (a, b, off) in blocks:
+                share, diffs = word_differences(wording, words[a:b])
+                if gain >= LEAST_GAIN and share >= LEAST_SHARE and _reaches(wording, words[a:b], cue - a):
+                    candidate = (round(share * len(wording)), not diffs, -off, b, at[a].start(), at[b - 1].end(), name, gain, share, not diffs, " ".join(diffs))
+                    best = max(best, candidate, key=lambda x: x[:3]) if best else candidate
         if best:
-            found.append(best[2:])
+            found.append(best[4:])
             done = best[3]
     return found
 
