@@ -246,6 +246,28 @@ def test_secrets(spark):
     assert (got[1].n_assign, got[1].n_access, got[1].n_hex) == (1, 1, 1) and got[2].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_encoded_keys():
+    """Keys with escaped or real line breaks, in upper-case hex and in base64 of a whole PEM block; altered ones aren't keys."""
+    rng = random.Random(5)
+    tlv = lambda tag, body: bytes([tag]) + (bytes([len(body)]) if len(body) < 128 else b"\x81" + bytes([len(body)]) if len(body) < 256 else b"\x82" + len(body).to_bytes(2, "big")) + body
+    number = lambda n: tlv(2, b"\1" + rng.randbytes(n))
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    rsa = tlv(0x30, tlv(2, b"\0") + number(128) + tlv(2, b"\1\0\1") + b"".join(number(n) for n in (127, 64, 64, 64, 64, 64)))
+    ssh = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + b"\0\0\0\1" + field(rng.randbytes(51)) + field(rng.randbytes(136))
+    lines = lambda data, gap: gap.join(textwrap.wrap(base64.b64encode(data).decode(), 64))
+    pem = lambda gap: gap.join(["-----BEGIN RSA PRIVATE KEY-----", lines(rsa, gap), "-----END RSA PRIVATE KEY-----"])
+    whole = base64.b64encode((pem("\n") + "\n").encode()).decode()
+    assert whole.startswith("LS0t")
+    cases = [("pem", pem("\n")), ("pem", pem("\\n")), ("pem", pem("\\r\\n")), ("der", lines(rsa, "\n")), ("der", lines(rsa, "\r\n  ")), ("der", lines(rsa, "\\n")), ("ssh", lines(ssh, "\n")), ("ssh", ssh.hex().upper()), ("der", rsa.hex().upper()),
+             ("pem", whole), ("pem", "\n".join(textwrap.wrap(whole, 76)))]
+    for kind, key in cases:
+        for before, after in (("a key: ", " that"), ('{"k": "', '\\n"}'), ("é\n", "\nand more words\n"), ("x\\n", "")):
+            found = [x for x in secrets.confirmed_spans(before + key + after) if x[1] in ("pem", "ssh", "der")]
+            assert [(k, (before + key + after)[a:b]) for a, k, b in found] == [(kind, key)] or (kind, key) == ("pem", whole) and after.startswith("\nand") and found[0][:2] == (len(before), "pem"), (kind, key[:40], before)
+    for key in (lines(rsa[:-9], "\n"), lines(b"\x30\x82" + rng.randbytes(300), "\n"), base64.b64encode(b"-----BEGIN RSA PRIVATE KEY-----\nMIIE\n-----END RSA PRIVATE KEY-----").decode()):
+        assert not secrets.confirmed_spans(f"a key: {key} that"), key[:40]
+
+
 def test_warc(spark):
     pages = [(1, "http://a/ b", "x" * 50000), (2, None, "x" * 50000), (3, "", None), (4, "u", "é\r\n\r\nWARC/1.1\r\n"), (4, "u", "é\r\n\r\nWARC/1.1\r\n"), (None, "u", "x" * 50000), (None, "u", "only")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")

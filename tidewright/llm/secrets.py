@@ -2,7 +2,8 @@
 
 The base patterns report what looks like an assignment, an access key or a hex string. Beyond them, base64 and hex
 candidates are decoded and reported only when the bytes prove to be a key: DER with nested lengths that add up,
-an OpenSSH container, a PEM block around either, or a signed token whose header names an algorithm.
+an OpenSSH container, a PEM block around either, base64 of such a PEM block, or a signed token whose header names an
+algorithm. Line breaks within a candidate, real ones or escaped ones (backslash and n), don't count.
 
 Defined cases: a null text counts as empty; offsets are code points, end exclusive; spans of one kind don't overlap,
 spans of different kinds may; every row of the input gives one row, repeated rows included.
@@ -32,7 +33,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,-]|\\+[nr])*?)-----END \1-----")
+_ESCAPED_BREAK = re.compile(r"\\+[nr]")
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*")
+_RUN = re.compile("[A-Za-z0-9+/_-]+")
+_HEX_RUN = re.compile("[0-9A-Fa-f]+")
+#: Where a key may begin that is wrapped over lines or follows an escaped break, and base64 of a PEM block.
+_HEAD = re.compile(r"(?:M[A-P]|b3Bl|LS0t|30|6[Ff])[A-Za-z0-9+/_-]{14,}")
+_BEFORE_HEAD = re.compile(r"(?<![A-Za-z0-9+/_-])|(?<=\\[nr])")
 
 
 def base_spans(text: str) -> list[tuple[int, str, int]]:
@@ -100,6 +108,87 @@ def is_openssh_key(data: bytes) -> bool:
     return at + 4 <= len(data)
 
 
+def _key_length(data: bytes) -> int | None:
+    """How many bytes the key that begins in data says it has, if it says so there."""
+    if data.startswith(b"openssh-key-v1\0"):
+        at, fields = 15, 3
+        while fields:
+            if at + 4 > len(data):
+                return None
+            at, fields = at + 4 + int.from_bytes(data[at : at + 4], "big"), fields - 1
+        if at + 4 > len(data):
+            return None
+        at, fields = at + 4, int.from_bytes(data[at : at + 4], "big") + 1  # the public keys and the private part
+        while fields:
+            if at + 4 > len(data):
+                return None
+            at, fields = at + 4 + int.from_bytes(data[at : at + 4], "big"), fields - 1
+        return at
+    if len(data) < 6 or data[0] != 0x30:
+        return None
+    size = data[1] & 0x7F if data[1] & 0x80 else 0
+    return 2 + size + int.from_bytes(data[2 : 2 + size], "big") if 1 <= size <= 4 else 2 + data[1] if not size else None
+
+
+def _runs(text: str, start: int, run: re.Pattern) -> list[tuple[int, int]]:
+    """(begin, end) of the run at start and of those that follow it with only a line break between."""
+    out, at = [], start
+    while m := run.match(text, at):
+        out.append(m.span())
+        gap = _BREAK.match(text, m.end())
+        if not gap:
+            break
+        at = gap.end()
+    return out
+
+
+def _end_of(runs: list[tuple[int, int]], n: int) -> int | None:
+    """Where the n-th character of the runs ends, if they have so many."""
+    for a, b in runs:
+        if n <= b - a:
+            return a + n
+        n -= b - a
+    return None
+
+
+def _key_over_lines(text: str, start: int) -> tuple[int, str, int] | None:
+    """The key that begins at start in base64 or hex, over as many lines as its own lengths ask for."""
+    is_hex = text.startswith("30", start) or text[start : start + 2].lower() == "6f"
+    runs = _runs(text, start, _HEX_RUN if is_hex else _RUN)
+    chars = "".join(text[a:b] for a, b in runs)
+    if is_hex:
+        data = bytes.fromhex(chars[: len(chars) // 2 * 2])
+    else:
+        data = _decoded(chars[: len(chars) - (len(chars) % 4 == 1)]) or b""
+    if text.startswith("LS0t", start):
+        inner = data.decode("latin-1")
+        for m in _PEM.finditer(inner):
+            if _is_pem_key(m):
+                last = _end_of(runs, -(-m.end() * 4 // 3))
+                end = _RUN.match(text, last)
+                return start, "pem", _padded(text, end.end() if end else last)
+        return None
+    n = _key_length(data)
+    if n is None or n > len(data) or not (kind := _key_kind(data[:n])):
+        return None
+    end = _end_of(runs, 2 * n if is_hex else -(-n * 4 // 3))
+    if any(a < end < b for a, b in runs):  # more of the same line
+        return None
+    return start, kind, end if is_hex else _padded(text, end)
+
+
+def _padded(text: str, end: int) -> int:
+    for _ in range(2):
+        end += text.startswith("=", end)
+    return end
+
+
+def _is_pem_key(m: re.Match) -> bool:
+    body = _ESCAPED_BREAK.sub("\n", m[2])
+    lines = "".join(x for x in body.splitlines() if ":" not in x)
+    return bool(_key_kind(_decoded("".join(lines.split()))) or "ENCRYPTED" in body)
+
+
 def _decoded(text: str) -> bytes | None:
     try:
         text = text.rstrip("=").replace("-", "+").replace("_", "/")
@@ -126,18 +215,20 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of what decodes to the structure of a key or a signed token."""
     found = []
     if "-----BEGIN " in text:
-        for m in _PEM.finditer(text):
-            body = "".join(x for x in m[2].splitlines() if ":" not in x)
-            if _key_kind(_decoded("".join(body.split()))) or "ENCRYPTED" in m[2]:
-                found.append((m.start(), "pem", m.end()))
+        found += [(m.start(), "pem", m.end()) for m in _PEM.finditer(text) if _is_pem_key(m)]
+    armoured, done = list(found), 0
     if "eyJ" in text:
         found += [(m.start(), "jwt", m.end()) for m in _JWT.finditer(text) if _is_token(m[1], m[2])]
     for m in _BASE64.finditer(text):
         run = m[0]
         if (run[0] == "M" or run[:4] == "b3Bl") and (kind := _key_kind(_decoded(run))):
             found.append((m.start(), kind, m.end()))
-        elif run[:2] in ("30", "6f") and len(run) % 2 == 0 and re.fullmatch("[0-9A-Fa-f]+", run) and (kind := _key_kind(bytes.fromhex(run))):
+        elif run[:2].lower() in ("30", "6f") and len(run) % 2 == 0 and re.fullmatch("[0-9A-Fa-f]+", run) and (kind := _key_kind(bytes.fromhex(run))):
             found.append((m.start(), kind, m.end()))
+    for m in _HEAD.finditer(text):
+        if m.start() >= done and _BEFORE_HEAD.match(text, m.start()) and not any(a <= m.start() < b for a, _, b in armoured) and (key := _key_over_lines(text, m.start())):
+            found = [x for x in found if x[:2] != key[:2]] + [key]
+            done = key[2]
     return found
 
 
