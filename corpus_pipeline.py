@@ -1,6 +1,6 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again by the next.
 
-Language identification drops documents without a language; exact deduplication, the Jaccard join and benchmark
+Language identification drops documents without a language, if it has one to learn from; exact deduplication, the Jaccard join and benchmark
 decontamination drop copies, near copies and leaks; the last stage gives every document left its tokens.
 """
 

@@ -208,6 +208,11 @@ def test_langid(spark):
     assert sorted(r.doc_id for r in langid.keep_identified(df, langid.fit(df)).collect())[-1] == 102
 
 
+def test_texts_stay_where_no_language_is_known(spark):
+    df = spark.createDataFrame([(1, "clean words", None), (2, "??", None), (3, None, None), (4, "слово", None)], "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in langid.keep_identified(df, langid.fit(df)).collect()) == [1, 4]
+
+
 @pytest.mark.parametrize("n", [2, 4, 9])
 def test_codewords_are_apart(n):
     code = langid.codewords(n)

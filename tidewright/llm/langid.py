@@ -182,6 +182,11 @@ def _names(docs: DataFrame, columns) -> list[str]:
 
 
 def keep_identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with all their columns, whose text has a language: what is `und` goes."""
+    """The rows of docs, with all their columns, whose text has a language: what is `und` goes. A model without languages
+    can't judge, so texts with a letter then stay."""
+    text = F.col(text_col).cast("string")
+    if not model.langs:
+        lettered = F.pandas_udf(lambda texts: texts.map(lambda t: isinstance(t, str) and has_letter(t)), "boolean")
+        return docs.filter(lettered(text))
     (p,) = fresh(docs.columns, "predicted")
-    return docs.withColumn(p, predictor(model)(F.col(text_col).cast("string"))).filter(F.col(p)["lang_pred"] != UNDETERMINED).drop(p)
+    return docs.withColumn(p, predictor(model)(text)).filter(F.col(p)["lang_pred"] != UNDETERMINED).drop(p)
