@@ -49,8 +49,24 @@ def drop_staged(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
-#: Keys that may be broadcast as a filter (8 bytes each); more are joined by a shuffle.
+#: Rows of a few numbers each that may be broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
+#: A key with more than 1/HOT_SHARE of the rows is hot, so fewer than HOT_SHARE keys are, whatever the input.
+HOT_SHARE = 1000
+
+
+def checked(small: DataFrame) -> DataFrame:
+    """A staged table of short rows, marked for a broadcast if it has few enough of them."""
+    return F.broadcast(small) if small.count() <= MOST_BROADCAST else small
+
+
+def join_by_key(rows: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (staged) with the entries (staged, one for each key) of their keys, by inner join. Hot keys meet a broadcast of fewer
+    than HOT_SHARE entries; the rest is joined by sort and merge, where no key has more than 1/HOT_SHARE of the rows."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    hot = F.broadcast(stage(counts.filter(F.col("n") > rows.count() / HOT_SHARE).select(*keys), "hot-keys"))
+    common = rows.join(F.broadcast(entries.join(hot, keys)), keys)
+    return common.unionByName(rows.join(hot, keys, "left_anti").join(entries.hint("merge"), keys))
 
 
 def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:

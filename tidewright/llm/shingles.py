@@ -96,3 +96,17 @@ def set_digests(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(sets ^ np.uint64(salt)), dtype=np.uint64)])
         out.append(mix(sums[at[1:]] - sums[at[:-1]] + np.diff(at).astype(np.uint64)).view(np.int64))
     return out[0], out[1]
+
+
+def fold_of(grams: np.ndarray) -> bytes:
+    """The set's row of the incidence matrix, folded: column h falls on bit h mod B, which holds whether an odd number of columns
+    does. B is a power of two, the set's size or more. Two folds of one B differ in no more bits than their sets in columns."""
+    bits = max(64, 1 << (len(grams) - 1).bit_length())
+    odd = np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def halved(fold: np.ndarray) -> np.ndarray:
+    """Folds (along the last axis) as they are with half as many bits."""
+    half = fold.shape[-1] // 2
+    return fold[..., :half] ^ fold[..., half:]
