@@ -13,9 +13,9 @@ intersection. Only entries that can reach the threshold are formed:
 4. Rows are folded to about a bit a column. Folds that differ in more bits than two linked sets can differ in columns
    discard a pair. Of the rest, one pair of each row is confirmed on whole sets, with the tile's center where there is one,
    then those whose rows are not connected by that.
-5. Within a tile, rows that are connected with its center need no product with each other. The others are multiplied with
-   every row of the tile, in pairs of blocks of bounded size: first on folds, and what remains on whole sets. A pair of
-   blocks hands on the links that connect its rows, never all pairs.
+5. Within a tile, rows of one component of these links need no product with each other. Rows that are not of its center's are
+   multiplied with every row of the tile, in pairs of blocks of bounded size: first on folds, and what remains on whole
+   sets. A pair of blocks hands on the links that connect its rows, never all pairs.
 6. The components of all links are taken.
 
 Steps 2 to 5 discard only pairs that cannot link or are connected already, and two rows that share a leading column meet in
@@ -268,7 +268,7 @@ def _with_sets(docs: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def _unlinked_blocks(tiles: DataFrame, columns: str, most_columns: int) -> DataFrame:
-    """tiles (tile, node, n, alone) -> tile, i, j, node: the rows of a tile once for each pair of blocks that their own block is
+    """tiles (tile, node, n, label, alone) -> tile, i, j, node and the rest: the rows of a tile once for each pair of blocks that their own block is
     in. Blocks of rows that stand alone meet every block; the others meet those alone. columns: how many of a row are used."""
     blocks = lambda which: F.ceil(F.greatest(F.sum(F.when(which, F.expr(columns)).otherwise(0)) / most_columns, F.count_if(which) / _BLOCK_ROWS)).cast("int")
     sizes = stage(tiles.groupBy("tile").agg(blocks(F.col("alone")).alias("u"), blocks(~F.col("alone")).alias("l"), F.count(F.lit(1)).alias("rows")).filter("u > 0 and rows > 1").drop("rows"), "sizes")
@@ -277,30 +277,30 @@ def _unlinked_blocks(tiles: DataFrame, columns: str, most_columns: int) -> DataF
     within = F.col("alone") & (F.col("k") < F.col("u"))
     i = F.when(within, F.least("own", "k")).when(F.col("alone"), F.col("own")).otherwise(F.col("k"))
     j = F.when(within, F.greatest("own", "k")).when(F.col("alone"), F.col("k")).otherwise(F.col("u") + F.col("own"))
-    return dealt.select("tile", i.alias("i"), j.alias("j"), "node", "n", "alone")
+    return dealt.select("tile", i.alias("i"), j.alias("j"), "node", "n", "label", "alone")
 
 
 def _in_reach(key, rows):
-    """Of the rows (node, alone, fold) of a pair of blocks of a tile those that can link with another, one of the two alone."""
+    """Of the rows (node, label, fold) of a pair of blocks of a tile those that can link with one of another label."""
     sized = _sized(rows.column("fold"))
     n, width = np.array([m for m, _ in sized]), np.array([len(f) for _, f in sized])
-    alone = np.asarray(rows.column("alone"))
+    label = np.asarray(rows.column("label"))
     some = np.zeros(len(n), bool)
     for w in np.unique(width):
-        same = np.flatnonzero(width == w)
+        same = own = np.flatnonzero(width == w)
         folds = np.stack([sized[i][1] for i in same])
         wider = np.flatnonzero(width == 2 * w)  # sizes that can link are less than twice apart
         if len(wider):
             same = np.concatenate([same, wider])
             folds = np.concatenate([folds, halved(np.stack([sized[i][1] for i in wider]))])
         words = np.ascontiguousarray(folds).view(np.uint64)
-        for k in range(len(same)):
+        for k in range(len(own)):
             i, rest = same[k], same[k + 1 :]
             differ = np.bitwise_count(words[k + 1 :] ^ words[k]).sum(axis=1, dtype=np.int64)
-            fits = ~_apart(n[i], n[rest], differ) & (100 * np.minimum(n[i], n[rest]) >= THRESHOLD * np.maximum(n[i], n[rest])) & (alone[i] | alone[rest])
+            fits = ~_apart(n[i], n[rest], differ) & (100 * np.minimum(n[i], n[rest]) >= THRESHOLD * np.maximum(n[i], n[rest])) & (label[i] != label[rest])
             some[rest[fits]] = True
             some[i] |= fits.any()
-    return pa.table({"tile": pa.array([key[0].as_py()] * int(some.sum()), pa.int64()), "node": rows.column("node").filter(pa.array(some)), "n": pa.array(n[some]), "alone": pa.array(alone[some])})
+    return rows.select(["tile", "node", "n", "label", "alone"]).filter(pa.array(some))
 
 
 def _product(lists: list[np.ndarray]) -> np.ndarray:
@@ -362,22 +362,22 @@ def _links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         linked = stage(_held(_with_sets(docs, nodes, _stars(first)), "grams", _sets_pass), "linked")
         up = stage(linked.join(linked.select(F.col("center").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("center"), F.col("center").alias("top")), "up")
         label = linked.join(checked(up), "center", "left").select("node", F.coalesce("top", "center").alias("label"))
-        tops = stage(label.join(tiles.select(F.col("tile").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("tile"), F.col("label").alias("top")), "tops")
         rest = near.join(first, ["center", "node"], "left_anti")
         for x in ("center", "node"):
             rest = rest.join(label.withColumnsRenamed({"node": x, "label": f"{x}_label"}), x, "left")
-        rest = stage(rest.filter(~F.coalesce("center_label", "center").eqNullSafe(F.coalesce("node_label", "node"))).select("center", "node"), "rest")
+        rest = stage(rest.filter(F.coalesce("center_label", "center") != F.coalesce("node_label", "node")).select("center", "node"), "rest")
         further = stage(_held(_with_sets(docs, nodes, _stars(rest)), "grams", _sets_pass), "linked")
-        told = tiles.join(label, "node", "left").join(checked(tops), "tile", "left")
-        told = stage(told.select("tile", "node", "n", (F.coalesce("label", "node") != F.coalesce("top", "tile")).alias("alone")), "told")
+        known = stage(components(linked.unionByName(further).toDF("u", "v")), "known")
+        tops = stage(known.join(tiles.select(F.col("tile").alias("node")).distinct(), "node", "left_semi").select(F.col("node").alias("tile"), F.col("root").alias("top")), "tops")
+        told = tiles.join(known, "node", "left").join(checked(tops), "tile", "left").withColumn("label", F.coalesce("root", "node"))
+        told = stage(told.select("tile", "node", "n", "label", (F.col("label") != F.coalesce("top", "tile")).alias("alone")), "told")
         dealt = _unlinked_blocks(told, "n", 8 * _BLOCK_COLUMNS).join(folds, "node")
-        reach = stage(dealt.groupBy("tile", "i", "j").applyInArrow(_in_reach, "tile long, node long, n long, alone boolean").distinct(), "reach")
+        reach = stage(dealt.groupBy("tile", "i", "j").applyInArrow(_in_reach, "tile long, node long, n long, label long, alone boolean").distinct(), "reach")
         blocks = _with_sets(docs, nodes, _unlinked_blocks(reach, "n", _BLOCK_COLUMNS).select("tile", "i", "j", "node"))
         connected = stage(blocks.groupBy("tile", "i", "j").applyInArrow(_multiply, "u long, v long").distinct(), "links")
-    for done in (tiles, near, first, up, tops, rest, told, reach):
+    for done in (tiles, near, first, linked, up, rest, further, tops, told, reach):
         drop_staged(done)
-    as_links = lambda df: df.select(F.col("center").alias("u"), F.col("node").alias("v"))
-    return as_links(linked).unionByName(as_links(further)).unionByName(connected)
+    return known.toDF("u", "v").unionByName(connected)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
