@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import decontam, exact_dedup, langid, ngram_join, sentencepiece_codec
-from tidewright.llm.common import stage, table
+from tidewright.llm.common import drop_staged, stage, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,11 +46,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for k, (_, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = stage(docs, f"pipeline-{k}")
-    return docs
+    for k, (_, step) in enumerate(STAGES[:-1]):
+        made = stage(step(spark, docs, sf_dir), f"pipeline-{k}")
+        if k:
+            drop_staged(docs)
+        docs = made
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 def queries():

@@ -6,8 +6,12 @@ import atexit
 import uuid
 from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,13 +85,6 @@ def without_rows(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone, row, "left_anti")
 
 
-def bound_batches(spark: SparkSession, n: int = 1000) -> None:
-    """Lower the session's Arrow batches to n rows: whole texts are long, and a batch is held on both sides of the pipe."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= n:
-        spark.conf.set(key, str(n))
-
-
 @contextmanager
 def batch_rows(spark: SparkSession, n: int):
     """While it lasts, Arrow batches have at most n rows, which bounds memory where rows hold long lists."""
@@ -135,3 +132,34 @@ def slices(lengths, most: int):
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+#: Bytes of text that per_text() holds as Python strings at once; a longer text stands alone.
+BYTES_AT_ONCE = 1 << 22
+
+
+def text_slices(column: pa.Array, most: int = BYTES_AT_ONCE):
+    """(first row, last row + 1) of runs of rows of a string column of a bounded size. A batch itself is bounded by Spark in bytes."""
+    return slices(pc.fill_null(pc.binary_length(column), 0).to_pylist(), most)
+
+
+def per_text(docs: DataFrame, id_col: str, text_col: str, fields: str, rows_of) -> DataFrame:
+    """id_col and the fields of the rows that rows_of gives for each text, null being the empty text. Ids of any type pass
+    through Arrow as they are, nulls included; a field that is named as the id gets another name."""
+    added = T._parse_datatype_string(fields)
+    names = fresh([id_col], *added.names)
+    schema = T.StructType([docs.schema[id_col], *[T.StructField(n, f.dataType) for n, f in zip(names, added.fields, strict=True)]])
+    arrow = to_arrow_schema(added)
+
+    def run(batches):
+        for batch in batches:
+            for a, b in text_slices(batch.column(1)):
+                at, rows = [], []
+                for i, text in enumerate(batch.column(1).slice(a, b - a).to_pylist(), a):
+                    found = rows_of(text or "")
+                    at += [i] * len(found)
+                    rows += found
+                columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *columns], names=schema.names)
+
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)

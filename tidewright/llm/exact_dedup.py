@@ -8,20 +8,18 @@ Defined cases: a null text counts as the empty text; texts are equal when their
 one batch the row with the largest id stays (null ids count as smallest, and stay only where a text has no other);
 a text that an earlier batch brought keeps that batch's row; rows that share both id and text are one row repeated:
 the report marks each of them as kept, deduplicate() returns one. Empty tables give empty results. Other columns pass
-through deduplicate() untouched, whatever their names.
+through deduplicate() untouched, whatever their names. A text of any length is digested whole.
 """
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import fresh, new_path, stage
-
-#: A digest with more than 1/HOT_SHARE of a batch's rows is hot, so fewer than HOT_SHARE digests are, whatever the input.
-HOT_SHARE = 1000
+from tidewright.llm.common import drop_staged, join_by_key, new_path, numbered, stage, without_rows
 
 
 def digest_of(text: str) -> Column:
@@ -40,6 +38,8 @@ class DigestIndex:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.path = path or new_path(spark, self.name)
         if not spark.catalog.tableExists(self.name):
+            if path is None:
+                atexit.register(_forget, spark, self.name)
             spark.sql(f"CREATE TABLE {self.name} (digest BINARY, keep_id {id_type}, group_size BIGINT) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
 
     def entries(self) -> DataFrame:
@@ -53,15 +53,13 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
     def look_up(self, rows: DataFrame) -> DataFrame:
-        """rows (id, digest) with their entries. Hot digests meet a broadcast of fewer than HOT_SHARE entries; the
-        rest is shuffled to the buckets, where no digest has more than 1/HOT_SHARE of the rows."""
-        counts = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
-        total = rows.count()
-        hot = stage(counts.filter(F.col("n") > total / HOT_SHARE).select("digest"), "hot-digests")
-        hot_entries = self.entries().join(F.broadcast(hot), "digest")
-        common = rows.join(F.broadcast(hot_entries), "digest")
-        rare = rows.join(F.broadcast(hot), "digest", "left_anti").join(self.entries().hint("merge"), "digest")
-        return common.unionByName(rare)
+        """rows (id, digest) with their entries; hot digests meet a broadcast, the rest is shuffled to the buckets."""
+        return join_by_key(rows, self.entries(), ["digest"])
+
+
+def _forget(spark: SparkSession, name: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def _digested(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -80,15 +78,19 @@ def exact_groups(docs: DataFrame, index: DigestIndex | None = None, id_col: str
 
 
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, one for each new text, with all their columns. Of rows that share id and text, the
-    first by a hash of the other columns stays."""
-    rows = stage(_digested(docs, id_col, text_col), "digests")
-    index = index or DigestIndex(docs.sparkSession, id_type=dict(rows.dtypes)["id"])
-    index.add(rows)
-    digest, key, rank = fresh(docs.columns, "digest", "key", "rank")
-    as_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0null"))
-    kept = index.entries().select(F.col("digest").alias(digest), as_key("keep_id").alias(key))
+    """The rows of docs that stay, one for each text that the index lacks, with all their columns: that with the largest id, of
+    several the first by a hash of the other columns. The digests are appended to the index. What a digest's rows come down to
+    is found before the shuffle, and texts are not shuffled up to a checked number of rows that go."""
+    rows, row = numbered(docs, "numbered")
     others = [F.col(c) for c, kind in docs.dtypes if c not in (id_col, text_col) and not kind.startswith(("map", "variant"))]
-    same = Window.partitionBy(digest, key).orderBy(F.xxhash64(*others) if others else F.lit(0))
-    found = docs.withColumns({digest: digest_of(text_col), key: as_key(id_col)}).join(kept.hint("merge"), [digest, key])
-    return found.withColumn(rank, F.row_number().over(same)).filter(F.col(rank) == 1).select(*docs.columns)
+    tie = F.xxhash64(*others) if others else F.lit(0).cast("long")
+    told = stage(rows.select(F.col(row).alias("row"), F.col(id_col).alias("id"), digest_of(text_col).alias("digest"), tie.alias("tie")), "digests")
+    index = index or DigestIndex(docs.sparkSession, id_type=dict(told.dtypes)["id"])
+    best = F.max(F.struct(F.col("id"), (-F.col("tie")).alias("tie"), (-F.col("row")).alias("row")))
+    kept = told.groupBy("digest").agg(best.alias("best")).hint("merge").join(index.entries().select("digest"), "digest", "left_anti")
+    kept = stage(kept.select((-F.col("best.row")).alias("row")), "kept")
+    index.add(told.select("id", "digest"))
+    gone = told.select("row").join(kept, "row", "left_anti")
+    out = without_rows(rows, row, gone).select(*docs.columns)
+    drop_staged(told)
+    return out

@@ -6,9 +6,11 @@ the loss of every bit's margin under its codeword, weighted by how well that bit
 and takes the nearest codeword. A text whose two nearest codewords are about as near is flagged as ambiguous.
 
 Defined cases: a text that is null or has no letter is `und` with score 0 and is not ambiguous; with no labelled row
-everything is `und`; with one language every text with a letter gets it. Every row of the input gives one row. Whole
-texts are read, however long. Training takes at most about MAX_PER_LANG texts a language (a documented sample, drawn
-by a hash of the id); the counts that leave the executors are bounded by languages x buckets.
+everything is `und`; with one language every text with a letter gets it; of languages equally near the first by name is taken.
+Every row of the input gives one row, repeated ones too, and an empty table none; ids pass as they are, null ones too; other
+columns, whatever their names, don't matter. Whole texts are read, however long. Training takes at most about MAX_PER_LANG texts
+a language (a documented sample, drawn by a hash of the id) of at most MAX_LANGS languages; the counts that leave the executors
+are bounded by languages x buckets.
 """
 
 from __future__ import annotations
@@ -22,10 +24,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import bound_batches, fresh, slices, stage, unit_hash
+from tidewright.llm.common import fresh, slices, stage, unit_hash
 
 #: Labelled texts for each language that the classifiers are fitted on, about.
 MAX_PER_LANG = 2000
+#: Languages that are learned at most: those with the most labelled texts.
+MAX_LANGS = 400
 BUCKETS = 1 << 14  # for each of the two gram lengths
 UNDETERMINED = "und"
 _PIECE = 1 << 17  # code points handled at once
@@ -47,7 +51,7 @@ def codewords(n: int) -> np.ndarray:
     rng, best, far = np.random.default_rng(7), None, -1
     for _ in range(64):
         code = rng.choice(np.array([-1, 1], np.int8), (n, math.ceil(10 * math.log2(n))))
-        code = code[:, np.abs(code.sum(axis=1 - 1)) < n]
+        code = code[:, np.abs(code.sum(axis=0)) < n]
         apart = (code.shape[1] - code.astype(int) @ code.T.astype(int)) // 2
         least = int((apart + np.eye(n, dtype=int) * 10**6).min())
         if least > far:
@@ -106,11 +110,10 @@ class Model:
         return best, first, second > 0.5 * first
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = MAX_PER_LANG) -> Model:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_per_lang: int = MAX_PER_LANG, max_langs: int = MAX_LANGS) -> Model:
     """Fit on the rows of labelled whose language isn't null."""
-    bound_batches(labelled.sparkSession)
     known = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()}
     langs = sorted(sizes)
     code = codewords(len(langs))
     bits = code.shape[1]

@@ -3,12 +3,14 @@
 A license cue anchors candidate blocks: for every known wording that has the cue, a block of that wording's length whose
 cue lies where the wording's does, or up to SHIFT words off, whatever line breaks or words stand before it. Blocks that have
 too few of the wording's words to be confirmed are passed over; the others are compressed twice: alone, and with the wording
-as a raw dictionary. The wordings are ranked by how much smaller the dictionary makes the block, and the best are confirmed
+as a raw dictionary. The wordings are ranked by how much smaller the dictionary makes the block, and those that pass are confirmed
 by comparing words: the report names every word that is missing or added, so near wordings (another version, another name)
 stay apart. Of those confirmed the one with the most words found stays.
 
-Defined cases: null and empty texts give no rows; a document gives one row for each confirmed block, in order, blocks
-don't overlap; repeated documents each give theirs. Offsets are code points, end exclusive.
+Defined cases: null and empty texts, and an empty table, give no rows; a text of any length is read whole; a document gives one
+row for each confirmed block, in order, blocks don't overlap; of wordings with equally many words found the exact one stays, then the
+block nearest to its cue's place, then the first by gain; repeated documents each give theirs; ids pass as they are, null ones too;
+other columns, whatever their names, are not read. Offsets are code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -19,12 +21,9 @@ import re
 from collections import Counter
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewright.llm.common import bound_batches
+from tidewright.llm.common import per_text
 
 #: Public license wordings and notices, by SPDX identifier.
 WORDINGS = (
@@ -51,7 +50,6 @@ _CUE = re.compile(r"licen[sc]|rights[\s*#/;>|%-]+reserved|permission|redistribut
 #: Every cue has one of these.
 _HINTS = ("licens", "licenc", "reserved", "permission", "redistribut", "creative")
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
-_RANKED = 3  # wordings confirmed for each cue, best first
 SHIFT = 3  # words that a block may begin before or after the place that its cue gives
 LEAST_SHARE = 0.85  # of the wording's words that the block must have, in order
 LEAST_GAIN = 0.2
@@ -125,7 +123,7 @@ def licenses_in(text: str | None) -> list[tuple[int, int, str, float, float, boo
                 ranked.append((max(gains), len(wording), name, wording, list(zip(gains, blocks, strict=True))))
         ranked.sort(key=lambda x: (-round(x[0], 3), -x[1], x[2]))
         best = None
-        for _, _, name, wording, blocks in ranked[:_RANKED]:
+        for _, _, name, wording, blocks in ranked:
             for gain, (a, b, off) in blocks:
                 share, diffs = word_differences(wording, words[a:b])
                 if gain >= LEAST_GAIN and share >= LEAST_SHARE and _reaches(wording, words[a:b], cue - a):
@@ -139,13 +137,4 @@ def licenses_in(text: str | None) -> list[tuple[int, int, str, float, float, boo
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per confirmed block: id_col, block_start, block_end, license_id, gain, share, exact, differences."""
-    bound_batches(docs.sparkSession)
-    fields = "block_start long, block_end long, license_id string, gain double, share double, exact boolean, differences string"
-    schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(fields).fields])
-
-    def scan(batches):
-        for pdf in batches:
-            rows = [(i, *x) for i, text in zip(pdf.iloc[:, 0].astype(object).where(pdf.iloc[:, 0].notna(), None), pdf.iloc[:, 1], strict=True) for x in licenses_in(text)]
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(scan, schema)
+    return per_text(docs, id_col, text_col, "block_start long, block_end long, license_id string, gain double, share double, exact boolean, differences string", licenses_in)

@@ -49,7 +49,7 @@ _SKETCH_COLUMNS = 32  # counts in a row
 SHORT = 32
 #: Columns whose bucket stands 2**HOT_RANK above chance or more count as long without being counted in one place.
 HOT_RANK = 11
-_BLOCK_COLUMNS, _BLOCK_ROWS, _STAR_ROWS = 200_000, 1000, 5000  # columns that are multiplied and rows in a block, about
+_BLOCK_COLUMNS, _BLOCK_ROWS, _STAR_ROWS = 200_000, 1000, 500  # columns that are multiplied and rows in a block, about
 _COLUMNS_AT_ONCE = 1024
 _TEXTS, _LISTS = 1000, 128  # rows in a batch of texts and in one of whole sets
 _BITMAP_BITS = 25  # of the filter of wanted sets where their ids are too many to broadcast

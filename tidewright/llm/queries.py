@@ -48,7 +48,7 @@ def op7_ngram_jaccard_join(spark, sf_dir):
 def op8_warc(spark, sf_dir):
     path = new_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    return warc.read_archives(spark, path)
+    return warc.read_archives(spark, path).drop("record_id")
 
 
 def op9_license_scan(spark, sf_dir):

@@ -5,23 +5,23 @@ candidates are decoded and reported only when the bytes prove to be a key: DER w
 an OpenSSH container, a PEM block around either, base64 of such a PEM block, or a signed token whose header names an
 algorithm. Line breaks within a candidate, real ones or escaped ones (backslash and n), don't count.
 
-Defined cases: a null text counts as empty; offsets are code points, end exclusive; spans of one kind don't overlap,
-spans of different kinds may; every row of the input gives one row, repeated rows included.
+Defined cases: a null text counts as empty; a text of any length is read whole; offsets are code points, end exclusive;
+spans of one kind don't overlap, spans of different kinds may; every row of the input gives one row, repeated rows included,
+and an empty table none; ids pass as they are, null ones too; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tidewright.llm.common import bound_batches
+from tidewright.llm.common import per_text
 
 #: Kinds in the order in which spans with one start are listed: base kinds, then confirmed ones.
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der", "ssh")
@@ -33,7 +33,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}(?![A-Za-z0-9+/_=-])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s:,-]|\\+[nr])*?)-----END \1-----")
+_MARKER = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+_PEM_BODY = re.compile(r"(?:[A-Za-z0-9+/=\s:,-]|\\+[nr])*")
 _ESCAPED_BREAK = re.compile(r"\\+[nr]")
 _BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*")
 _RUN = re.compile("[A-Za-z0-9+/_-]+")
@@ -130,11 +131,13 @@ def _key_length(data: bytes) -> int | None:
     return 2 + size + int.from_bytes(data[2 : 2 + size], "big") if 1 <= size <= 4 else 2 + data[1] if not size else None
 
 
-def _runs(text: str, start: int, run: re.Pattern) -> list[tuple[int, int]]:
-    """(begin, end) of the run at start and of those that follow it with only a line break between."""
-    out, at = [], start
-    while m := run.match(text, at):
+def _runs(text: str, start: int, run: re.Pattern, least: int | None = None) -> list[tuple[int, int]]:
+    """(begin, end) of the run at start and of those that follow it with only a line break between, until they have `least`
+    characters."""
+    out, at, total = [], start, 0
+    while (least is None or total < least) and (m := run.match(text, at)):
         out.append(m.span())
+        total += m.end() - m.start()
         gap = _BREAK.match(text, m.end())
         if not gap:
             break
@@ -151,27 +154,35 @@ def _end_of(runs: list[tuple[int, int]], n: int) -> int | None:
     return None
 
 
+def _bytes_of(text: str, runs: list[tuple[int, int]], is_hex: bool) -> bytes:
+    chars = "".join(text[a:b] for a, b in runs)
+    return bytes.fromhex(chars[: len(chars) // 2 * 2]) if is_hex else _decoded(chars[: len(chars) - (len(chars) % 4 == 1)]) or b""
+
+
 def _key_over_lines(text: str, start: int) -> tuple[int, str, int] | None:
-    """The key that begins at start in base64 or hex, over as many lines as its own lengths ask for."""
+    """The key that begins at start in base64 or hex, over as many lines as its own lengths ask for. Lines beyond the first are
+    only read for what begins as a key and says how long it is."""
     is_hex = text.startswith("30", start) or text[start : start + 2].lower() == "6f"
-    runs = _runs(text, start, _HEX_RUN if is_hex else _RUN)
-    chars = "".join(text[a:b] for a, b in runs)
-    if is_hex:
-        data = bytes.fromhex(chars[: len(chars) // 2 * 2])
+    run = _HEX_RUN if is_hex else _RUN
+    head = _bytes_of(text, [(a, min(b, a + 64)) for a, b in _runs(text, start, run, 16)], is_hex)
+    if head.startswith(b"-----BEGIN "):
+        runs = _runs(text, start, run)
+        for _, inner_end in _pem_keys(_bytes_of(text, runs, False).decode("latin-1"))[:1]:  # the rest of the run belongs to the same value
+            last = _end_of(runs, -(-inner_end * 4 // 3))
+            end = _RUN.match(text, last)
+            return start, "pem", _padded(text, end.end() if end else last)
+        return None
+    if head.startswith(b"openssh-key"):
+        n = _key_length(_bytes_of(text, _runs(text, start, run), is_hex))
     else:
-        data = _decoded(chars[: len(chars) - (len(chars) % 4 == 1)]) or b""
-    if text.startswith("LS0t", start):
-        inner = data.decode("latin-1")
-        for m in _PEM.finditer(inner):
-            if _is_pem_key(m):
-                last = _end_of(runs, -(-m.end() * 4 // 3))
-                end = _RUN.match(text, last)
-                return start, "pem", _padded(text, end.end() if end else last)
+        n = _key_length(head)
+    if n is None:
         return None
-    n = _key_length(data)
-    if n is None or n > len(data) or not (kind := _key_kind(data[:n])):
+    chars = 2 * n if is_hex else -(-n * 4 // 3)
+    runs = _runs(text, start, run, chars)
+    end = _end_of(runs, chars)
+    if end is None or not (kind := _key_kind(_bytes_of(text, runs, is_hex)[:n])):
         return None
-    end = _end_of(runs, 2 * n if is_hex else -(-n * 4 // 3))
     if any(a < end < b for a, b in runs):  # more of the same line
         return None
     return start, kind, end if is_hex else _padded(text, end)
@@ -183,10 +194,31 @@ def _padded(text: str, end: int) -> int:
     return end
 
 
-def _is_pem_key(m: re.Match) -> bool:
-    body = _ESCAPED_BREAK.sub("\n", m[2])
-    lines = "".join(x for x in body.splitlines() if ":" not in x)
-    return bool(_key_kind(_decoded("".join(lines.split()))) or "ENCRYPTED" in body)
+def _pem_keys(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the armoured blocks around a key. Each BEGIN is paired with the next marker if that ends the same kind,
+    so the text is read once however many lack an end."""
+    out, begun = [], None
+    for m in _MARKER.finditer(text):
+        if m[1] == "BEGIN":
+            begun = m
+        elif begun is not None:
+            if begun[2] == m[2] and _PEM_BODY.fullmatch(text, begun.end(), m.start()) and _holds_key(text[begun.end() : m.start()]):
+                out.append((begun.start(), m.end()))
+            begun = None
+    return out
+
+
+def _holds_key(body: str) -> bool:
+    """Whether an armoured body decodes to a key. In the older form of encryption, which headers announce with a cipher and its
+    initial value, the data are whole cipher blocks of at least a key's size; in the newer one they are DER."""
+    lines = _ESCAPED_BREAK.sub("\n", body).splitlines()
+    headers = dict(x.split(":", 1) for x in lines if ":" in x)
+    data = _decoded("".join("".join(x.split()) for x in lines if ":" not in x))
+    if "ENCRYPTED" in headers.get("Proc-Type", ""):
+        info = re.fullmatch(r"\s*(AES-(?:128|192|256)-CBC|DES-EDE3-CBC|DES-CBC)\s*,\s*((?:[0-9A-Fa-f]{2})+)\s*", headers.get("DEK-Info", ""))
+        block = 0 if info is None else 16 if info[1].startswith("AES") else 8
+        return bool(data and block and len(info[2]) == 2 * block and len(data) >= 48 and len(data) % block == 0)
+    return bool(_key_kind(data))
 
 
 def _decoded(text: str) -> bytes | None:
@@ -215,8 +247,10 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
     """(start, kind, end) of what decodes to the structure of a key or a signed token."""
     found = []
     if "-----BEGIN " in text:
-        found += [(m.start(), "pem", m.end()) for m in _PEM.finditer(text) if _is_pem_key(m)]
+        found += [(a, "pem", b) for a, b in _pem_keys(text)]
     armoured, done = list(found), 0
+    starts = [a for a, _, _ in armoured]
+    _within = lambda at: (k := bisect.bisect_right(starts, at) - 1) >= 0 and at < armoured[k][2]
     if "eyJ" in text:
         found += [(m.start(), "jwt", m.end()) for m in _JWT.finditer(text) if _is_token(m[1], m[2])]
     for m in _BASE64.finditer(text):
@@ -226,7 +260,7 @@ def confirmed_spans(text: str) -> list[tuple[int, str, int]]:
         elif run[:2].lower() in ("30", "6f") and len(run) % 2 == 0 and re.fullmatch("[0-9A-Fa-f]+", run) and (kind := _key_kind(bytes.fromhex(run))):
             found.append((m.start(), kind, m.end()))
     for m in _HEAD.finditer(text):
-        if m.start() >= done and _BEFORE_HEAD.match(text, m.start()) and not any(a <= m.start() < b for a, _, b in armoured) and (key := _key_over_lines(text, m.start())):
+        if m.start() >= done and _BEFORE_HEAD.match(text, m.start()) and not _within(m.start()) and (key := _key_over_lines(text, m.start())):
             found = [x for x in found if x[:2] != key[:2]] + [key]
             done = key[2]
     return found
@@ -236,21 +270,12 @@ def _joined(spans: list[tuple[int, str, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(spans, key=lambda x: (x[0], KINDS.index(x[1]), x[2])))
 
 
+def _report(text: str) -> list[tuple]:
+    base = base_spans(text)
+    count = [sum(k == kind for _, k, _ in base) for kind in KINDS[:3]]
+    return [(*count, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + confirmed_spans(text)))]
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_assign, n_access, n_hex, base_sha256, spans."""
-    bound_batches(docs.sparkSession)
-    schema = f"`{id_col}` {dict(docs.dtypes)[id_col]}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
-
-    def scan(batches):
-        for ids, texts in ((pdf.iloc[:, 0], pdf.iloc[:, 1]) for pdf in batches):
-            rows = []
-            for text in texts:
-                text = text if isinstance(text, str) else ""
-                base = base_spans(text)
-                count = [sum(k == kind for _, k, _ in base) for kind in KINDS[:3]]
-                rows.append((*count, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(base + confirmed_spans(text))))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans"])
-            out.insert(0, id_col, ids.to_numpy(), allow_duplicates=True)
-            yield out
-
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(scan, schema)
+    return per_text(docs, id_col, text_col, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string", _report)

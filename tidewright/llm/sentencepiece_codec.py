@@ -1,35 +1,36 @@
 """SentencePiece models on the tokenizers library: encoding and decoding.
 
 The model file (a protobuf) is parsed here: pieces with their scores and kinds, the trainer's kind of model and the
-normaliser. From these a tokenizer is rebuilt: the precompiled normaliser, the dummy prefix and the marker in place of
-spaces, the pieces (with scores for a unigram model, with merges in order of score for a BPE model) and byte fallback.
+normaliser. From these a tokenizer is rebuilt: the precompiled normaliser, squeezing of spaces, the dummy prefix and the marker
+in place of spaces as the tokenizer's own normaliser, the pieces (with scores for a unigram model, with merges in order of score
+for a BPE model) and byte fallback. Whole texts are encoded in multithreaded batches. A share of the texts, drawn by a
+hash of the text, is encoded whole with the SentencePiece library too and compared, id by id.
 
-Pieces never reach over the start of a marked word, so a text's tokens are those of its words. Each task encodes the
-distinct words of a batch in one multithreaded call and puts the texts together from them. Every distinct word is also
-encoded with the SentencePiece library and compared, which verifies parity for every token of every text.
+The model file is read once, on the driver, and its bytes go with the tasks. Models with user-defined pieces, which cut a text
+before it is normalised, are refused. The default model is BPE; unigram models are tested on one that is made by hand.
 
-Defined cases: null and empty texts have no tokens and decode to the empty text; every row gives one row; a text decodes
-to its normalised form, which `exact` compares with the text itself.
+Defined cases: null and empty texts have no tokens and decode to the empty text; a text of any length is encoded whole; every
+row gives one row, repeated ones too, and an empty table none; ids pass as they are, null ones too; other columns, whatever
+their names, are not read; a text decodes to its normalised form, which `exact` compares with the text itself.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
-import re
 import struct
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import bound_batches, slices
+from tidewright.llm.common import fresh, text_slices
 
 #: Where the public tokenizer files are; a parameter of every function that reads one.
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -37,8 +38,10 @@ MARK = "▁"
 #: Kinds of pieces and of models, as the public protobuf definition numbers them.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Words that a task keeps encoded, about 60 MB, and characters that it encodes at once.
-_CACHE_WORDS, _CHARS_AT_ONCE = 60_000, 1 << 19
+#: The share of texts that are compared with the SentencePiece library.
+PARITY_SHARE = 0.5
+_BYTES_AT_ONCE = 1 << 19
+_CONTROL_TEXT = "\0"  # stands before control pieces, which no text has
 
 
 def _fields(data: bytes):
@@ -101,80 +104,50 @@ def _merges(model: PieceModel) -> list[tuple[str, str]]:
 
 
 def build(model: PieceModel):
-    """A tokenizer for marked words: the model alone, as normalising and marking are done for whole texts."""
-    from tokenizers import Tokenizer, models
+    """The tokenizer of a model, which takes whole texts."""
+    from tokenizers import Regex, Tokenizer, models, normalizers
 
+    if any(kind == USER_DEFINED for *_, kind in model.pieces):
+        raise ValueError("models with user-defined pieces are not supported")
     if model.kind == BPE:
         vocab = {p: i for i, (p, _, _) in enumerate(model.pieces)}
-        return Tokenizer(models.BPE(vocab=vocab, merges=_merges(model), unk_token=model.pieces[model.unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback))
-    return Tokenizer(models.Unigram([(p, s) for p, s, _ in model.pieces], model.unknown, model.byte_fallback))
+        out = Tokenizer(models.BPE(vocab=vocab, merges=_merges(model), unk_token=model.pieces[model.unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback))
+    else:
+        out = Tokenizer(models.Unigram([(_CONTROL_TEXT + p if kind in (CONTROL, UNUSED) else p, s) for p, s, kind in model.pieces], model.unknown, model.byte_fallback))
+    steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
+    if model.squeeze:
+        steps += [normalizers.Replace(Regex(" +"), " "), normalizers.Replace(Regex("^ | $"), "")]
+    steps += [normalizers.Prepend(MARK)] if model.dummy_prefix else []
+    out.normalizer = normalizers.Sequence([*steps, normalizers.Replace(" ", MARK)])
+    return out
 
 
-def normalizer(model: PieceModel):
-    """text -> marked text, as the model's normaliser has it."""
-    from tokenizers import normalizers
-
-    maps = normalizers.Precompiled(model.charsmap) if model.charsmap else None
-
-    def normalise(text: str) -> str:
-        if maps is not None:
-            text = maps.normalize_str(text)
-        if model.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return ((" " if model.dummy_prefix else "") + text).replace(" ", MARK)
-
-    return normalise
-
-
-_WORDS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+def is_compared(text: str, share: float) -> bool:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) < share * (1 << 32)
 
 
 class Codec:
-    def __init__(self, path: str = DEFAULT_MODEL, threads: int = 2):
+    def __init__(self, data: bytes, threads: int = 2):
         import sentencepiece
 
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
-        with open(path, "rb") as f:
-            data = f.read()
         self.model = parse_model(data)
-        self.tokenizer, self.normalise = build(self.model), normalizer(self.model)
+        self.tokenizer = build(self.model)
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
         self.threads = threads
-        self.known: dict[str, bytes] = {}  # ids as 32-bit little-endian numbers
-        self.apart: set[str] = set()  # words whose ids aren't the library's
         self.pieces = [p for p, _, _ in self.model.pieces]
         self.kinds = [k for _, _, k in self.model.pieces]
         self.texts = [chr(b) if k == BYTE and (b := int(p[3:5], 16)) < 128 else "" if k == CONTROL else " ⁇ " if k == UNKNOWN else p for p, _, k in self.model.pieces]
         self.high = {i for i, (p, _, k) in enumerate(self.model.pieces) if k == BYTE and int(p[3:5], 16) > 127}
-        if any(MARK in p.lstrip(MARK) or ("\n" in p and len(p) > 1) for p in self.pieces):
-            raise ValueError("the model has pieces that reach over the start of a word")
-
-    def _reference_ids(self, words: list[str]) -> list[list[int]]:
-        """The library's ids of marked words. It adds a marker of its own in front, taken off again by a first newline."""
-        cut = self.reference.encode("\n")
-        out = self.reference.encode(["\n" + w.replace(MARK, " ") for w in words], num_threads=self.threads)
-        return [x[len(cut) :] if x[: len(cut)] == cut else x for x in out]
-
-    def learn(self, words) -> None:
-        """Encode the words not yet known, and hold each against the library."""
-        new = [w for w in words if w not in self.known]
-        ours = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for word, e, theirs in zip(new, ours, self._reference_ids(new), strict=True):
-            self.known[word] = struct.pack(f"<{len(e.ids)}i", *e.ids)
-            if e.ids != theirs:
-                self.apart.add(word)
-
-    def encode_batch(self, texts: list[str | None]) -> list[tuple[np.ndarray, bool]]:
-        """(ids, parity) of each text."""
-        if len(self.known) > _CACHE_WORDS:
-            self.known.clear()
-        split = [_WORDS.findall(self.normalise(t or "")) for t in texts]
-        self.learn(set().union(*split))
-        ids_of = self.known.__getitem__
-        return [(np.frombuffer(b"".join(map(ids_of, words)), "<i4"), self.apart.isdisjoint(words)) for words in split]
+
+    def encode_batch(self, texts: list[str], share: float = PARITY_SHARE) -> list[tuple[list[int], bool | None]]:
+        """(ids, parity) of each text; parity is None for a text that is not compared."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        compared = [i for i, t in enumerate(texts) if is_compared(t, share)]
+        theirs = self.reference.encode([texts[i] for i in compared], num_threads=self.threads)
+        same = dict(zip(compared, (ids[i] == x for i, x in zip(compared, theirs, strict=True)), strict=True))
+        return [(x, same.get(i)) for i, x in enumerate(ids)]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes put together (what isn't UTF-8 becomes U+FFFD), markers as spaces, the first one off."""
@@ -188,32 +161,36 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def _codec(path: str, threads: int) -> Codec:
-    return Codec(path, threads)
+def _codec(data: bytes, threads: int) -> Codec:
+    return Codec(data, threads)
+
 
+def read_model(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = DEFAULT_MODEL, threads: int = 2, with_tokens: bool = False) -> DataFrame:
-    """One row per row of docs: id_col, n_tokens, token_sha256 (of the ids as 32-bit little-endian numbers), parity (every
-    word's ids are those of the SentencePiece library), exact (the ids decode to the text itself), and tokens if asked."""
-    bound_batches(docs.sparkSession)
-    added = "n_tokens long, token_sha256 string, parity boolean, exact boolean" + ", tokens array<int>" * with_tokens
-    schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string(added).fields])
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = DEFAULT_MODEL, threads: int = 2, with_tokens: bool = False, parity_share: float = PARITY_SHARE) -> DataFrame:
+    """One row per row of docs: id_col, n_tokens, token_sha256 (of the ids as 32-bit little-endian numbers), parity (whether the
+    ids are those of the SentencePiece library; null where not compared), exact (the ids decode to the text itself), and tokens
+    if asked."""
+    added = T._parse_datatype_string("n_tokens long, token_sha256 string, parity boolean, exact boolean" + ", tokens array<int>" * with_tokens)
+    schema = T.StructType([docs.schema[id_col], *[T.StructField(n, f.dataType) for n, f in zip(fresh([id_col], *added.names), added.fields, strict=True)]])
+    data = read_model(model_path)
 
     def encoded(batches):
-        codec = _codec(model_path, threads)
+        codec = _codec(data, threads)
         for batch in batches:
-            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-            for a, b in slices(lengths, _CHARS_AT_ONCE):
+            for a, b in text_slices(batch.column(1), _BYTES_AT_ONCE):
                 texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
-                found = codec.encode_batch(texts)
-                ids = [x for x, _ in found]
+                found = codec.encode_batch(texts, parity_share)
+                ids = [np.array(x, "<i4") for x, _ in found]
                 columns = [
                     batch.column(0).slice(a, b - a),
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids]),
-                    pa.array([same for _, same in found]),
-                    pa.array([codec.decode(x.tolist()) == t for x, t in zip(ids, texts, strict=True)]),
+                    pa.array([same for _, same in found], pa.bool_()),
+                    pa.array([codec.decode(x) == t for (x, _), t in zip(found, texts, strict=True)]),
                 ]
                 if with_tokens:
                     columns.append(pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32), pa.array(np.concatenate(ids))))
@@ -224,10 +201,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
 
 def decode(rows: DataFrame, id_col: str = "doc_id", tokens_col: str = "tokens", model_path: str = DEFAULT_MODEL, threads: int = 2) -> DataFrame:
     """id_col and the text of each row's tokens; null tokens give the empty text, unknown ids are an error."""
+    data = read_model(model_path)
 
     @F.pandas_udf(T.StringType())
     def texts(lists: pd.Series) -> pd.Series:
-        codec = _codec(model_path, threads)
+        codec = _codec(data, threads)
         return pd.Series([codec.decode([] if x is None else list(x)) for x in lists])
 
     return rows.select(F.col(id_col), texts(F.col(tokens_col)).alias("text"))
