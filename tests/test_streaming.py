@@ -15,5 +15,33 @@ def test_later_batches_merge_under_the_guard_and_half_versions_are_not_read(spar
 
     arrive((1, 2, "a"), (1, 1, "z"), (2, 5, "b"))
     arrive((1, 3, None), (2, 4, "old"), (3, 1, "c"))
-    (tmp_path / "table" / "version=9").mkdir()
+    done = next((tmp_path / "table").glob("bucket=*"))
+    (done / "version=9").mkdir()
     assert sorted(map(tuple, upserts.latest(spark, table).collect())) == [(1, 3, "a"), (2, 5, "b"), (3, 1, "c")]
+
+
+def test_series_never_shrink(spark, tmp_path):
+    form, source, table = "s string, d int, v int", str(tmp_path / "in"), str(tmp_path / "table")
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, form).coalesce(1).write.mode("append").parquet(source)
+        upserts.merge_series_into(spark.readStream.schema(form).parquet(source), table, str(tmp_path / "checkpoint"), ["s", "d"], ["s"]).awaitTermination()
+
+    arrive(("a", 1, 1), ("a", 2, 2))
+    arrive(("a", 2, 5), ("b", 1, 1))
+    assert sorted(map(tuple, upserts.latest_series(spark, table).collect())) == [("a", 1, 1), ("a", 2, 5), ("b", 1, 1)]
+
+
+def test_hourly_polls_bring_each_document_once(spark, tmp_path):
+    form, source = "doc_id int, at timestamp", str(tmp_path / "in")
+    spark.createDataFrame([(1, "2024-01-01 01:00:00"), (1, "2024-01-01 02:00:00"), (2, "2024-01-01 02:00:00")], "doc_id int, at string").withColumn("at", F.col("at").cast("timestamp")).write.parquet(source)
+    found = upserts.attributed(upserts.first_seen(spark.readStream.schema(form).parquet(source), ["doc_id"], "at"), "at")
+    found.writeStream.format("memory").queryName("polled").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start().awaitTermination()
+    assert sorted((r.doc_id, str(r.target_date)) for r in spark.table("polled").collect()) == [(1, "2023-12-31"), (2, "2023-12-31")]
+
+
+def test_fallback_when_the_primary_fails(spark):
+    rows = spark.createDataFrame([(1, "d"), (2, "d")], "doc_id int, data_date string")
+    assert upserts.with_fallback(lambda: spark.read.parquet("/nowhere/at/all"), lambda: rows, 5).count() == 2
+    assert upserts.with_fallback(lambda: rows.limit(1), lambda: rows, 5).count() == 1
+    assert upserts.with_fallback(lambda: rows.filter("doc_id = 1"), lambda: rows, 1).count() == 2

@@ -7,23 +7,40 @@ from pyspark.sql import functions as F
 
 #: Licence tags from open to closed; anything else ranks above them.
 LICENCE_RANK = {"commercial-ok": 0, "factual-cite": 1, "personal-only": 2}
-#: Document labels in the order in which their rules are tried.
-TITLE_RULES = (("短信", "短信"), ("上場廃止", "上場廃止"), ("新規上場", "新規上場"), ("業績予想.*修正|修正.*業績予想", "業績修正"), ("配当.*修正|修正.*配当", "配当修正"), ("優待", "優待"), ("自己株式.*取得|取得.*自己株式", "自社株買い"), ("大量保有", "大量保有"), ("有価証券報告書", "有報"), ("四半期報告書", "四半期報告"))
-_SPLIT = "([0-9]+)株?(?:を|につき|対|:)([0-9]+)株"
-_RATIO = "([0-9]+)[:対]([0-9]+)"
+#: Accounting standards as filings name them, and as records do.
+ACCOUNTING_STANDARDS = {"Japan GAAP": "日本基準", "JapanGAAP": "日本基準", "IFRS": "IFRS", "US GAAP": "US-GAAP", "USGAAP": "US-GAAP"}
+#: The default licence of each source; what is calculated has none of its own.
+SOURCE_LICENCE = {"EDINET": "commercial-ok", "TDnet": "factual-cite", "yfinance": "personal-only", "stooq": "personal-only", "JPX": "personal-only", "日証金": "personal-only"}
+#: Content types by a file's ending.
+CONTENT_TYPES = {"csv": "text/csv", "html": "text/html", "htm": "text/html", "json": "application/json", "pdf": "application/pdf", "txt": "text/plain", "xml": "text/xml", "zip": "application/zip"}
+
+
+def strip(c: Column) -> Column:
+    """Without white space of any script at the ends."""
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def parse_numeric(c: Column) -> Column:
-    """Commas dropped; a leading triangle or bracket is minus; dashes, notes and what isn't a number are null."""
-    text = F.regexp_replace(F.trim(c), ",", "")
-    minus = text.rlike("^[△▲(]") & ~text.rlike("^[(]注")
-    bare = F.regexp_replace(text, "[△▲()]", "")
-    value = F.when(bare.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), F.expr("1") * bare.try_cast("double"))
+    """Commas dropped; a leading triangle or bracket is minus, if it isn't a note's; dashes, notes, what isn't a number and what
+    isn't finite are null."""
+    text = F.translate(F.regexp_replace(strip(c), ",", ""), "０１２３４５６７８９", "0123456789")
+    minus = text.rlike("^[△▲(]") & ~text.startswith("(注")
+    bare = strip(F.regexp_replace(text, "^[△▲()]+|[△▲()]+$", ""))
+    digits = "[0-9](?:_?[0-9])*"
+    plain = F.when(bare.rlike(rf"^[+-]?(?:{digits}\.?(?:{digits})?|\.{digits})(?:[eE][+-]?{digits})?$"), F.regexp_replace(bare, "_", ""))
+    value = plain.try_cast("double")
+    value = F.when(F.abs(value) < float("inf"), value)
     return F.when(minus, -value).otherwise(value)
 
 
+def round_half_even(c: Column, places: int) -> Column:
+    """The double itself rounded, ties to even: not its shortest decimal form, as round() and bround() do."""
+    return F.call_function("format_number", c, F.lit("0." + "0" * places)).cast("double")
+
+
 def lending_ratio(loan: Column, stock: Column) -> Column:
-    return F.when((loan != 0) & (stock != 0), F.round(loan / stock, 4))
+    """Null where either side is 0 or unknown."""
+    return F.when((loan != 0) & (stock != 0), round_half_even(loan / stock, 4))
 
 
 def as_percent(c: Column) -> Column:
@@ -40,24 +57,107 @@ def interim_type(kind: Column, period_end: Column) -> Column:
 
 
 def weekend_days(start: Column, end: Column) -> Column:
-    """Saturdays and Sundays in (start, end]."""
-    days = F.sequence(F.date_add(start, 1), end)
-    return F.when(end > start, F.size(F.filter(days, lambda d: F.weekday(d) >= 5))).otherwise(0)
+    """Saturdays and Sundays in (start, end]: two for each whole week, and those of the days left."""
+    days = F.greatest(F.datediff(end, start), F.lit(0))
+    left, first = days % 7, F.weekday(start) + 1  # the days left are numbered first, first + 1 ... from Monday = 0
+    partly = F.greatest(F.least(first + left, F.lit(7)) - F.greatest(first, F.lit(5)), F.lit(0)) + F.greatest(F.least(first + left - 7, F.lit(7)) - 5, F.lit(0))
+    return (F.floor(days / 7) * 2 + partly).cast("int")
+
+
+def add_business_days(start: Column, n: Column | int) -> Column:
+    """n weekdays on; 0 leaves the day as it is, whatever it is. From a weekend, counting begins with Monday."""
+    n, day = F.lit(n) if isinstance(n, int) else n, F.weekday(start)
+    weeks = F.floor((F.least(day, F.lit(4)) + n) / 5)
+    return F.when(n > 0, F.date_add(start, (F.least(F.lit(0), 4 - day) + n + 2 * weeks).cast("int"))).otherwise(start)
 
 
-def add_business_days(start: Column, n: int) -> Column:
-    days = F.sequence(F.date_add(start, 1), F.date_add(start, 2 * n + 7))
-    return F.element_at(F.filter(days, lambda d: F.weekday(d) < 5), n) if n > 0 else start
+def market_day(at: Column, zone: str = "Asia/Tokyo") -> Column:
+    """The day of an instant in the market's zone, whatever the session's is."""
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(zone), at.cast("timestamp_ntz")))
+
+
+def market_midnight(day: Column, zone: str = "Asia/Tokyo") -> Column:
+    """The instant at which a day begins in the market's zone."""
+    return F.convert_timezone(F.lit(zone), F.current_timezone(), day.cast("timestamp_ntz")).cast("timestamp")
+
+
+def elapsed_hours(start: Column, end: Column, business_days: Column | bool = True) -> Column:
+    """Hours from start to end, 0 at least; on business days without 24 for each weekend day between their market days."""
+    hours = (F.unix_micros(end) - F.unix_micros(start)) / 3.6e9
+    off = F.when(F.lit(business_days) if isinstance(business_days, bool) else business_days, 24.0 * weekend_days(market_day(start), market_day(end))).otherwise(0.0)
+    return F.greatest(F.lit(0.0), hours - off)
 
 
 def elapsed_business_hours(start: Column, end: Column) -> Column:
-    """Hours from start to end without those of weekend days between their dates, 0 at least."""
-    hours = F.timestamp_diff("SECOND", start, end) / 3600.0
-    return F.greatest(F.lit(0.0), hours - 24.0 * weekend_days(F.to_date(start), F.to_date(end)))
+    return elapsed_hours(start, end)
+
+
+def due_from(data_date: Column, lag_days: Column, epoch: Column) -> Column:
+    """Where age begins: midnight of the market after the data's own date and its lag in business days, else the epoch, else null.
+    An epoch of 0 is unknown."""
+    return F.coalesce(market_midnight(add_business_days(data_date, lag_days)), F.when(epoch != 0, F.timestamp_seconds(epoch)))
+
+
+def default_target_date(now: Column, late_hour: int = 21) -> Column:
+    """The day a run works on: today from the late hour of the market on, yesterday before it."""
+    local = F.convert_timezone(F.current_timezone(), F.lit("Asia/Tokyo"), now.cast("timestamp_ntz"))
+    return F.date_sub(F.to_date(local), F.when(F.hour(local) >= late_hour, 0).otherwise(1))
+
+
+def within_market_day(at: Column, day: Column) -> Column:
+    """Whether an instant lies in the half-open day of the market."""
+    return (at >= market_midnight(day)) & (at < market_midnight(F.date_add(day, 1)))
+
+
+def epoch_day(epoch: Column) -> Column:
+    return market_day(F.timestamp_seconds(epoch))
+
+
+def declared_epoch(day: Column) -> Column:
+    """The epoch of a declared day, at midnight UTC; null for what isn't a day."""
+    return F.unix_date(F.try_to_date(day, "yyyy-MM-dd")).cast("long") * 86400
+
+
+def coerce_epoch(c: Column) -> Column:
+    """Epoch seconds of a text: a number loses its fraction, a time in ISO form without a zone is the market's; else null."""
+    text = strip(c)
+    number = F.when(text.rlike("^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double")).cast("long")
+    iso = F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:[0-9]{2})?)?$"), text)
+    zoned = F.when(iso.rlike("(Z|[+-][0-9]{2}:[0-9]{2})$") & (F.length(iso) > 10), iso.try_cast("timestamp"))
+    plain = F.when(zoned.isNull(), F.convert_timezone(F.lit("Asia/Tokyo"), F.lit("UTC"), iso.try_cast("timestamp_ntz")))
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), plain)
+    return F.coalesce(number, F.unix_seconds(zoned), seconds)
 
 
-def judge(age: Column, rows: Column, green: float, yellow: float) -> Column:
-    return F.when(rows == 0, "red").when(rows.isNull() | age.isNull(), "unknown").when(age <= green, "green").when(age <= yellow, "yellow").otherwise("red")
+def submit_time(c: Column) -> Column:
+    """The instant of a submission, given in market time with or without seconds."""
+    local = F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm")))
+    return F.convert_timezone(F.lit("Asia/Tokyo"), F.current_timezone(), local.cast("timestamp_ntz")).cast("timestamp")
+
+
+def as_of_day(c: Column) -> Column:
+    """The day in a heading of the form YYYY年MM月DD日現在."""
+    parts = [F.regexp_extract(c, "([0-9]{4})年([0-9]{2})月([0-9]{2})日現在", k) for k in (1, 2, 3)]
+    return F.try_to_date(F.concat_ws("-", *parts), "yyyy-MM-dd")
+
+
+def same_instant(a: Column, b: Column) -> Column:
+    """Whether two times in ISO form are one instant: equal as text, or equal whatever their offsets; unreadable ones aren't."""
+    return F.coalesce(a == b, F.lit(False)) | F.coalesce(coerce_epoch(a) == coerce_epoch(b), F.lit(False))
+
+
+def accounting_standard(c: Column) -> Column:
+    text = strip(c)
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in ACCOUNTING_STANDARDS.items() for x in pair])[text], text)
+
+
+def judge(age: Column, rows: Column, green, yellow, exempt: Column | None = None) -> Column:
+    """unknown without a threshold or exemption, then red for no rows, unknown for uncounted ones, not_refreshed for the exempt,
+    then by age; a threshold itself still counts as kept."""
+    green, yellow = (F.lit(x) if isinstance(x, int | float) else x for x in (green, yellow))
+    free = F.coalesce(exempt, F.lit(False)) if exempt is not None else F.lit(False)
+    by_age = F.when(age.isNull(), "unknown").when(age <= green, "green").when(age <= yellow, "yellow").otherwise("red")
+    return F.when(green.isNull() & ~free, "unknown").when(rows == 0, "red").when(rows.isNull(), "unknown").when(free, "not_refreshed").otherwise(by_age)
 
 
 def licence_rank(tag: Column) -> Column:
@@ -67,37 +167,24 @@ def licence_rank(tag: Column) -> Column:
     return out
 
 
-def stricter(incoming: Column, existing: Column) -> Column:
-    return F.when(licence_rank(incoming) >= licence_rank(existing), incoming).otherwise(existing)
-
-
-def is_publishable(tag: Column, metadata: bool = False) -> Column:
-    return F.coalesce(tag.isin(*(["commercial-ok", "factual-cite"] if metadata else ["commercial-ok"])), F.lit(False))
+def source_licence(source: Column) -> Column:
+    """The default tag of a source. What is calculated takes the strictest of its inputs and fails here; so does an unknown source."""
+    known = F.create_map(*[F.lit(x) for pair in SOURCE_LICENCE.items() for x in pair])[source]
+    return F.when(known.isNotNull(), known).otherwise(F.raise_error(F.concat(F.lit("no default licence for source "), F.coalesce(source, F.lit("null")))))
 
 
-def split_terms(title: Column) -> Column:
-    """struct(ratio, factor) of a share split or consolidation named in a title, else null."""
-    wide = F.translate(title, "０１２３４５６７８９：", "0123456789:")
-    pick = lambda k: F.coalesce(F.nullif(F.regexp_extract(wide, _SPLIT, k), F.lit("")), F.nullif(F.regexp_extract(wide, _RATIO, k), F.lit(""))).try_cast("long")
-    old, new = pick(1), pick(2)
-    return F.when((old > 0) & (new > 0), F.struct(F.concat_ws(":", old, new).alias("ratio"), (new / old).alias("factor")))
+def strictest(tag: str) -> Column:
+    """The strictest licence of a group; a group without rows is an error."""
+    best = F.max_by(tag, licence_rank(F.col(tag)))
+    return F.when(F.count(F.lit(1)) > 0, best).otherwise(F.raise_error(F.lit("no licence to inherit from")))
 
 
-def is_genuine_listing_event(title: Column) -> Column:
-    """Not a denial, a deadline, another firm's event (but for becoming a wholly owned subsidiary) or another security."""
-    third = title.rlike("子会社|関連会社|他社") & ~title.rlike("子会社化")
-    return ~(title.rlike("ではない|おそれ|猶予|回避|取消|解除") | third | title.rlike("新株予約権|社債|投資口|優先株"))
+def stricter(incoming: Column, existing: Column) -> Column:
+    return F.when(licence_rank(incoming) >= licence_rank(existing), incoming).otherwise(existing)
 
 
-def classify_title(title: Column) -> Column:
-    terms, revised = split_terms(title), title.contains("訂正") | title.contains("修正")
-    split, merge = title.rlike("株式の?分割"), title.rlike("株式の?併合")
-    out = F.when(title.contains("短信"), "短信")
-    out = out.when(split & (terms.isNotNull() | ~revised), "株式分割").when(merge & (terms.isNotNull() | ~revised), "株式併合")
-    for pattern, label in TITLE_RULES[1:]:
-        hit = title.rlike(pattern)
-        out = out.when(hit & is_genuine_listing_event(title) if label in ("上場廃止", "新規上場") else hit, label)
-    return out.otherwise("その他")
+def is_publishable(tag: Column, metadata: bool = False) -> Column:
+    return F.coalesce(tag.isin(*(["commercial-ok", "factual-cite"] if metadata else ["commercial-ok"])), F.lit(False))
 
 
 def consolidated_of(context: Column) -> Column:
@@ -108,5 +195,15 @@ def meaningful_text(c: Column, least: int = 50) -> Column:
     return F.length(F.regexp_replace(c, r"\s+", "")) >= least
 
 
-def clip(c: Column, most: int = 2000, suffix: str = "…(truncated)") -> Column:
-    return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - 10), F.lit(suffix[:10]))).otherwise(c)
+def clip(c: Column, most: int = 2000, suffix: str = "…(省略)") -> Column:
+    """At most so many characters, the last of a longer text being the suffix after the first most - 10."""
+    return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - 10), F.lit(suffix))).otherwise(c)
+
+
+def record_title(code: Column, period_end: Column, kind: Column) -> Column:
+    return F.concat(code, F.lit(" "), F.date_format(period_end, "yyyy/MM"), F.lit("期 "), kind)
+
+
+def content_type(ext: Column) -> Column:
+    """The content type of a file's ending, as the store records it."""
+    return F.coalesce(F.create_map(*[F.lit(x) for pair in CONTENT_TYPES.items() for x in pair])[F.lower(F.regexp_replace(ext, "^[.]+", ""))], F.lit("application/octet-stream"))

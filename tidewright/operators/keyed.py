@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.values import stricter
@@ -12,24 +12,34 @@ from tidewright.functions.values import stricter
 REPLACE, MERGE, KEEP, STRICTER, PRESERVE = "replace", "merge", "keep", "stricter", "preserve"
 
 
+#: The columns of a financial record that are overwritten, and its key, licence and guard. All others merge.
+FINANCIAL_KEY = ["code", "fiscal_period_end", "disclosure_type", "consolidated"]
+FINANCIAL_OVERWRITE = ("source", "fetched_at", "quality")
+FINANCIAL_LICENCE, FINANCIAL_GUARD = "license_tag", "disclosed_at"
+UNKNOWN_SCOPE = "不明"
+PROVENANCE = ["source", "license_tag", "data_date", "fetched_at", "quality"]
+
+
+def _ranked(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key. A limit of one for each key goes before the shuffle as well, which sorts once."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+
 def pick_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """One row per key: the first in an order that leaves no ties. A grouped minimum, so it combines before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    """One row per key: the first in an order that leaves no ties."""
+    return _ranked(df, keys, [c.asc() for c in order])
 
 
 def pick_last(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
+    return _ranked(df, keys, [c.desc() for c in order])
 
 
 def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[str, str] | None = None, guard: str | None = None, scope: str | None = None) -> DataFrame:
     """old with new merged in by key, each column under its policy: replace (default), merge (new unless null), keep
     (old once there is one), stricter (licence tags), preserve (old; null for new rows). With a guard column an older or
     null incoming value leaves the row as it is. With a scope column, merge holds only where both scopes are equal. new
-    has one row per key (see fold_batch)."""
+    has one row per key (see fold_batch). Columns that new lacks are preserved, those that only new has are added."""
     policy = policy or {}
     o = old.select(*keys, F.struct(*[c for c in old.columns if c not in keys]).alias("_o"), F.lit(True).alias("_in_old"))
     n = new.select(*keys, F.struct(*[c for c in new.columns if c not in keys]).alias("_n"), F.lit(True).alias("_in_new"))
@@ -40,8 +50,10 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[s
         passes = (F.col("_n")[guard] >= F.col("_o")[guard]) | F.col("_o")[guard].isNull()
         taken = taken & (~both | F.coalesce(passes, F.lit(False)))
     out = []
-    for c in [c for c in old.columns if c not in keys]:
-        a, b = F.col("_o")[c], F.col("_n")[c] if c in new.columns else F.lit(None)
+    if unknown := [c for c in (*policy, guard, scope) if c is not None and c not in {*old.columns, *new.columns} - set(keys)]:
+        raise ValueError(f"no such columns beside the key: {', '.join(unknown)}")
+    for c in [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]:
+        a, b = (F.col(s)[c] if c in df.columns else F.lit(None) for s, df in (("_o", old), ("_n", new)))
         kind = policy.get(c, REPLACE if c in new.columns else PRESERVE)
         if kind == MERGE:
             merged = F.coalesce(b, a)
@@ -53,6 +65,29 @@ def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], policy: dict[s
     return joined.select(*keys, *out)
 
 
+def financial_policy(columns: list[str]) -> dict[str, str]:
+    """What each column of a financial record does when a later disclosure of its key comes."""
+    rest = [c for c in columns if c not in FINANCIAL_KEY]
+    return {c: REPLACE if c in FINANCIAL_OVERWRITE else STRICTER if c == FINANCIAL_LICENCE else MERGE for c in rest}
+
+
+def merge_financials(old: DataFrame, new: DataFrame, order: list[Column]) -> DataFrame:
+    """Financial records merged in under the disclosure's time; a scope that isn't known is a key of its own. A batch with
+    several rows of one key is folded in order first."""
+    known = lambda df: df.withColumn("consolidated", F.coalesce(F.nullif("consolidated", F.lit("")), F.lit(UNKNOWN_SCOPE)))
+    policy = financial_policy(new.columns)
+    folded = fold_batch(known(new), FINANCIAL_KEY, order, [c for c, kind in policy.items() if kind == MERGE])
+    return merge_upsert(known(old), folded, FINANCIAL_KEY, policy, FINANCIAL_GUARD)
+
+
+def replace_by(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of new in place of old ones with the same key, of several the last, but for columns to keep. Rows without a whole key
+    are skipped. Prices go by code and data_date, disclosures by doc_id, raw files by sha256 with first_fetched_at kept."""
+    for k in keys:
+        new = new.filter(F.col(k).isNotNull())
+    return merge_upsert(old, pick_last(new, keys, order).select(*[c for c in new.columns if c in old.columns]), keys, dict.fromkeys(keep, KEEP))
+
+
 def fold_batch(new: DataFrame, keys: list[str], order: list[Column], merge: list[str]) -> DataFrame:
     """One row per key of a batch: the last value of each column, the last that isn't null for those in merge."""
     at = F.struct(*order)
@@ -78,14 +113,16 @@ def diff_declared(declared: DataFrame, observed: DataFrame, keys: list[str], col
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str, name: str) -> DataFrame:
     """How many rows of child have a key that parent lacks; null keys don't count."""
     keyed = child.filter(F.col(child_key).isNotNull()).select(F.col(child_key).alias("k"))
-    return keyed.join(parent.select(F.col(parent_key).alias("k")).distinct(), "k", "left_anti").agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("child"), "orphans")
+    return keyed.join(parent.select(F.col(parent_key).alias("k")), "k", "left_anti").agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("child"), "orphans")
 
 
 def departed(current: DataFrame, fetched: DataFrame, key: str, least_coverage: float = 0.5) -> DataFrame:
-    """Keys of current that fetched lacks; none where fetched covers less than the given share of them."""
-    have, seen = current.select(key).distinct(), fetched.select(key).distinct()
-    share = have.join(seen.withColumn("_s", F.lit(1)), key, "left").agg((F.count("_s") / F.count(F.lit(1))).alias("_share"))
-    return have.join(seen, key, "left_anti").join(F.broadcast(share), F.col("_share") >= least_coverage).select(key)
+    """Keys of current that fetched lacks; none where the fetched keys are fewer than the given share of the current ones. Both
+    sides meet once, in one grouped pass over the keys."""
+    sides = current.select(key, F.lit(1).alias("_c"), F.lit(0).alias("_f")).unionByName(fetched.select(key, F.lit(0).alias("_c"), F.lit(1).alias("_f")))
+    keys = sides.groupBy(key).agg(F.max("_c").alias("_c"), F.max("_f").alias("_f"))
+    share = keys.agg((F.sum("_f") / F.sum("_c")).alias("_share"))
+    return keys.filter("_c = 1 and _f = 0").join(F.broadcast(share), F.col("_share") >= least_coverage).select(key)
 
 
 def merge_series(existing: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,8 +130,38 @@ def merge_series(existing: DataFrame, points: DataFrame, keys: list[str]) -> Dat
     return existing.join(points.select(*keys), keys, "left_anti").unionByName(points)
 
 
+def same_sets(declared: DataFrame, observed: DataFrame) -> DataFrame:
+    """What only one of two sets of rows has: the columns and `side`, declared or observed. No rows: the sets are equal."""
+    return declared.exceptAll(observed).distinct().withColumn("side", F.lit("declared")).unionByName(observed.exceptAll(declared).distinct().withColumn("side", F.lit("observed")))
+
+
+def with_provenance(records: DataFrame, provenance: str = "provenance") -> DataFrame:
+    """A struct of provenance as columns of its own."""
+    return records.select(*[c for c in records.columns if c != provenance], *[F.col(provenance)[c].alias(c) for c in PROVENANCE])
+
+
+def stored_form(records: DataFrame) -> DataFrame:
+    """Dates as ISO text and times as epoch seconds, as the row store keeps them; other columns as they are, in their order."""
+    as_stored = {"date": lambda c: F.date_format(c, "yyyy-MM-dd"), "timestamp": F.unix_seconds}
+    return records.select(*[as_stored[kind](F.col(c)).alias(c) if kind in as_stored else F.col(c) for c, kind in records.dtypes])
+
+
+def look_up(rows: DataFrame, key: str, master: DataFrame, master_key: str, value: str, alias: str) -> DataFrame:
+    """rows with the master's value for their key, null where it has none; keys are few beside rows, so only they are looked up."""
+    known = rows.select(key).distinct().join(master.select(F.col(master_key).alias(key), F.col(value).alias(alias)), key)
+    return rows.join(known, key, "left")
+
+
+def lineage(rows: DataFrame, raw: DataFrame, key: str, raw_key: str | None = None) -> DataFrame:
+    """rows with the raw files that they come from, joined by digest or document id."""
+    return rows.join(raw.select(F.col(raw_key or key).alias(key), *[F.col(c).alias(f"raw_{c}") for c in raw.columns if c != (raw_key or key)]), key)
+
+
 def regressions(old: DataFrame, new: DataFrame, series: list[str], element: list[str]) -> DataFrame:
-    """Per series: how many elements of old are missing from new, and both sizes; only series that lost something."""
-    lost = old.join(new.select(*series, *element).distinct(), [*series, *element], "left_anti").groupBy(*series).agg(F.count(F.lit(1)).alias("lost"))
+    """Per series: how many elements of old are missing from new, and both sizes; only series that lost something. Elements are
+    compared null for null."""
+    had = old.select(*series, *element)
+    has = new.select(*[F.col(c).alias(f"_{c}") for c in (*series, *element)]).distinct()
+    lost = had.join(has, reduce(lambda a, b: a & b, [had[c].eqNullSafe(has[f"_{c}"]) for c in (*series, *element)]), "left_anti").groupBy(*series).agg(F.count(F.lit(1)).alias("lost"))
     sizes = old.groupBy(*series).agg(F.count(F.lit(1)).alias("old_size")).join(new.groupBy(*series).agg(F.count(F.lit(1)).alias("new_size")), series, "left")
     return sizes.join(lost, series, "left").select(*series, "old_size", F.coalesce("new_size", F.lit(0)).alias("new_size"), F.coalesce("lost", F.lit(0)).alias("lost")).filter("lost > 0 or new_size < old_size")

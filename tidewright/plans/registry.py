@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewright.functions import codes, values
+from tidewright.functions import codes, titles, values
 from tidewright.operators import keyed, quality, serving
+from tidewright.plans import governance, records, stores
+from tidewright.plans.base import Registry
 from tidewright.sources import tidy
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        _QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
+_OWN = Registry()
+query = _OWN.query
 
 @query("""SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '1998-12-31'
     ORDER BY o_orderdate DESC, o_orderkey LIMIT 500""")
@@ -90,13 +79,13 @@ def q08_priority_pivot(t):
     return lines.join(t("orders").select("o_orderkey", "o_orderpriority"), "o_orderkey")
 
 
-@query("""WITH n AS (SELECT o_custkey AS c_custkey, CASE WHEN count(*) > 12 THEN max(o_totalprice) END AS c_acctbal, max(o_orderpriority) AS c_mktsegment FROM orders WHERE o_orderstatus <> 'P' AND o_custkey % 3 > 0 GROUP BY 1),
-    o AS (SELECT c_custkey, c_acctbal, c_mktsegment, c_name FROM customer WHERE c_custkey % 5 > 0)
+@query("""WITH n AS (SELECT o_custkey AS c_custkey, CASE WHEN count(*) > 12 THEN max(o_totalprice) END AS c_acctbal, max(o_orderpriority) AS c_mktsegment FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+    o AS (SELECT c_custkey, c_acctbal, c_mktsegment, c_name FROM customer WHERE c_mktsegment <> 'MACHINERY')
     SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, coalesce(n.c_acctbal, o.c_acctbal) AS c_acctbal, CASE WHEN n.c_custkey IS NULL THEN o.c_mktsegment ELSE n.c_mktsegment END AS c_mktsegment, o.c_name
     FROM o FULL JOIN n ON o.c_custkey = n.c_custkey""")
 def q09_merge_upsert(t):
-    new = t("orders").filter("o_orderstatus <> 'P' AND o_custkey % 3 > 0").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.when(F.count(F.lit(1)) > 12, F.max("o_totalprice")).alias("c_acctbal"), F.max("o_orderpriority").alias("c_mktsegment"))
-    old = t("customer").filter("c_custkey % 5 > 0").select("c_custkey", "c_acctbal", "c_mktsegment", "c_name")
+    new = t("orders").filter("o_orderstatus <> 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.when(F.count(F.lit(1)) > 12, F.max("o_totalprice")).alias("c_acctbal"), F.max("o_orderpriority").alias("c_mktsegment"))
+    old = t("customer").filter("c_mktsegment <> 'MACHINERY'").select("c_custkey", "c_acctbal", "c_mktsegment", "c_name")
     return keyed.merge_upsert(old, new, ["c_custkey"], {"c_acctbal": keyed.MERGE, "c_name": keyed.PRESERVE})
 
 
@@ -157,7 +146,7 @@ def q16_freshness(t):
     return quality.freshness({n: (t(n), c) for n, c in _DATED})
 
 
-_WEEKEND = "len(list_filter(range(CAST(ts AS DATE) + 1, DATE '2024-02-01' + 1, INTERVAL 1 DAY), lambda d: isodow(d) >= 6))"
+_WEEKEND = "len(list_filter(range(CAST(ts + INTERVAL 9 HOUR AS DATE) + 1, DATE '2024-02-01' + 1, INTERVAL 1 DAY), lambda d: isodow(d) >= 6))"
 
 
 @query(f"""SELECT event_id, CASE WHEN age <= 30 THEN 'green' WHEN age <= 480 THEN 'yellow' ELSE 'red' END AS verdict, CAST(round(age * 3600) AS BIGINT) AS age_seconds FROM (
@@ -208,7 +197,7 @@ _TITLE = "CASE doc_id % 11 WHEN 0 THEN '2024年3月期 決算短信' WHEN 1 THEN
     CASE WHEN doc_id % 11 = 7 THEN 0.2 END AS factor FROM documents""")
 def q22_classify_priority(t):
     title = F.expr(_TITLE)
-    return t("documents").select("doc_id", values.classify_title(title).alias("label"), values.split_terms(title)["factor"].alias("factor"))
+    return t("documents").select("doc_id", titles.classify_title(title).alias("label"), titles.split_terms(title)["factor"].alias("factor"))
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CASE l_linenumber % 5 WHEN 0 THEN -floor(l_extendedprice) WHEN 1 THEN floor(l_extendedprice) WHEN 2 THEN NULL WHEN 3 THEN -floor(l_quantity) ELSE NULL END AS parsed FROM lineitem""")
@@ -239,8 +228,8 @@ def q26_html_links(t):
 
 @query("SELECT user_id, len(list_filter(l, lambda x: x > 50)) AS high, l[1] AS first FROM (SELECT user_id, list(value ORDER BY ts, event_id) AS l FROM events GROUP BY user_id)")
 def q27_array_filter(t):
-    points = t("events").groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), lambda p: p["value"]).alias("l"))
-    return points.select("user_id", F.size(F.filter("l", lambda x: x > 50)).cast("long").alias("high"), F.col("l")[0].alias("first"))
+    """What a filter over a user's series gives, as sums that combine before the shuffle: no series is gathered."""
+    return t("events").groupBy("user_id").agg(F.count_if(F.col("value") > 50).alias("high"), F.min_by("value", F.struct("ts", "event_id")).alias("first"))
 
 
 @query("""SELECT o_orderkey, kind, flag FROM (SELECT o_orderkey, unnest(['status', 'priority']) AS kind, unnest([o_orderstatus, o_orderpriority]) AS flag FROM orders) WHERE flag <> 'P'""")
@@ -250,11 +239,18 @@ def q28_unpivot_map(t):
 
 
 @query("""SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS licences, count(c_acctbal) FILTER (c_nationkey < 0) AS shown_balances, count(*) AS rows FROM customer GROUP BY c_nationkey""")
-def q29_redact_envelope(t):
+def q29_redact(t):
     rows = serving.redact(t("customer"), ["c_acctbal"])
     return rows.groupBy("c_nationkey").agg(F.concat_ws(",", F.sort_array(F.collect_set("c_mktsegment"))).alias("licences"), F.count("c_acctbal").alias("shown_balances"), F.count(F.lit(1)).alias("rows"))
 
 
+@query("""WITH s AS (SELECT o_orderpriority AS s, min(o_orderkey) AS k FROM orders WHERE o_orderpriority <> '2-HIGH' GROUP BY 1)
+    SELECT (SELECT string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus) FROM orders WHERE o_orderstatus <> 'P') AS licences, (SELECT string_agg(s, ',' ORDER BY k) FROM s) AS sources, (SELECT count(*) FROM orders) AS rows""")
+def q29_envelope(t):
+    rows = t("orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("licence"), F.when(F.col("o_orderpriority") == "2-HIGH", "").otherwise(F.col("o_orderpriority")).alias("source"), "o_orderkey")
+    return serving.envelope(rows, "licence", "source", "o_orderkey")
+
+
 @query("SELECT sha256(text) AS sha256, min(doc_id) AS first_id, count(*) AS copies FROM documents GROUP BY 1")
 def q30_sha_dedupe(t):
     return t("documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
@@ -267,7 +263,7 @@ def q31_status_rollup(t):
     return sums.select("user_id", quality.run_status(F.col("f"), F.col("p"), F.col("c")).alias("status"))
 
 
-@query("""SELECT o_orderkey, 'raw/src/' || regexp_replace(regexp_replace(o_orderpriority, '[^A-Za-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g') || '/' || year(o_orderdate) || '/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '/' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/_/'
+@query("""SELECT o_orderkey, 'raw/src/' || regexp_replace(regexp_replace(lower(o_orderpriority), '[^A-Za-z0-9._-]+', '-', 'g'), '^-+|-+$', '', 'g') || '/' || year(o_orderdate) || '/' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) || '/' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') || '/_/'
     || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 16) || '.csv' AS key FROM orders""")
 def q32_left_pad_keys(t):
     key = F.col("o_orderkey").cast("string")
@@ -290,19 +286,25 @@ def q34_text_threshold(t):
 
 @query("SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS roles, count(*) AS turns FROM conversations GROUP BY conv_id")
 def q35_nested_conv(t):
-    turns = F.array_sort(F.collect_list(F.struct("turn", "role")))
-    return t("conversations").groupBy("conv_id").agg(F.concat_ws(">", F.transform(turns, lambda x: x["role"])).alias("roles"), F.count(F.lit(1)).alias("turns"))
+    """Turns are put together in pieces of 256 first, then the pieces in order."""
+    piece = t("conversations").groupBy("conv_id", F.floor(F.col("turn") / 256).alias("piece")).agg(F.concat_ws(">", F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])).alias("roles"), F.count(F.lit(1)).alias("n"))
+    whole = F.concat_ws(">", F.transform(F.array_sort(F.collect_list(F.struct("piece", "roles"))), lambda x: x["roles"]))
+    return piece.groupBy("conv_id").agg(whole.alias("roles"), F.sum("n").alias("turns"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS h FROM pages),
+    a AS (SELECT page_id, unnest(regexp_extract_all(h, '(?s)<a [^>]*href="[^"]+"[^>]*>.*?</a>')) AS x, unnest(range(len(regexp_extract_all(h, '(?s)<a [^>]*href="[^"]+"[^>]*>.*?</a>')))) AS ord FROM p)
+    SELECT page_id, ord, regexp_extract(x, 'href="([^"]+)"', 1) AS href, trim(regexp_replace(x, '<[^>]*>', '', 'g')) AS label FROM a""")
 def q36_page_links(t):
-    """Links with an HTML parser, which SQL has not."""
     return tidy.links_of(t("pages"))
 
 
+_ALL = (_OWN, records.QUERIES, stores.QUERIES, governance.QUERIES)
+
+
 def queries():
-    return dict(_QUERIES)
+    return {k: f for r in _ALL for k, f in r.queries.items()}
 
 
 def oracle_sql():
-    return dict(_SQL)
+    return {k: s for r in _ALL for k, s in r.sql.items()}
