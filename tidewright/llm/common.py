@@ -59,9 +59,9 @@ MOST_BROADCAST = 1_000_000
 HOT_SHARE = 1000
 
 
-def checked(small: DataFrame) -> DataFrame:
+def checked(small: DataFrame, most: int | None = None) -> DataFrame:
     """A staged table of short rows, marked for a broadcast if it has few enough of them."""
-    return F.broadcast(small) if small.count() <= MOST_BROADCAST else small
+    return F.broadcast(small) if small.count() <= (MOST_BROADCAST if most is None else most) else small
 
 
 def join_by_key(rows: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:

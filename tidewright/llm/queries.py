@@ -78,6 +78,20 @@ def oracle_sql():
                 sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                 CAST(sum(chars) AS BIGINT) AS formatted_chars, false AS rewrites_history
             FROM e GROUP BY conv_id""",
+        "op7_ngram_jaccard_join": r"""
+            WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+            g AS (SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))) END AS s FROM d),
+            n AS (SELECT r, doc_id, len(s) AS n, list_sort(s) AS s FROM g),
+            c AS (SELECT min(r) AS r, n, s FROM n WHERE n > 0 GROUP BY n, s),
+            own AS (SELECT n.r, c.r AS class FROM n JOIN c ON c.s = n.s),
+            x AS (SELECT r, n, unnest(s) AS gram FROM c),
+            p AS (SELECT a.r AS a, b.r AS b, a.n AS na, b.n AS nb, count(*) AS met FROM x a JOIN x b ON a.gram = b.gram AND a.r < b.r AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n) GROUP BY ALL),
+            l AS (SELECT a, b FROM p WHERE 100 * met >= 75 * (na + nb - met)),
+            e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l),
+            reach AS (SELECT r AS u, r AS v FROM c UNION SELECT reach.u, e.v FROM reach JOIN e ON reach.v = e.u),
+            root AS (SELECT u, min(v) AS root FROM reach GROUP BY u)
+            SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, CASE WHEN n.n = 0 THEN n.doc_id ELSE min(n.doc_id) OVER (PARTITION BY root.root) END AS component_id
+            FROM n LEFT JOIN own ON own.r = n.r LEFT JOIN root ON root.u = own.class""",
         "op8_warc": """
             WITH p AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
             o AS (SELECT *, max(page_id) OVER (PARTITION BY payload) AS owner FROM p)

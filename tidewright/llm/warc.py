@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidewright.llm.common import checked, stage, text_slices
+from tidewright.llm.common import HOT_SHARE, checked, stage, text_slices
 
 _END = b"\r\n"
 
@@ -92,14 +92,27 @@ def records_of(kind: str, page_id, url: str | None, payload: bytes, refers_to, r
     return out
 
 
+#: Owners that are broadcast at most, with their addresses some tens of MB.
+_MOST_OWNERS = 100_000
+
+
+def _with_owners(keyed: DataFrame, owners: DataFrame) -> DataFrame:
+    """Pages with the owner of their payload. Owners are broadcast up to a number; beyond it those of frequent payloads, fewer
+    than HOT_SHARE, still are, and the rest is joined by sort and merge."""
+    if owners.count() <= _MOST_OWNERS:
+        return keyed.join(F.broadcast(owners), "digest", "left")
+    hot = F.broadcast(owners.filter(F.col("copies") > keyed.count() / HOT_SHARE))
+    rest = keyed.join(hot.select("digest"), "digest", "left_anti").join(owners.hint("merge"), "digest", "left")
+    return keyed.join(hot, "digest").unionByName(rest)
+
+
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, segment_bytes: int = 16384, chunk_bytes: int = 4096, records_per_file: int = 1000) -> None:
     """Write pages (page_id, url, html) as gzipped WARC files under path. A file has a bounded number of records of bounded
     size, so a reader can hold one."""
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     keyed = rows.withColumn("digest", F.unhex(F.sha2("html", 256)))
-    owners = keyed.groupBy("digest").agg(F.max("page_id").alias("owner"), F.max_by("url", "page_id").alias("owner_url"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
-    told = keyed.join(checked(stage(owners, "owners")), "digest", "left")
-    told = told.select("page_id", "url", "html", F.when(F.octet_length("html") >= least_bytes, F.col("owner")).alias("owner"), "owner_url", F.monotonically_increasing_id().alias("row"))
+    owners = keyed.groupBy("digest").agg(F.max("page_id").alias("owner"), F.max_by("url", "page_id").alias("owner_url"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    told = _with_owners(keyed, stage(owners, "owners")).select("page_id", "url", "html", F.when(F.octet_length("html") >= least_bytes, F.col("owner")).alias("owner"), "owner_url", F.monotonically_increasing_id().alias("row"))
 
     def frame(batches):
         for batch in batches:
@@ -248,11 +261,12 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*.gz") -> Data
     names = [n for n in part.names if n != "origin"]
     grouped = parts.groupBy("origin").agg(F.collect_list(F.struct(*names)).alias("segments")).select("segments")
     records = stage(grouped.mapInArrow(_assembled(to_arrow_schema(record)), record).filter("record_type <> 'continuation'"), "records")
-    known = stage(records.filter("record_type = 'response' and complete").select(F.col("payload_digest").alias("_digest")).distinct(), "payloads")
+    asked = records.filter("record_type = 'revisit'").select(F.col("payload_digest").alias("_digest")).distinct()
+    known = stage(asked.join(records.filter("record_type = 'response' and complete").select(F.col("payload_digest").alias("_digest")), "_digest", "left_semi"), "payloads")
     named = records.filter("refers_to_record is not null").select("refers_to_record").distinct()
     pages = stage(named.join(records.select(F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("_page")), "refers_to_record").groupBy("refers_to_record").agg(F.max("_page").alias("_page")), "referred")
     responses, revisits = records.filter("record_type = 'response'"), records.filter("record_type = 'revisit'")
-    told = revisits.join(checked(known), F.col("payload_digest") == F.col("_digest"), "left").join(checked(pages), "refers_to_record", "left")
+    told = revisits.join(checked(known, _MOST_OWNERS), F.col("payload_digest") == F.col("_digest"), "left").join(checked(pages, _MOST_OWNERS), "refers_to_record", "left")
     told = told.withColumns({"complete": F.col("complete") & F.col("_digest").isNotNull(), "refers_to": F.coalesce("refers_to", "_page")})
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete", "record_id"]
     return responses.select(*columns).unionByName(told.select(*columns))
