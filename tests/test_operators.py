@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewright.functions import codes, titles, values
-from tidewright.operators import documents, facts, keyed, quality, serving, store
+from tidewright.operators import documents, facts, jobs, keyed, quality, serving, store
 from tidewright.sources import disclosures, lending, tidy
 
 
@@ -210,6 +210,34 @@ def test_writes_to_several_stores():
         store.write_to_all("rows", {"one": lambda df: 1 / 0})
 
 
+def test_runs_of_jobs(spark):
+    clock = iter(range(100)).__next__
+
+    def boom(run):
+        raise KeyError("x")
+
+    run, row = jobs.run(spark, "j", [("a", lambda r: None), ("b", boom), ("c", lambda r: None)], clock, limit=2)
+    assert (run.status, run.processed, [c for c, _ in run.failures]) == ("一部失敗", 1, ["b"]) and row.first().failed_codes == ["b"]
+    assert jobs.run(spark, "j", [("b", boom)], clock)[0].status == "失敗" and jobs.run(spark, "j", [], clock)[0].status == "成功"
+
+    def broken():
+        yield "a", lambda r: None
+        raise OSError("no list")
+
+    assert jobs.run(spark, "j", broken(), clock)[0].status == "失敗"
+    assert jobs.codes_of(" 7203, ,130A,7203") == ["7203", "130A"] and jobs.codes_of("") is None and jobs.parser("x").parse_args(["--dry-run"]).dry_run
+
+
+def test_code_list_in_utf8(spark):
+    import io
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("b.csv", "証券コード\r\n".encode("cp932"))
+    assert disclosures.code_list_text(spark.createDataFrame([(out.getvalue(),)], "content binary")).first().text == "証券コード\r\n"
+
+
 def test_pairs_of_files(spark, tmp_path):
     csv_path, parquet_path = store.write_pair(spark.createDataFrame([(1, None), (2, "x")], "a int, b string"), str(tmp_path), "raw.json")
     assert sorted(map(tuple, spark.read.parquet(parquet_path).collect())) == [("1", None), ("2", "x")] and csv_path.endswith("raw_converted.csv")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import documents, indicators, keyed, serving, store, supply
 from tidewright.plans.base import Registry
-from tidewright.sources.tidy import TIDY, tidy_table
+from tidewright.sources import disclosures
+from tidewright.sources.tidy import TIDY, body_problem, looks_like, tidy_table
 
 QUERIES = Registry()
 query = QUERIES.query
@@ -294,3 +295,97 @@ def q95_tidy_table(t):
     rows = t("lineitem").select(*[F.lit(None).cast("string").alias(c) for c in TIDY if c not in ("code", "doc_id", "element", "value", "context_ref")], F.col("l_orderkey").alias("doc_id"), F.col("l_partkey").alias("code"), F.col("l_suppkey").alias("element"), F.col("l_extendedprice").alias("context_ref"), F.when(F.col("l_tax") > 0, F.col("l_linenumber")).alias("value"), F.lit(1).alias("more"), F.col("l_linenumber").alias("n"))
     out = tidy_table(rows.withColumn("period_start", F.col("n")))
     return out.select(F.col("doc_id").cast("long").alias("l_orderkey"), F.col("period_start").cast("int").alias("l_linenumber"), F.col("code").cast("long").alias("l_partkey"), F.col("element").cast("long").alias("l_suppkey"), F.col("context_ref").cast("double").alias("l_extendedprice"), "unit", "value")
+
+
+@query("""SELECT CAST(c_custkey AS BIGINT) AS code, c_acctbal > 0 AS listed FROM customer WHERE c_acctbal > 0 ORDER BY c_custkey LIMIT 30 OFFSET 20""")
+def q111_stocks(t):
+    return serving.stocks(t("customer").select(F.col("c_custkey").alias("code"), (F.col("c_acctbal") > 0).alias("listed")), listed=True, limit=30, offset=20)
+
+
+@query("""SELECT l_suppkey AS code, strftime(l_shipdate, '%Y-%m-%d') AS data_date, l_orderkey FROM lineitem WHERE l_suppkey = 3 AND l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31' AND l_linenumber = 1""")
+def q112_prices(t):
+    rows = t("lineitem").filter("l_linenumber = 1").select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").alias("data_date"), "l_orderkey")
+    return serving.prices(rows, 3, "1996-01-01 00:00:00", "1997-12-31 00:00:00", 1_000_000).withColumn("data_date", F.date_format("data_date", "yyyy-MM-dd"))
+
+
+@query("""SELECT o_orderkey AS consolidated, o_orderpriority AS disclosure_type FROM orders WHERE o_custkey = 11 AND o_orderpriority = '1-URGENT' ORDER BY o_orderdate DESC, o_orderkey LIMIT 100""")
+def q113_financials(t):
+    rows = t("orders").select(F.col("o_custkey").alias("code"), F.col("o_orderdate").alias("fiscal_period_end"), F.col("o_orderpriority").alias("disclosure_type"), F.col("o_orderkey").alias("consolidated"))
+    return serving.financials(rows, 11, "1-URGENT").select("consolidated", "disclosure_type")
+
+
+@query("""SELECT o_orderkey AS sha256 FROM orders WHERE o_orderpriority = '5-LOW' ORDER BY o_orderdate DESC, o_orderkey LIMIT 200""")
+def q114_raw_index(t):
+    return serving.raw_index(t("orders").select(F.col("o_orderkey").alias("sha256"), F.col("o_orderpriority").alias("scope"), F.col("o_orderdate").alias("fetched_at")), "5-LOW").select("sha256")
+
+
+@query("""SELECT event_id FROM events WHERE event_type = 'click' ORDER BY ts DESC, event_id LIMIT 50""")
+def q115_jobs(t):
+    rows = t("events").select("event_id", F.col("event_type").alias("job_name"), F.col("ts").alias("finished_at"))
+    return serving.jobs(rows, "click", serving.limit_of("50")).select("event_id")
+
+
+@query("""SELECT s_suppkey AS code, 'jsf_zandaka' AS data_type FROM supplier WHERE s_suppkey % 2 = 0 ORDER BY s_suppkey LIMIT 500""")
+def q116_supply_latest(t):
+    rows = t("supplier").select(F.col("s_suppkey").alias("code"), F.when(F.col("s_suppkey") % 2 == 0, "jsf_zandaka").otherwise("jsf_shina").alias("data_type"))
+    return serving.supply_latest(rows, "jsf_zandaka", serving.limit_of("9999"))
+
+
+@query("""SELECT event_id, event_type AS data_type FROM events WHERE user_id = 3 AND event_type = 'view' AND CAST(CAST(ts AS DATE) AS VARCHAR) BETWEEN '2024-01-05' AND '2024-01-20'""")
+def q117_series_between(t):
+    points = t("events").select("event_id", F.col("user_id").cast("string").alias("code"), F.col("event_type").alias("data_type"), F.date_format("ts", "yyyy-MM-dd").alias("d"))
+    return supply.series_between(points, "3", "view", "2024-01-05", "2024-01-20").select("event_id", "data_type")
+
+
+@query("""SELECT DISTINCT lang AS dataset FROM documents WHERE lang IS NOT NULL AND lang <> 'de'""")
+def q118_public_freshness(t):
+    rows = t("documents").filter("lang is not null").select(F.col("lang").alias("dataset")).distinct()
+    return serving.public_freshness(rows.withColumn("license_tag", F.when(F.col("dataset") == "de", "personal-only").when(F.col("dataset") == "en", "commercial-ok"))).select("dataset")
+
+
+@query("""SELECT doc_id FROM documents WHERE text IS NOT NULL AND sha256(text) = (SELECT max(sha256(text)) FROM documents WHERE doc_id % 2 = 0) AND doc_id % 2 = 0""")
+def q119_raw_file(t):
+    rows = t("documents").filter("text is not null").select("doc_id", F.sha2("text", 256).alias("sha256"), F.when(F.col("doc_id") % 2 == 0, "commercial-ok").otherwise("factual-cite").alias("license_tag"))
+    last = rows.filter("license_tag = 'commercial-ok'").agg(F.max("sha256")).first()[0]
+    return serving.raw_file(rows, last).select("doc_id")
+
+
+@query("""SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25""")
+def q120_work_list(t):
+    return serving.head(t("orders"), [F.desc("o_totalprice"), "o_orderkey"], 25).select("o_orderkey")
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'json' WHEN 1 THEN 'empty' WHEN 2 THEN 'not a zip' END AS problem, c_custkey % 2 = 0 AS is_csv FROM customer""")
+def q121_bodies(t):
+    """Bodies that aren't the document asked for, whatever the status said."""
+    k = F.col("c_custkey")
+    body = F.when(k % 4 == 1, F.lit(b"")).when(k % 4 == 2, F.encode(F.lit("<html>"), "utf-8")).otherwise(F.unhex(F.lit("504B0304FF")))
+    kind = F.when(k % 4 == 0, "application/JSON; charset=utf-8").when(k % 4 == 3, "application/zip")
+    csv = F.encode(F.when(k % 2 == 0, F.rpad(F.lit("a,b"), 100, "x")).otherwise(F.rpad(F.lit("a"), 300, "x")), "utf-8")
+    return t("customer").select("c_custkey", body_problem(body, kind, "zip").alias("problem"), looks_like(csv, "csv").alias("is_csv"))
+
+
+@query("""SELECT sha256(coalesce(text, '')) AS sha256, min(CASE WHEN lang = 'en' THEN doc_id END) AS first_fetched_at FROM documents GROUP BY 1""")
+def q122_raw_index_merge(t):
+    """The index of raw objects: digests seen again keep the time at which they were first fetched."""
+    rows = t("documents").select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"), "lang", "doc_id")
+    index = rows.filter("lang = 'en'").groupBy("sha256").agg(F.min("doc_id").alias("first_fetched_at"))
+    return store.index_raw(index, rows.select("sha256").withColumn("first_fetched_at", F.lit(None).cast("long")))
+
+
+@query("""SELECT event_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'""")
+def q123_trusted_map(t):
+    return store.trusted_map(t("events").select("event_id", F.to_date("ts").alias("event_date")), F.lit("2024-01-10").cast("date")).select("event_id")
+
+
+@query("""SELECT CAST(n_nationkey + 1 AS INT) AS page, '2024-05-01' AS day FROM nation WHERE n_regionkey <> 2 AND n_nationkey < 20""")
+def q124_page_numbers(t):
+    """The pages that a day's pages link to, up to a bound; other days' links don't count."""
+    link = F.concat(F.lit("<a onclick=\"pagerLink('I_list_"), F.lpad((F.col("n_nationkey") + 1).cast("string"), 3, "0"), F.when(F.col("n_regionkey") == 2, "_20240502").otherwise("_20240501"), F.lit(".html')\">"))
+    pages = t("nation").groupBy("n_regionkey").agg(F.array_join(F.collect_list(link), "").alias("html")).withColumn("day", F.lit("2024-05-01").cast("date"))
+    return disclosures.page_numbers(pages, 20).select("page", F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+@query("""SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment LIKE 'B_ILD%' ORDER BY c_custkey LIMIT 40""")
+def q125_like_prefix(t):
+    return serving.page(serving.like_prefix(t("customer"), "c_mktsegment", "B_ILD").select("c_custkey", "c_mktsegment"), ["c_custkey"], 40)

@@ -347,7 +347,17 @@ def links_of(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
     return per_row(pages, [id_col, html_col], T.StructType([pages.schema[id_col], *T._parse_datatype_string("ord long, href string, label string").fields]), parse)
 
 
+#: How the bytes of each kind of document begin.
+MAGIC = {"zip": "504B0304", "pdf": "25504446"}
+
+
 def looks_like(content, kind: str):
     """Whether bytes begin as the kind of file they should be: 200 isn't success."""
     head = F.hex(F.substring(content, 1, 4))
-    return {"zip": head == "504B0304", "pdf": head == "25504446", "csv": (F.length(content) >= 100) & F.substring(content, 1, 200).cast("string").contains(",")}[kind]
+    return (F.length(content) >= 100) & F.substring(content, 1, 200).cast("string").contains(",") if kind == "csv" else head == MAGIC[kind]
+
+
+def body_problem(content, content_type, kind: str):
+    """Why a body isn't the document asked for, or null: an error in JSON, nothing at all, or other bytes."""
+    said = F.coalesce(F.lower(content_type), F.lit("")).contains("json")
+    return F.when(said, "json").when(F.coalesce(F.length(content), F.lit(0)) == 0, "empty").when(~looks_like(content, kind), F.lit(f"not a {kind}"))
