@@ -9,26 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewright.llm import decontam, exact_dedup, langid, ngram_join, sentencepiece_codec
-from tidewright.llm.common import drop_staged, stage, table
+from tidewright.llm.common import bound_batches, drop_staged, stage, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return langid.keep_identified(docs, langid.fit(docs))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return exact_dedup.deduplicate(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return sentencepiece_codec.encode(docs, with_tokens=True)
 
 

@@ -85,6 +85,14 @@ def without_rows(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone, row, "left_anti")
 
 
+def bound_batches(spark: SparkSession, n: int = 1000) -> None:
+    """For an application to call, never for an operator: lower its session's Arrow batches to n rows. Whole texts are long, and
+    the buffers of a batch are held on both sides of the pipe, so executors need less memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= n:
+        spark.conf.set(key, str(n))
+
+
 @contextmanager
 def batch_rows(spark: SparkSession, n: int):
     """While it lasts, Arrow batches have at most n rows, which bounds memory where rows hold long lists."""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidewright.llm import chat, decontam, langid, licenses, quality, sentencepiece_codec, warc
-from tidewright.llm.common import is_held_out, new_path, table
+from tidewright.llm.common import bound_batches, is_held_out, new_path, table
 from tidewright.llm.exact_dedup import exact_groups
 from tidewright.llm.ngram_join import jaccard_components
 from tidewright.llm.secrets import scan_secrets
@@ -59,8 +59,18 @@ def op10_secret_scan(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def _bounded(f):
+    """The query in a session with small batches of texts."""
+
+    def run(spark, sf_dir):
+        bound_batches(spark)
+        return f(spark, sf_dir)
+
+    return run
+
+
 def queries():
-    return {f.__name__: f for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan)}
+    return {f.__name__: _bounded(f) for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan)}
 
 
 def oracle_sql():
