@@ -15,22 +15,27 @@ SOURCE_LICENCE = {"EDINET": "commercial-ok", "TDnet": "factual-cite", "yfinance"
 CONTENT_TYPES = {"csv": "text/csv", "html": "text/html", "htm": "text/html", "json": "application/json", "pdf": "application/pdf", "txt": "text/plain", "xml": "text/xml", "zip": "application/zip"}
 
 
+#: White space of any script.
+_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
     """Without white space of any script at the ends."""
-    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(c, F.lit(_SPACE))
+
+
+_DIGITS = "[0-9](?:_?[0-9]){0,199}"
+_NUMBER = rf"^[△▲()\s]*+([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?[0-9]{{1,2}})?)[△▲()\s]*+$"
 
 
 def parse_numeric(c: Column) -> Column:
-    """Commas dropped; a leading triangle or bracket is minus, if it isn't a note's; dashes, notes, what isn't a number and what
-    isn't finite are null."""
-    text = F.translate(F.regexp_replace(strip(c), ",", ""), "０１２３４５６７８９", "0123456789")
-    minus = text.rlike("^[△▲(]") & ~text.startswith("(注")
-    bare = strip(F.regexp_replace(text, "^[△▲()]+|[△▲()]+$", ""))
-    digits = "[0-9](?:_?[0-9])*"
-    plain = F.when(bare.rlike(rf"^[+-]?(?:{digits}\.?(?:{digits})?|\.{digits})(?:[eE][+-]?{digits})?$"), F.regexp_replace(bare, "_", ""))
-    value = plain.try_cast("double")
-    value = F.when(F.abs(value) < float("inf"), value)
-    return F.when(minus, -value).otherwise(value)
+    """Commas dropped; a leading triangle or bracket is minus, if it isn't a note's; dashes, notes and what isn't a number are null,
+    as are numbers of over 200 digits or with exponents of over two, which might not be finite. One pattern finds the digits, so
+    that nothing is worked out twice."""
+    text = strip(F.translate(c, "０１２３４５６７８９,", "0123456789"))
+    minus = F.substring(text, 1, 2).rlike("^(?:[△▲]|[(](?!注))")
+    value = F.replace(F.regexp_extract(text, _NUMBER, 1), F.lit("_"), F.lit("")).try_cast("double")
+    return value * F.when(minus, -1.0).otherwise(1.0)
 
 
 def round_half_even(c: Column, places: int) -> Column:
