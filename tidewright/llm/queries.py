@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.llm import chat, decontam, langid, licenses, quality, sentencepiece_codec, warc
+from tidewright.llm import chat, decontam, langid, licenses, merkle, quality, sentencepiece_codec, warc
 from tidewright.llm.common import bound_batches, is_held_out, new_path, table
 from tidewright.llm.exact_dedup import exact_groups
 from tidewright.llm.ngram_join import jaccard_components
@@ -59,6 +59,10 @@ def op10_secret_scan(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.check(merkle.manifest(table(spark, sf_dir, "documents"), tampered=merkle.is_tampered()))
+
+
 def _bounded(f):
     """The query in a session with small batches of texts."""
 
@@ -70,7 +74,7 @@ def _bounded(f):
 
 
 def queries():
-    return {f.__name__: _bounded(f) for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan)}
+    return {f.__name__: _bounded(f) for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan, op11_merkle_manifest)}
 
 
 def oracle_sql():
@@ -109,4 +113,31 @@ def oracle_sql():
                 array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((CAST('0x' || substr(h, CAST((i // 4) * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest,
                 CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> owner THEN owner END AS refers_to, true AS complete
             FROM o""",
+        "op11_merkle_manifest": r"""
+            WITH RECURSIVE f AS (
+                SELECT doc_id, coalesce('=' || lang, '') AS g, doc_id IS NOT NULL AND (crc % 3) = 0 AS hit, text,
+                    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head
+                FROM (SELECT *, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                    lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))) AS raw, xor(raw, 4294967295) AS crc FROM documents)),
+            d AS (SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN hit THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) END AS other FROM f),
+            l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+            low AS (SELECT 0 AS lvl, g, i, n, leaf AS h FROM l
+                UNION ALL SELECT lvl + 1, g, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM low WHERE n > 1 GROUP BY lvl, g, i // 8, n),
+            top AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM low WHERE n = 1),
+            high AS (SELECT 0 AS lvl, i, n, subroot AS h FROM top
+                UNION ALL SELECT lvl + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM high WHERE n > 1 GROUP BY lvl, i // 8, n),
+            tree AS (SELECT lvl, g, i, n, h FROM low UNION ALL SELECT 100 + lvl, '', i, n, h FROM high),
+            up AS (SELECT row_number() OVER () AS r, l.*, top.i AS k, top.n AS m, subroot, (SELECT h FROM high WHERE n = 1) AS root FROM l JOIN top USING (g)),
+            path AS (SELECT r, lvl, t.i, t.h FROM up JOIN tree t ON t.lvl < 100 AND t.g = up.g AND t.n > 1 AND t.i // 8 = up.i // CAST(8 ** (lvl + 1) AS BIGINT) AND t.i <> up.i // CAST(8 ** lvl AS BIGINT)
+                UNION ALL SELECT r, lvl, t.i, t.h FROM up JOIN tree t ON t.lvl >= 100 AND t.n > 1 AND t.i // 8 = up.k // CAST(8 ** (lvl - 99) AS BIGINT) AND t.i <> up.k // CAST(8 ** (lvl - 100) AS BIGINT)),
+            proof AS (SELECT r, sha256(string_agg(h, '' ORDER BY lvl, i)) AS proof FROM path GROUP BY r),
+            one AS (SELECT 0 AS lvl, r, g, i, n, coalesce(other, leaf) AS h FROM up
+                UNION ALL SELECT lvl + 1, r, g, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY j))
+                FROM (SELECT o.lvl, r, o.g, o.i, o.n, t.i AS j, CASE WHEN t.i = o.i THEN o.h ELSE t.h END AS h FROM one o JOIN low t ON t.lvl = o.lvl AND t.g = o.g AND t.i // 8 = o.i // 8 WHERE o.n > 1) GROUP BY lvl, r, g, i, n),
+            two AS (SELECT 0 AS lvl, r, k AS i, m AS n, one.h FROM one JOIN up USING (r) WHERE one.n = 1
+                UNION ALL SELECT lvl + 1, r, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY j))
+                FROM (SELECT o.lvl, r, o.i, o.n, t.i AS j, CASE WHEN t.i = o.i THEN o.h ELSE t.h END AS h FROM two o JOIN high t ON t.lvl = o.lvl AND t.i // 8 = o.i // 8 WHERE o.n > 1) GROUP BY lvl, r, i, n)
+            SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, two.h AS folded_root, two.h = root AS verified
+            FROM up JOIN two ON two.r = up.r AND two.n = 1 LEFT JOIN proof ON proof.r = up.r""",
     }
