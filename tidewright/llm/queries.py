@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewright.llm import alignment, chat, decontam, langid, licenses, merkle, quality, sentencepiece_codec, warc
+from tidewright.llm import alignment, chat, decontam, langid, licenses, merkle, quality, repeats, sentencepiece_codec, warc
 from tidewright.llm.common import bound_batches, is_held_out, new_path, table
 from tidewright.llm.exact_dedup import exact_groups
 from tidewright.llm.ngram_join import jaccard_components
@@ -67,6 +67,10 @@ def op12_token_alignment(spark, sf_dir):
     return alignment.align(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def _bounded(f):
     """The query in a session with small batches of texts."""
 
@@ -78,7 +82,7 @@ def _bounded(f):
 
 
 def queries():
-    return {f.__name__: _bounded(f) for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan, op11_merkle_manifest, op12_token_alignment)}
+    return {f.__name__: _bounded(f) for f in (op1_quality_classifier, op2_sentencepiece, op3_exact_dedup, op4_chat_formatting, op5_language_id, op6_decontamination, op7_ngram_jaccard_join, op8_warc, op9_license_scan, op10_secret_scan, op11_merkle_manifest, op12_token_alignment, op13_suffix_dedup)}
 
 
 def oracle_sql():
