@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewright.functions.values import stricter
+from tidewright.functions.values import licence_rank, stricter
 
 REPLACE, MERGE, KEEP, STRICTER, PRESERVE = "replace", "merge", "keep", "stricter", "preserve"
 
@@ -71,13 +71,51 @@ def financial_policy(columns: list[str]) -> dict[str, str]:
     return {c: REPLACE if c in FINANCIAL_OVERWRITE else STRICTER if c == FINANCIAL_LICENCE else MERGE for c in rest}
 
 
+def apply_in_order(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column], policy: dict[str, str] | None = None, guard: str | None = None, scope: str | None = None) -> DataFrame:
+    """old after each row of new has been merged in by key, one after another in an order without ties: what merge_upsert gives for
+    one row at a time. old has one row per key; keys are compared null for null.
+
+    A row is taken if the guard so far is null or not above its own. Rows that were not taken have a lower guard or none, so the guard
+    so far is the highest of all rows before, taken or not, and one window over the batch tells which rows are taken. What they come to
+    is one grouping over the same exchange: the last value, the last that isn't null (under a scope: since the scope last changed), the
+    first, or the strictest."""
+    policy = policy or {}
+    columns = [c for c in dict.fromkeys([*old.columns, *new.columns]) if c not in keys]
+    if unknown := [c for c in (*policy, guard, scope) if c is not None and c not in columns]:
+        raise ValueError(f"no such columns beside the key: {', '.join(unknown)}")
+    rows = new.select("*", F.struct(F.lit(1).alias("_new"), F.struct(*order).alias("_order")).alias("_at"))
+    first = F.struct(F.lit(0).alias("_new"), F.lit(None).cast(rows.schema["_at"].dataType["_order"].dataType).alias("_order"))
+    rows = old.withColumn("_at", first).unionByName(rows, allowMissingColumns=True)
+    by_key = Window.partitionBy(*keys).orderBy("_at")
+    if guard:
+        so_far = F.max(guard).over(by_key.rowsBetween(Window.unboundedPreceding, -1))
+        rows = rows.withColumn("_so_far", so_far).filter(F.col("_so_far").isNull() | (F.col(guard) >= F.col("_so_far")))
+    run = F.lit(0)
+    if scope:
+        changed = F.when(F.col(scope).eqNullSafe(F.lag(scope).over(by_key)), 0).otherwise(1)
+        rows = rows.withColumn("_changed", changed).withColumn("_run", F.sum("_changed").over(by_key))
+        run = F.col("_run")
+    out = []
+    for c in columns:
+        kind = policy.get(c, REPLACE if c in new.columns else PRESERVE)
+        if kind == MERGE:
+            known = F.max(F.when(F.col(c).isNotNull(), F.struct(run.alias("run"), F.col("_at"), F.col(c).alias("value"))))
+            value = F.when(known["run"] == F.max(run), known["value"])
+        elif kind == STRICTER:
+            value = F.max_by(c, F.struct(licence_rank(F.col(c)), "_at"))
+        elif kind == KEEP:
+            value = F.min_by(c, "_at")
+        else:
+            value = F.max_by(c, F.when(F.col("_at._new") == 0, F.col("_at")) if kind == PRESERVE else F.col("_at"))
+        out.append(value.alias(c))
+    return rows.groupBy(*keys).agg(*out)
+
+
 def merge_financials(old: DataFrame, new: DataFrame, order: list[Column]) -> DataFrame:
-    """Financial records merged in under the disclosure's time; a scope that isn't known is a key of its own. A batch with
-    several rows of one key is folded in order first."""
+    """Financial records merged in one after another under the disclosure's time; a scope that isn't known is a key of its own."""
     known = lambda df: df.withColumn("consolidated", F.coalesce(F.nullif("consolidated", F.lit("")), F.lit(UNKNOWN_SCOPE)))
-    policy = financial_policy(new.columns)
-    folded = fold_batch(known(new), FINANCIAL_KEY, order, [c for c, kind in policy.items() if kind == MERGE])
-    return merge_upsert(known(old), folded, FINANCIAL_KEY, policy, FINANCIAL_GUARD)
+    new = known(new)
+    return apply_in_order(known(old), new, FINANCIAL_KEY, order, financial_policy(new.columns), FINANCIAL_GUARD)
 
 
 def replace_by(old: DataFrame, new: DataFrame, keys: list[str], order: list[Column], keep: tuple[str, ...] = ()) -> DataFrame:

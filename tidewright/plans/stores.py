@@ -22,13 +22,18 @@ def _records(t, status: str):
     )
 
 
-@query("""WITH r AS (SELECT o_custkey AS code, date_trunc('year', o_orderdate)::DATE AS e, o_orderpriority AS kind, CASE WHEN o_custkey % 2 = 0 THEN '連結' ELSE '不明' END AS scope, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS v,
+@query("""WITH RECURSIVE r AS (SELECT o_custkey AS code, date_trunc('year', o_orderdate)::DATE AS e, o_orderpriority AS kind, CASE WHEN o_custkey % 2 = 0 THEN '連結' ELSE '不明' END AS scope, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS v,
         CASE WHEN o_orderkey % 2 = 0 THEN 'personal-only' ELSE 'commercial-ok' END AS tag, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate END AS tt, o_orderkey AS k, o_orderstatus AS s FROM orders),
-    f AS (SELECT code, e, kind, scope, s, arg_max(v, k) FILTER (v IS NOT NULL) AS v, arg_max(tag, k) AS tag, arg_max(tt, k) FILTER (tt IS NOT NULL) AS tt FROM r WHERE s <> 'P' GROUP BY ALL)
-    SELECT code, CAST(e AS VARCHAR) AS fiscal_period_end, kind AS disclosure_type, scope AS consolidated, CASE WHEN n.s IS NULL THEN o.v WHEN o.s IS NULL THEN n.v WHEN coalesce(n.tt >= o.tt OR o.tt IS NULL, false) THEN coalesce(n.v, o.v) ELSE o.v END AS net_sales,
-        CASE WHEN n.s IS NULL THEN 'F' WHEN o.s IS NULL THEN 'O' WHEN coalesce(n.tt >= o.tt OR o.tt IS NULL, false) THEN 'O' ELSE 'F' END AS source,
-        CASE WHEN n.s IS NULL THEN o.tag WHEN o.s IS NULL THEN n.tag WHEN coalesce(n.tt >= o.tt OR o.tt IS NULL, false) THEN greatest(n.tag, o.tag) ELSE o.tag END AS license_tag
-    FROM (SELECT * FROM f WHERE s = 'F') o FULL JOIN (SELECT * FROM f WHERE s = 'O') n USING (code, e, kind, scope)""")
+    f AS (SELECT code, e, kind, scope, arg_max(v, k) FILTER (v IS NOT NULL) AS v, arg_max(tag, k) AS tag, arg_max(tt, k) FILTER (tt IS NOT NULL) AS tt FROM r WHERE s = 'F' GROUP BY ALL),
+    n AS (SELECT code, e, kind, scope, v, tag, tt, row_number() OVER (PARTITION BY code, e, kind, scope ORDER BY k) AS i FROM r WHERE s = 'O'),
+    state AS (
+        SELECT code, e, kind, scope, 0 AS i, v, 'F' AS source, tag, tt FROM f
+        UNION ALL SELECT code, e, kind, scope, 1, v, 'O', tag, tt FROM n WHERE i = 1 AND NOT EXISTS (SELECT 1 FROM f WHERE f.code = n.code AND f.e = n.e AND f.kind = n.kind AND f.scope = n.scope)
+        UNION ALL SELECT code, e, kind, scope, i, CASE WHEN ok THEN coalesce(v, had_v) ELSE had_v END, CASE WHEN ok THEN 'O' ELSE had_source END, CASE WHEN ok THEN greatest(tag, had_tag) ELSE had_tag END, CASE WHEN ok THEN coalesce(tt, had_tt) ELSE had_tt END
+            FROM (SELECT n.*, state.v AS had_v, state.source AS had_source, state.tag AS had_tag, state.tt AS had_tt, coalesce(n.tt >= state.tt OR state.tt IS NULL, false) AS ok
+                FROM state JOIN n ON n.code = state.code AND n.e = state.e AND n.kind = state.kind AND n.scope = state.scope AND n.i = state.i + 1))
+    SELECT code, CAST(e AS VARCHAR) AS fiscal_period_end, kind AS disclosure_type, scope AS consolidated, v AS net_sales, source, tag AS license_tag
+    FROM state QUALIFY i = max(i) OVER (PARTITION BY code, e, kind, scope)""")
 def q62_merge_financials(t):
     """Later disclosures of a financial record: values they don't carry stay, the stricter licence stays, older ones change nothing."""
     rank = [F.col("k")]
@@ -37,6 +42,30 @@ def q62_merge_financials(t):
     return out.select("code", F.date_format("fiscal_period_end", "yyyy-MM-dd").alias("fiscal_period_end"), "disclosure_type", "consolidated", "net_sales", "source", "license_tag")
 
 
+_CORRECTIONS = "l_partkey AS k, CASE WHEN l_quantity < 42 THEN l_shipdate END AS told_at, CASE WHEN l_quantity > 12 THEN l_tax END AS v, l_suppkey AS source, CASE WHEN l_quantity > 40 THEN 'personal-only' WHEN l_quantity > 20 THEN 'factual-cite' ELSE 'commercial-ok' END AS tag, CASE WHEN l_linenumber < 4 THEN l_linestatus END AS scope, l_discount AS first_seen"
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT {_CORRECTIONS}, l_returnflag = 'A' AS is_old, row_number() OVER (PARTITION BY l_partkey, l_returnflag = 'A' ORDER BY l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS i FROM lineitem),
+    o AS (SELECT k, told_at, v, source, tag, scope, first_seen FROM r WHERE is_old AND i = 1), n AS (SELECT * FROM r WHERE NOT is_old),
+    state AS (
+        SELECT 0 AS i, * FROM o UNION ALL SELECT 1, k, told_at, v, source, tag, scope, first_seen FROM n WHERE i = 1 AND k NOT IN (SELECT k FROM o)
+        UNION ALL SELECT i, k, CASE WHEN ok THEN coalesce(told_at, had.told_at) ELSE had.told_at END, CASE WHEN NOT ok THEN had.v WHEN scope IS NOT DISTINCT FROM had.scope THEN coalesce(v, had.v) ELSE v END, CASE WHEN ok THEN source ELSE had.source END,
+            CASE WHEN ok AND list_position(['commercial-ok', 'factual-cite', 'personal-only'], tag) >= list_position(['commercial-ok', 'factual-cite', 'personal-only'], had.tag) THEN tag ELSE had.tag END, CASE WHEN ok THEN scope ELSE had.scope END, had.first_seen
+            FROM (SELECT n.*, state AS had, coalesce(n.told_at >= state.told_at OR state.told_at IS NULL, false) AS ok FROM state JOIN n ON n.k = state.k AND n.i = state.i + 1))
+    SELECT k, strftime(told_at, '%Y-%m-%d') AS told_at, v, source, tag, scope, first_seen FROM state QUALIFY i = max(i) OVER (PARTITION BY k)""")
+def q126_applied_in_order(t):
+    """Many corrections of one key in a batch, applied one after another: stale ones change nothing, values merge within a scope, the
+    strictest licence stays. The SQL applies them by recursion."""
+    order = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    rows = t("lineitem").select("l_returnflag", *order, F.expr(f"struct({_CORRECTIONS}) AS x")).select("*", "x.*").drop("x")
+    old = keyed.pick_first(rows.filter("l_returnflag = 'A'"), ["k"], [F.col(c) for c in order]).drop("l_returnflag", *order)
+    # the guard itself stays where a correction without one is taken
+    policy = {"told_at": keyed.MERGE, "v": keyed.MERGE, "tag": keyed.STRICTER, "first_seen": keyed.KEEP}
+    new = rows.filter("l_returnflag <> 'A'")
+    out = keyed.apply_in_order(old, new.drop("l_returnflag"), ["k"], [F.col(c) for c in order], policy, "told_at", "scope")
+    return out.select("k", F.date_format("told_at", "yyyy-MM-dd").alias("told_at"), "v", "source", "tag", "scope", "first_seen")
+
+
 @query("""SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NULL THEN o.v WHEN o.s IS NOT DISTINCT FROM n.s THEN coalesce(n.v, o.v) ELSE n.v END AS v, CASE WHEN n.c_custkey IS NULL THEN o.s ELSE n.s END AS s
     FROM (SELECT c_custkey, c_acctbal AS v, CASE WHEN c_nationkey > 5 THEN c_nationkey % 2 ELSE -1 END AS s FROM customer WHERE c_mktsegment <> 'BUILDING') o FULL JOIN (SELECT c_custkey, CASE WHEN c_acctbal > 3000 THEN c_acctbal + 1 END AS v, CASE WHEN c_nationkey > 5 THEN 0 ELSE -1 END AS s FROM customer WHERE c_mktsegment <> 'MACHINERY') n
     ON o.c_custkey = n.c_custkey""")
