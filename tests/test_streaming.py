@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidewright.operators.buckets import BucketTable
 from tidewright.streaming import upserts
 
 
@@ -15,21 +16,34 @@ def test_later_batches_merge_under_the_guard_and_half_versions_are_not_read(spar
 
     arrive((1, 2, "a"), (1, 1, "z"), (2, 5, "b"))
     arrive((1, 3, None), (2, 4, "old"), (3, 1, "c"))
-    done = next((tmp_path / "table").glob("bucket=*"))
-    (done / "version=9").mkdir()
-    assert sorted(map(tuple, upserts.latest(spark, table).collect())) == [(1, 3, "a"), (2, 5, "b"), (3, 1, "c")]
+    (tmp_path / "table" / "data" / "9-half" / "_bucket=0").mkdir(parents=True)
+    assert sorted(map(tuple, upserts.latest(spark, table, ["k"]).collect())) == [(1, 3, "a"), (2, 5, "b"), (3, 1, "c")]
+
+
+def test_stale_rows_of_a_batch_and_nulls(spark, tmp_path):
+    """Rows of one batch are applied one after another: the second is stale, the third has no time of its own."""
+    form, source, table = "k int, at int, n int, v string", str(tmp_path / "in"), str(tmp_path / "table")
+    spark.createDataFrame([(1, 5, 1, "a"), (1, 4, 2, "b"), (1, None, 3, "c"), (2, None, 4, "d"), (2, 1, 5, None)], form).coalesce(1).write.parquet(source)
+    upserts.merge_into(spark.readStream.schema(form).parquet(source), table, str(tmp_path / "c"), ["k"], [F.col("n")], ["v"], guard="at").awaitTermination()
+    assert sorted(map(tuple, upserts.latest(spark, table, ["k"]).collect())) == [(1, 5, 1, "a"), (2, 1, 5, "d")]
 
 
 def test_series_never_shrink(spark, tmp_path):
-    form, source, table = "s string, d int, v int", str(tmp_path / "in"), str(tmp_path / "table")
+    form, source, table = "s string, d int, ex string, v int", str(tmp_path / "in"), str(tmp_path / "table")
 
     def arrive(*rows):
         spark.createDataFrame(rows, form).coalesce(1).write.mode("append").parquet(source)
-        upserts.merge_series_into(spark.readStream.schema(form).parquet(source), table, str(tmp_path / "checkpoint"), ["s", "d"], ["s"]).awaitTermination()
-
-    arrive(("a", 1, 1), ("a", 2, 2))
-    arrive(("a", 2, 5), ("b", 1, 1))
-    assert sorted(map(tuple, upserts.latest_series(spark, table).collect())) == [("a", 1, 1), ("a", 2, 5), ("b", 1, 1)]
+        upserts.merge_series_into(spark.readStream.schema(form).parquet(source), table, str(tmp_path / "checkpoint"), ["s", "d", "ex"], ["s"]).awaitTermination()
+
+    now = lambda: BucketTable(spark, table, ["s", "d", "ex"], deal=["s"])
+    arrive(("a", 1, None, 1), ("a", 2, "T", 2), ("c", 1, None, 7))
+    before = now().manifest()["standing"]
+    arrive(("a", 1, None, 5), ("b", 1, "T", 1), ("a", 2, "T", 3), ("a", 2, "T", 4))
+    assert sorted(map(tuple, now().read().collect()), key=str) == sorted([("a", 1, None, 5), ("a", 2, "T", 4), ("b", 1, "T", 1), ("c", 1, None, 7)], key=str)
+    (own,) = spark.createDataFrame([("c",)], "s string").select(now().bucket_of()).first()
+    assert now().manifest()["standing"][str(own)] == before[str(own)] and own not in now().manifest()["touched"]
+    arrive(("c", 2, None, 8))
+    assert now().versions() == [1, 2]
 
 
 def test_hourly_polls_bring_each_document_once(spark, tmp_path):

@@ -163,9 +163,15 @@ def departed(current: DataFrame, fetched: DataFrame, key: str, least_coverage: f
     return keys.filter("_c = 1 and _f = 0").join(F.broadcast(share), F.col("_share") >= least_coverage).select(key)
 
 
-def merge_series(existing: DataFrame, points: DataFrame, keys: list[str]) -> DataFrame:
-    """Both sets of points, new ones in place of old ones with the same keys."""
-    return existing.join(points.select(*keys), keys, "left_anti").unionByName(points)
+def merge_series(existing: DataFrame, points: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Both sets of points, new ones in place of old ones with the same keys, null for null. Of new points with one key the last
+    stays, in the given order or that of all their columns. Both sides meet in one grouping, which combines before the shuffle."""
+    rest = [c for c in points.columns if c not in keys]
+    last = F.struct(*order) if order else F.struct(*points.columns)
+    new = points.select(*keys, F.lit(1).alias("_new"), last.alias("_order"), F.struct(*rest).alias("_point"))
+    old = existing.select(*keys, F.lit(0).alias("_new"), F.lit(None).cast(new.schema["_order"].dataType).alias("_order"), F.struct(*rest).alias("_point"))
+    best = F.max_by("_point", F.struct("_new", "_order"))
+    return old.unionByName(new).groupBy(*keys).agg(best.alias("_point")).select(*keys, "_point.*").select(*points.columns)
 
 
 def same_sets(declared: DataFrame, observed: DataFrame) -> DataFrame:
@@ -199,7 +205,9 @@ def regressions(old: DataFrame, new: DataFrame, series: list[str], element: list
     """Per series: how many elements of old are missing from new, and both sizes; only series that lost something. Elements are
     compared null for null."""
     had = old.select(*series, *element)
-    has = new.select(*[F.col(c).alias(f"_{c}") for c in (*series, *element)]).distinct()
-    lost = had.join(has, reduce(lambda a, b: a & b, [had[c].eqNullSafe(has[f"_{c}"]) for c in (*series, *element)]), "left_anti").groupBy(*series).agg(F.count(F.lit(1)).alias("lost"))
-    sizes = old.groupBy(*series).agg(F.count(F.lit(1)).alias("old_size")).join(new.groupBy(*series).agg(F.count(F.lit(1)).alias("new_size")), series, "left")
-    return sizes.join(lost, series, "left").select(*series, "old_size", F.coalesce("new_size", F.lit(0)).alias("new_size"), F.coalesce("lost", F.lit(0)).alias("lost")).filter("lost > 0 or new_size < old_size")
+    has = new.select(*series, *element)
+    both = had.select("*", F.lit(1).alias("_had"), F.lit(0).alias("_has")).unionByName(has.select("*", F.lit(0).alias("_had"), F.lit(1).alias("_has")))
+    each = both.groupBy(*series, *element).agg(F.sum("_had").alias("_had"), F.sum("_has").alias("_has"))
+    lost = F.sum(F.when(F.col("_has") == 0, F.col("_had")).otherwise(0))
+    sizes = each.groupBy(*series).agg(F.sum("_had").alias("old_size"), F.sum("_has").alias("new_size"), lost.alias("lost"))
+    return sizes.filter("old_size > 0 and (lost > 0 or new_size < old_size)")

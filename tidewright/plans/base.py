@@ -6,6 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewright.operators.files import shared_folder
+
+
+def scratch(df: DataFrame, label: str) -> str:
+    """A new path for a query's own tables in the shared folder, which is set beside the warehouse where a session names none."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", spark.conf.get("spark.sql.warehouse.dir"))
+    return shared_folder(spark, label)
+
 
 class Registry:
     def __init__(self):

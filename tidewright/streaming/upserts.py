@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewright.functions.values import default_target_date
-from tidewright.operators.keyed import fold_batch, merge_series, merge_upsert, regressions
+from tidewright.operators.buckets import BucketTable
+from tidewright.operators.keyed import MERGE, merge_series, regressions
 from tidewright.sources.disclosures import with_unseen
 
 
@@ -19,65 +20,48 @@ def first_seen(stream: DataFrame, keys: list[str], event_time: str, delay: str =
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def _bucket(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
 def merge_into(
     stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[Column], merge: list[str], guard: str | None = None, publish: Callable[[str, int], None] | None = None, buckets: int = 8, keep: int = 2
 ) -> StreamingQuery:
-    """Merge every micro-batch into the table under path. The table is cut into buckets by key, and a batch rewrites those alone
-    that it has keys of: each as a new version named by the batch's number beside the last one, so a batch that is run again
-    writes the same versions and readers never see half of one. The newest `keep` versions of a bucket stay."""
+    """Merge every micro-batch into the table under path, its rows one after another under the guard. A batch rewrites the buckets
+    alone that it has keys of, in one job, and is committed under its number, so a batch that is run again changes nothing and
+    readers never see half of one. The newest `keep` versions stay."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = fold_batch(batch, keys, order, merge).withColumn("_bucket", _bucket(keys, buckets)).persist()
-        try:
-            for b in sorted(r[0] for r in new.select("_bucket").distinct().collect()):
-                own, here = new.filter(F.col("_bucket") == b).drop("_bucket"), f"{path}/bucket={b}"
-                versions = [v for v in _versions(spark, here) if v < number]
-                out = own if not versions else merge_upsert(spark.read.parquet(f"{here}/version={max(versions)}"), own, keys, dict.fromkeys(merge, "merge"), guard)
-                out.write.mode("overwrite").parquet(f"{here}/version={number}")
-                for v in sorted(versions)[: -keep + 1 or None]:
-                    _remove(spark, f"{here}/version={v}")
-        finally:
-            new.unpersist()
+        table = BucketTable(batch.sparkSession, path, keys, buckets)
+        policy = dict.fromkeys([*merge, *([guard] if guard else [])], MERGE)
+        table.upsert(batch, order, policy, guard, number=number)
+        table.expire(keep)
         if publish:
             publish(path, number)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def latest(spark, path: str) -> DataFrame:
-    """The newest whole version of every bucket."""
-    where, fs = _folder(spark, path)
-    buckets = sorted(s.getPath().getName() for s in fs.listStatus(where) if s.getPath().getName().startswith("bucket="))
-    newest = [f"{path}/{b}/version={max(v)}" for b in buckets if (v := _versions(spark, f"{path}/{b}"))]
-    return spark.read.option("recursiveFileLookup", "true").parquet(*newest)
+def latest(spark, path: str, keys: list[str]) -> DataFrame:
+    """The newest whole version."""
+    return BucketTable(spark, path, keys).read()
 
 
-def merge_series_into(stream: DataFrame, path: str, checkpoint: str, keys: list[str], series: list[str]) -> StreamingQuery:
-    """Append-only series: every micro-batch's points replace those with the same keys; before a batch is committed the new table is
-    held against the old one, and a series that would lose or lack an old key stops the stream."""
+def merge_series_into(stream: DataFrame, path: str, checkpoint: str, keys: list[str], series: list[str], order: list[Column] | None = None, buckets: int = 64, keep: int = 2) -> StreamingQuery:
+    """Append-only series in a table of buckets: every micro-batch's points replace those with the same keys, null for null; of
+    points of one batch with one key the last in the order stays (by all columns where none is given). A series lies in one bucket.
+    What was written is held against the buckets that it replaces before it is committed, and a series that would lack an old
+    key or get shorter stops the stream."""
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        versions = [v for v in _versions(spark, path) if v < number]
-        out = batch.dropDuplicates(keys)
-        if versions:
-            old = spark.read.parquet(f"{path}/version={max(versions)}")
-            out = merge_series(old, out, keys)
-            lost = regressions(old, out, series, [k for k in keys if k not in series]).first()
+        table = BucketTable(batch.sparkSession, path, keys, buckets, deal=series)
+
+        def whole(old: DataFrame, written: DataFrame) -> None:
+            lost = regressions(old, written, series, [k for k in keys if k not in series]).first()
             if lost is not None:
                 raise RuntimeError(f"batch {number} would shrink a series: {lost.asDict()}")
-        out.write.mode("overwrite").parquet(f"{path}/version={number}")
-
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+        last = order or [F.struct(*batch.columns)]
+        table.merge(batch, lambda old, points: merge_series(old, points, keys, last), number, whole)
+        table.expire(keep)
 
-def latest_series(spark, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/version={max(_versions(spark, path))}")
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def attributed(stream: DataFrame, at: str) -> DataFrame:
@@ -94,23 +78,3 @@ def with_fallback(primary: Callable[[], DataFrame], fallback: Callable[[], DataF
     except (AnalysisException, PySparkException):
         return fallback()
     return with_unseen(rows, fallback(), limit) if first else fallback()
-
-
-def _folder(spark, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _remove(spark, path: str) -> None:
-    where, fs = _folder(spark, path)
-    fs.delete(where, True)
-
-
-def _versions(spark, path: str) -> list[int]:
-    """The versions that are written whole."""
-    where, fs = _folder(spark, path)
-    if not fs.exists(where):
-        return []
-    inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    names = [s.getPath().getName() for s in fs.listStatus(where) if fs.exists(inside(s.getPath(), "_SUCCESS"))]
-    return [int(n.removeprefix("version=")) for n in names if n.startswith("version=")]
