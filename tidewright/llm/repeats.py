@@ -30,11 +30,12 @@ from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import drop_staged, fresh, stage
+from tidewright.llm.common import fresh, stage
 from tidewright.llm.shingles import mix, parts_of, text_bytes
 
 LENGTH, GRAM = 100, 32
@@ -148,43 +149,52 @@ def _hashes(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "hash long")
 
 
+def _span(start: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Start and number of windows of a piece in one number, in the order of starts."""
+    return (start << 7) | windows
+
+
+def _doc_key() -> Column:
+    return F.xxhash64(F.col("id").cast("string"), "th")
+
+
 def _pieces(texts: DataFrame, marks) -> DataFrame:
-    """hash, d1, d2 (the piece's digest), id, th, doc, start, windows of the pieces whose hash is marked."""
-    schema = T.StructType([*T._parse_datatype_string("hash long, d1 long, d2 long").fields, *texts.schema.fields[:3], *T._parse_datatype_string("start long, windows long").fields])
+    """hash, d1, d2 (the piece's digest), id, th, span of the pieces whose hash is marked."""
+    schema = T.StructType([*T._parse_datatype_string("hash long, d1 long, d2 long").fields, *texts.schema.fields[:2], T.StructField("span", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            for first, _, data, offsets in parts_of(batch.column(3)):
+            for first, _, data, offsets in parts_of(batch.column(2)):
                 row, start, windows, _, h = runs_of(data, offsets)
                 kept = _marked(marks.value, h)
                 row, start, windows, h = row[kept], start[kept], windows[kept], h[kept]
                 begin = start + offsets[row]
                 raw = data.tobytes()
                 d = _digests(raw[a:b] for a, b in zip(begin.tolist(), (begin + windows + LENGTH - 1).tolist(), strict=True))
-                own = [batch.column(k).take(pa.array(row + first)) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d[:, 0]), pa.array(d[:, 1]), *own, pa.array(start), pa.array(windows)], names=schema.names)
+                own = [batch.column(k).take(pa.array(row + first)) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d[:, 0]), pa.array(d[:, 1]), *own, pa.array(_span(start, windows))], names=schema.names)
 
     return texts.mapInArrow(run, schema)
 
 
 def _at_places(texts: DataFrame, places) -> DataFrame:
     """hash, id, th, doc, start, anchor and the bytes of the pieces whose place is marked."""
-    schema = T.StructType([T.StructField("hash", T.LongType()), *texts.schema.fields[:3], *T._parse_datatype_string("start long, anchor long, piece binary").fields])
+    schema = T.StructType([T.StructField("hash", T.LongType()), *texts.schema.fields[:2], *T._parse_datatype_string("doc long, start long, anchor long, piece binary").fields])
 
     def run(batches):
         for batch in batches:
-            docs = np.asarray(batch.column(2))
-            for first, _, data, offsets in parts_of(batch.column(3)):
+            docs = np.asarray(batch.column(3))
+            for first, _, data, offsets in parts_of(batch.column(2)):
                 row, start, windows, at, h = runs_of(data, offsets)
                 kept = _marked(places.value, _place(docs[row + first], start))
                 row, start, windows, at, h = row[kept], start[kept], windows[kept], at[kept], h[kept]
                 begin = start + offsets[row]
                 raw = data.tobytes()
                 pieces = pa.array([raw[a:b] for a, b in zip(begin.tolist(), (begin + windows + LENGTH - 1).tolist(), strict=True)], pa.binary())
-                own = [batch.column(k).take(pa.array(row + first)) for k in range(3)]
+                own = [batch.column(k).take(pa.array(row + first)) for k in (0, 1, 3)]
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *own, pa.array(start), pa.array(at), pieces], names=schema.names)
 
-    return texts.mapInArrow(run, schema)
+    return texts.withColumn("doc", _doc_key()).mapInArrow(run, schema)
 
 
 def repeats_in_columns(pieces: list[bytes], anchors: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +248,7 @@ def repeats_in_columns(pieces: list[bytes], anchors: list[int]) -> tuple[np.ndar
 
 
 def _repeated(pieces: DataFrame) -> DataFrame:
-    """doc, th, start, windows: the windows of the pieces (hash, id, th, doc, start, anchor, piece) that an earlier piece has."""
+    """doc, th, span: the windows of the pieces (hash, id, th, doc, start, anchor, piece) that an earlier piece has."""
 
     def solve(some: pa.Table):
         piece, start = repeats_in_columns(some.column("piece").to_pylist(), some.column("anchor").to_pylist())
@@ -248,7 +258,7 @@ def _repeated(pieces: DataFrame) -> DataFrame:
         size = np.diff(np.append(heads, len(piece)))
         piece, start = piece[heads], start[heads]
         at = np.asarray(some.column("start"))[piece] + start
-        return pa.RecordBatch.from_arrays([pa.array(np.asarray(some.column("doc"))[piece]), pa.array(np.asarray(some.column("th"))[piece]), pa.array(at), pa.array(size)], names=["doc", "th", "start", "windows"])
+        return pa.RecordBatch.from_arrays([pa.array(np.asarray(some.column("doc"))[piece]), pa.array(np.asarray(some.column("th"))[piece]), pa.array(_span(at, size))], names=["doc", "th", "span"])
 
     def run(batches):
         held = None
@@ -264,94 +274,110 @@ def _repeated(pieces: DataFrame) -> DataFrame:
             yield solve(held)
 
     sorted_pieces = pieces.repartition("hash").sortWithinPartitions("hash", "id", "th", "start")
-    return sorted_pieces.mapInArrow(run, "doc long, th long, start long, windows long")
+    return sorted_pieces.mapInArrow(run, "doc long, th long, span long")
 
 
 def _first_windows(texts: DataFrame, hot: DataFrame) -> DataFrame:
-    """doc, th, start, windows: of the windows of the hot pieces (doc, th, start, windows) the first of each digest."""
-    schema = T.StructType([T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), *texts.schema.fields[:3], T.StructField("start", T.LongType())])
-    lists = hot.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "windows")).alias("runs"))
+    """doc, th, span: of the windows of the hot pieces (doc, th, span) the first of each digest."""
+    schema = T.StructType([T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()), *texts.schema.fields[:2], T.StructField("span", T.LongType())])
+    lists = hot.groupBy("doc", "th").agg(F.collect_list("span").alias("spans"))
 
     def run(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column(3))
-            for k, runs in enumerate(batch.column(4)):
+            data, offsets = text_bytes(batch.column(2))
+            for k, spans in enumerate(batch.column(3)):
                 raw = data[offsets[k] : offsets[k + 1]].tobytes()
-                at = [s for r in runs.as_py() for s in range(r["start"], r["start"] + r["windows"])]
+                at = np.array([s for x in spans.as_py() for s in range(x >> 7, (x >> 7) + (x & 127))])
                 for a in range(0, len(at), 1 << 16):
                     some = at[a : a + (1 << 16)]
-                    d = _digests(raw[s : s + LENGTH] for s in some)
-                    own = [batch.column(c).take(pa.array([k] * len(some))) for c in range(3)]
-                    yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), *own, pa.array(some, pa.int64())], names=schema.names)
+                    d = _digests(raw[s : s + LENGTH] for s in some.tolist())
+                    own = [batch.column(c).take(pa.array([k] * len(some))) for c in range(2)]
+                    yield pa.RecordBatch.from_arrays([pa.array(d[:, 0]), pa.array(d[:, 1]), *own, pa.array(_span(some, np.int64(1)))], names=schema.names)
+
+    windows = texts.withColumn("doc", _doc_key()).join(lists, ["doc", "th"]).select("id", "th", "text", "spans").mapInArrow(run, schema)
+    first = windows.groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "span")).alias("x"))
+    return first.select("x.*").select(_doc_key().alias("doc"), "th", "span")
+
+
+def _packed(texts: DataFrame, marks) -> DataFrame:
+    """id, th, the text's bytes, compressed for the shuffle, and the spans of its marked pieces."""
+    schema = T.StructType([*texts.schema.fields[:2], *T._parse_datatype_string("packed binary, marked array<long>").fields])
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for first, last, data, offsets in parts_of(batch.column(2)):
+                row, start, windows, _, h = runs_of(data, offsets)
+                some = _marked(marks.value, h)
+                at = np.searchsorted(row[some], np.arange(last - first + 1))
+                packed = pa.array([pack.compress(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], pa.binary())
+                marked = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(_span(start[some], windows[some])))
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).slice(first, last - first) for k in range(2)], packed, marked], names=schema.names)
+
+    return texts.mapInArrow(run, schema)
 
-    windows = texts.join(lists, ["doc", "th"]).select("id", "th", "doc", "text", "runs").mapInArrow(run, schema)
-    first = windows.groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "start", "doc")).alias("x"))
-    return first.select("x.doc", "x.th", "x.start", F.lit(1).cast("long").alias("windows"))
+
+def _covered(n: int, marked: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Which of a text's bytes are in a window that repeats: all those of marked pieces but the kept ones, and those found."""
+    repeats = np.zeros(n + 1, np.int32)
+    kept, told = (told & 1).astype(bool), told >> 1
+    for spans, step in ((marked, 1), (told[kept], -1), (told[~kept], 1)):
+        start = spans >> 7
+        np.add.at(repeats, start, step)
+        np.add.at(repeats, start + (spans & 127), -step)
+    edges = np.diff(np.concatenate([[0], np.cumsum(repeats[:-1]) > 0, [0]]).astype(np.int8))
+    covered = np.zeros(n + LENGTH, np.int32)
+    covered[np.flatnonzero(edges > 0)] += 1
+    covered[np.flatnonzero(edges < 0) + LENGTH - 1] -= 1
+    return np.cumsum(covered[:n]) > 0
 
 
 def _cut(texts: DataFrame, told: DataFrame, marks, id_col: str) -> DataFrame:
-    """The result for each text, told (doc, th, spans) which windows of marked pieces are kept and which others are gone."""
+    """The result for each text, told (doc, th, told) which windows of marked pieces are kept and which others are gone."""
     names = fresh([id_col], "n_bytes", "n_removed", "n_spans", "kept_sha256")
     kinds = [T.LongType()] * 3 + [T.StringType()]
     schema = T.StructType([T.StructField(id_col, texts.schema["id"].dataType), *[T.StructField(n, t) for n, t in zip(names, kinds, strict=True)]])
 
     def run(batches):
+        unpack, none = zstandard.ZstdDecompressor(), np.empty(0, np.int64)
         for batch in batches:
-            lists = batch.column(2)
-            for first, last, data, offsets in parts_of(batch.column(1)):
-                row, start, windows, _, h = runs_of(data, offsets)
-                marked = _marked(marks.value, h)
-                begin = (start + offsets[row])[marked]
-                removed = np.zeros(len(data) + 1, np.int32)  # windows that repeat, as steps
-                np.add.at(removed, begin, 1)
-                np.subtract.at(removed, begin + windows[marked], 1)
-                own = lists.slice(first, last - first)
-                flat = own.flatten()
-                if len(flat):
-                    at = np.repeat(offsets[:-1], np.asarray(own.value_lengths().fill_null(0))) + np.asarray(flat.field("start"))
-                    step = np.where(np.asarray(flat.field("kept").cast(pa.int8())), -1, 1).astype(np.int32)
-                    np.add.at(removed, at, step)
-                    np.subtract.at(removed, at + np.asarray(flat.field("windows")), step)
-                repeats = np.cumsum(removed[:-1]) > 0
-                covered = np.zeros(len(data) + LENGTH, np.int32)
-                edges = np.diff(np.concatenate([[0], repeats.astype(np.int8), [0]]))
-                np.add.at(covered, np.flatnonzero(edges > 0), 1)
-                np.subtract.at(covered, np.flatnonzero(edges < 0) + LENGTH - 1, 1)
-                gone = np.cumsum(covered)[: len(data)] > 0
-                made = []
-                for k in range(last - first):
-                    a, b = offsets[k], offsets[k + 1]
-                    mask = gone[a:b]
-                    spans = int(np.count_nonzero(mask[1:] & ~mask[:-1])) + int(b > a and mask[0])
-                    made.append((int(b - a), int(np.count_nonzero(mask)), spans, sha256(data[a:b][~mask]).hexdigest()))
-                columns = zip(*made, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *[pa.array(c, pa.string() if i == 3 else pa.int64()) for i, c in enumerate(columns)]], names=schema.names)
-
-    return texts.join(told, ["doc", "th"], "left").select("id", "text", "spans").mapInArrow(run, schema)
+            made = []
+            for packed, marked, told in zip(batch.column(1), batch.column(2), batch.column(3), strict=True):
+                raw = unpack.decompress(packed.as_py())
+                marked = np.asarray(marked.values)
+                if not len(marked):
+                    made.append((len(raw), 0, 0, sha256(raw).hexdigest()))
+                    continue
+                gone = _covered(len(raw), marked, np.asarray(told.values) if told.is_valid else none)
+                spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[0])
+                made.append((len(raw), int(np.count_nonzero(gone)), spans, sha256(np.frombuffer(raw, np.uint8)[~gone]).hexdigest()))
+            columns = zip(*made, strict=True) if made else [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.string() if i == 3 else pa.int64()) for i, c in enumerate(columns)]], names=schema.names)
+
+    packed = _packed(texts, marks).withColumn("doc", _doc_key())
+    return packed.join(told, ["doc", "th"], "left").select("id", "packed", "marked", "told").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: id_col, n_bytes, n_removed, n_spans (maximal removed runs) and kept_sha256 (of the bytes that stay)."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), F.xxhash64(F.col(id_col).cast("string"), text).alias("doc"), text.alias("text"))
-    repeated = _hashes(texts).groupBy("hash").count().filter("count > 1")
-    marks = _bitmap(spark, repeated.select("hash"))
-    first = _pieces(texts, marks).groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "start", "doc", "hash", "windows")).alias("x"))
-    first = stage(first.select("x.*"), "first-pieces")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    marks = _bitmap(spark, _hashes(texts).groupBy("hash").count().filter("count > 1").select("hash"))
+    first = _pieces(texts, marks).groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "span", "hash")).alias("x"))
+    first = stage(first.select("x.*"), "first-pieces").withColumn("doc", _doc_key())
     counts = first.groupBy("hash").count().filter("count > 1")
-    shared = stage(first.join(counts, "hash").select("doc", "th", "start", "windows", "count"), "shared-pieces")
+    shared = stage(first.select("hash", "doc", "th", "span").join(counts, "hash").drop("hash"), "shared-pieces")
 
     def places(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_place(np.asarray(batch.column(0)), np.asarray(batch.column(1))).view(np.int64))], names=["place"])
+            yield pa.RecordBatch.from_arrays([pa.array(_place(np.asarray(batch.column(0)), np.asarray(batch.column(1)) >> 7).view(np.int64))], names=["place"])
 
-    at = _bitmap(spark, shared.filter(F.col("count") <= HOT).select("doc", "start").mapInArrow(places, "place long"))
+    at = _bitmap(spark, shared.filter(F.col("count") <= HOT).select("doc", "span").mapInArrow(places, "place long"))
     gone = stage(_repeated(_at_places(texts, at)), "repeated-windows")
-    hot = shared.filter(F.col("count") > HOT)
-    kept = first.select("doc", "th", "start", "windows")
+    hot = shared.filter(F.col("count") > HOT).drop("count")
+    kept = first.select("doc", "th", "span")
     if not hot.isEmpty():
-        kept = kept.join(hot.select("doc", "th", "start"), ["doc", "th", "start"], "left_anti").unionByName(_first_windows(texts, hot))
-    spans = kept.withColumn("kept", F.lit(True)).unionByName(gone.withColumn("kept", F.lit(False)))
-    told = spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "windows", "kept")).alias("spans"))
-    return _cut(texts, told, marks, id_col)
+        kept = kept.join(hot, ["doc", "th", "span"], "left_anti").unionByName(_first_windows(texts, hot))
+    spans = kept.selectExpr("doc", "th", "span * 2 + 1 AS span").unionByName(gone.selectExpr("doc", "th", "span * 2 AS span"))
+    return _cut(texts, spans.groupBy("doc", "th").agg(F.collect_list("span").alias("told")), marks, id_col)
