@@ -32,39 +32,38 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import drop_staged, new_path, stage
+from tidewright.llm.common import _delete as delete
+from tidewright.llm.common import drop_staged, new_path, release, stage
 from tidewright.llm.sentencepiece_codec import BPE, BYTE, MARK, parse_model, read_model
 
 #: Where the public tokenizer files are; parameters of every function that reads one.
 DEFAULT_A = "/opt/tokenizers/byte_bpe_50k.json"
 DEFAULT_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text after which a task begins another dictionary.
-DICTIONARY_BYTES = 1 << 27
+DICTIONARY_BYTES = 1 << 25
+#: Pairs of ids that are broadcast.
+FREQUENT = 1 << 17
 #: Input partitions that share a dictionary.
 _SHARED = 4
-#: Between words: a space after a letter, a digit or a visible ASCII sign, before another sign than a space.
-_ODD_SPACE = re.compile(r"(?:^|[^\w!-~]) | (?: |\Z)")
-_SAFE_END = re.compile(r"[\w!-~]\Z")
+#: A space at which a text isn't cut: not after a letter, a digit or a visible ASCII sign, before another space, or the last sign.
+_INNER_SPACE = re.compile(r" (?:(?<![\w!-~] )|(?= |\Z))")
+#: Fixed value: how byte-level BPE of this kind splits a text before it merges.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a text that isn't empty, without the space before each; joined by spaces they are the text."""
-    parts = text.split(" ")
-    if not _ODD_SPACE.search(text):
-        return parts
-    out, own = [], [parts[0]]
-    for part in parts[1:]:
-        if part and _SAFE_END.search(own[-1]):
-            out.append(" ".join(own))
-            own = []
-        own.append(part)
-    return [*out, " ".join(own)]
+    """The words of a text without U+2581, without the space before each; joined by spaces they are the text."""
+    marked = _INNER_SPACE.sub(MARK, text)
+    if MARK not in marked:
+        return text.split(" ")
+    return [w.replace(MARK, " ") for w in marked.split(" ")]
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -74,28 +73,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def token_bytes(vocab: dict[str, int]) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary."""
+    alphabet = byte_alphabet()
+    out = [b""] * (max(vocab.values()) + 1)
+    for token, i in vocab.items():
+        out[i] = bytes(map(alphabet.__getitem__, token))
+    return out
+
+
 class Pair:
     """Both tokenizers, with the bytes of each token."""
 
     def __init__(self, a: bytes, b: bytes):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_str(a.decode())
-        self.tokenizer.encode_special_tokens = True
+        self.a = token_bytes(json.loads(a)["model"]["vocab"])
+        self.tokenizer = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={t: i for i, t in enumerate(self.a)}, special_tokens={})
         self.model = sentencepiece.SentencePieceProcessor(model_proto=b)
-        alphabet = byte_alphabet()
-        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.a = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.a[i] = bytes(map(alphabet.get, token)) if all(c in alphabet for c in token) else b""
         self.b = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in parse_model(b).pieces]
         self.a_sizes, self.b_sizes = np.array([len(x) for x in self.a], np.int32), np.array([len(x) for x in self.b], np.int32)
 
     def encode(self, words: list[str]) -> list[list[list[int]]]:
         """The ids of both tokenizers for a space and each word."""
-        ours = [e.ids for e in self.tokenizer.encode_batch_fast([" " + w for w in words], add_special_tokens=False)]
-        theirs = self.model.encode(words, num_threads=1)
+        ours, theirs = [self.tokenizer.encode_ordinary(" " + w) for w in words], self.model.encode(words, num_threads=1)
         for w, x, y in zip(words, ours, theirs, strict=True):
             if not b"".join(map(self.a.__getitem__, x)) == b"".join(map(self.b.__getitem__, y)) == b" " + w.encode():
                 raise ValueError(f"tokens of {w!r} don't give back its bytes")
@@ -108,14 +110,17 @@ def _pair(a: bytes, b: bytes) -> Pair:
 
 
 def check_models(a: bytes, b: bytes) -> bool:
-    """Whether both cut before a space between two other signs; models that change a text's bytes are refused."""
+    """Whether B cuts before a space between two other signs, as A does; models that change a text's bytes are refused."""
     spec, model = json.loads(a), parse_model(b)
-    pre = spec.get("pre_tokenizer") or {}
-    if spec.get("normalizer") or spec["model"]["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
+    bpe, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True):
         raise ValueError("A must be byte-level BPE that leaves texts as they are")
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in bpe["merges"]]
+    if any(bpe.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")) or [bpe["vocab"][m] for m in merged] != list(range(256, 256 + len(merged))):
+        raise ValueError("A's ids must be in the order of its merges, after the 256 bytes")
     if model.kind != BPE or model.charsmap or model.squeeze or not model.dummy_prefix or not model.byte_fallback:
         raise ValueError("B must be a BPE model with byte fallback that adds a space and changes nothing else")
-    return pre.get("use_regex", True) and not any(MARK in p.lstrip(MARK) for p, _, _ in model.pieces)
+    return not any(MARK in p.lstrip(MARK) for p, _, _ in model.pieces)
 
 
 @contextmanager
@@ -140,61 +145,69 @@ def _stage_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
     spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
     df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, label)).saveAsTable(name)
     atexit.register(_drop_table, spark, name)
+    del df
+    release(spark)
     return spark.table(name)
 
 
-def _numbers_to_bytes(numbers: list[int]) -> bytes:
-    """Numbers by planes of bytes, compressed."""
-    return zstandard.ZstdCompressor(level=1).compress(np.array(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+def _bytes_to_numbers(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are asked for."""
 
-def _bytes_to_numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1).T).view("<u4")[:, 0]
+    def __missing__(self, word: str) -> int:
+        self[word] = k = len(self)
+        return k
 
 
 def _dictionaries(docs: DataFrame, id_col: str, text_col: str, cut: bool) -> DataFrame:
-    """A row for each document: dictionary, id and words (numbers in it; null without tokens); and one for each entry of a dictionary:
-    dictionary, number, word, n (its occurrences)."""
-    schema = T.StructType([T.StructField("dictionary", T.LongType()), docs.schema[id_col], *T._parse_datatype_string("words binary, number int, word string, n long").fields])
-    schema = T.StructType([schema[0], T.StructField("id", schema[1].dataType), *schema.fields[2:]])
+    """A row for each document: dictionary, id and words (numbers in it, by planes of bytes, compressed; null without tokens); and one
+    for each entry of a dictionary: dictionary, number, word, n (its occurrences)."""
+    id_field = T.StructField("id", docs.schema[id_col].dataType)
+    schema = T.StructType([T.StructField("dictionary", T.LongType()), id_field, *T._parse_datatype_string("words binary, number int, word string, n long").fields])
+
+    def rows(key, n, ids, words=None, number=None, word=None, count=None):
+        arrays = [pa.array([key] * n, pa.int64()), ids, pa.nulls(n, pa.binary()) if words is None else words]
+        arrays += [pa.nulls(n, kind) if v is None else pa.array(v, kind) for v, kind in ((number, pa.int32()), (word, pa.string()), (count, pa.int64()))]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     def run(batches):
-        key, numbers, counts, size = TaskContext.get().partitionId() << 33, {}, [], 0
+        key, numbers, counts, size, id_type, pack = TaskContext.get().partitionId() << 33, _Numbers(), np.zeros(0, np.int64), 0, None, zstandard.ZstdCompressor(level=1)
 
         def entries():
             words = list(numbers)
             for k in range(0, len(words), 50_000):
                 some = words[k : k + 50_000]
-                yield pa.RecordBatch.from_pydict({"dictionary": pa.array([key] * len(some), pa.int64()), "id": pa.nulls(len(some), id_type), "words": pa.nulls(len(some), pa.binary()), "number": pa.array(range(k, k + len(some)), pa.int32()), "word": pa.array(some, pa.string()), "n": pa.array(counts[k : k + 50_000], pa.int64())})
+                yield rows(key, len(some), pa.nulls(len(some), id_type), None, range(k, k + len(some)), some, counts[k : k + 50_000])
 
         for batch in batches:
-            id_type, packed = batch.column(0).type, []
+            id_type, packed, used = batch.column(0).type, [], []
             for text in batch.column(1):
                 text = text.as_py()
                 if not text or MARK in text:
                     packed.append(None)
                     continue
-                own = []
-                for word in words_of(text) if cut else [text]:
-                    k = numbers.setdefault(word, len(counts))
-                    if k == len(counts):
-                        counts.append(0)
-                    counts[k] += 1
-                    own.append(k)
+                own = np.array(list(map(numbers.__getitem__, words_of(text) if cut else [text])), "<u4")
                 size += len(text)
-                packed.append(_numbers_to_bytes(own))
-            n = len(packed)
-            yield pa.RecordBatch.from_pydict({"dictionary": pa.array([key] * n, pa.int64()), "id": batch.column(0), "words": pa.array(packed, pa.binary()), "number": pa.nulls(n, pa.int32()), "word": pa.nulls(n, pa.string()), "n": pa.nulls(n, pa.int64())})
+                used.append(own)
+                packed.append(pack.compress(own.view(np.uint8).reshape(-1, 4).T.tobytes()))
+            if used:
+                more = np.bincount(np.concatenate(used), minlength=len(numbers))
+                more[: len(counts)] += counts
+                counts = more
+            yield rows(key, len(packed), batch.column(0), pa.array(packed, pa.binary()))
             if size >= DICTIONARY_BYTES:
                 yield from entries()
-                key, size = key + 1, 0
+                key, size, counts = key + 1, 0, np.zeros(0, np.int64)
                 numbers.clear()
-                counts.clear()
+                pa.default_memory_pool().release_unused()
         yield from entries()
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    parts = max(rows.rdd.getNumPartitions() // _SHARED, rows.sparkSession.sparkContext.defaultParallelism)
-    return rows.coalesce(parts).mapInArrow(run, schema)
+    rows_in = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    parts = max(rows_in.rdd.getNumPartitions() // _SHARED, rows_in.sparkSession.sparkContext.defaultParallelism)
+    return rows_in.coalesce(parts).mapInArrow(run, schema)
 
 
 def _encoded(words: DataFrame, a: bytes, b: bytes) -> DataFrame:
@@ -216,29 +229,29 @@ def _encoded(words: DataFrame, a: bytes, b: bytes) -> DataFrame:
 
 
 def _tokens(words: DataFrame, side: str) -> DataFrame:
-    """h, w, end and the token's id, named as the side, for every token of every word."""
-    each = words.select("h", "w", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_size").alias("size"))).alias("pos", "t"))
-    so_far = Window.partitionBy("h", "w").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return each.select("h", "w", F.sum("t.size").over(so_far).alias("end"), F.col("t.id").alias(side))
+    """h, w, end, the token's id, named as the side, and its position for every token of every word."""
+    each = words.select("h", "w", F.posexplode(F.arrays_zip(F.col(side).alias("id"), F.col(f"{side}_size").alias("size"))).alias(f"{side}_at", "t"))
+    so_far = Window.partitionBy("h", "w").orderBy(f"{side}_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return each.select("h", "w", F.sum("t.size").over(so_far).alias("end"), F.col("t.id").alias(side), f"{side}_at")
 
 
-def _groups(own: DataFrame, other: DataFrame, side: str, met: str) -> DataFrame:
-    """h, w, g and the ids of a side's tokens as text for each group, with the link that ends it."""
-    before = Window.partitionBy("h", "w").orderBy("end").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = own.join(other, ["h", "w", "end"], "left").withColumn("g", F.coalesce(F.count(met).over(before), F.lit(0)))
-    ids = F.transform(F.sort_array(F.collect_list(F.struct("end", side))), lambda x: x[side].cast("string"))
-    return numbered.groupBy("h", "w", "g").agg(F.array_join(ids, ",").alias(f"{side}_ids"), F.max_by(side, "end").alias(side))
+def align_words(words: DataFrame) -> DataFrame:
+    """h, w, word, n, the word's groups as text, and its links (a, b) for encoded words. Where tokens of both end is a cut; the running
+    count of cuts numbers the groups, and a group holds the tokens after the cut before it."""
+    cuts = _tokens(words, "a").join(_tokens(words, "b"), ["h", "w", "end"])
+    running = Window.partitionBy("h", "w").orderBy("end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = cuts.select("h", "w", F.struct(F.count(F.lit(1)).over(running).cast("int").alias("g"), "a", "b", "a_at", "b_at").alias("cut"))
+    each = cuts.groupBy("h", "w").agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
 
+    def ids(side):
+        at = f"{side}_at"
+        before = lambda x: F.when(x["g"] == 1, -1).otherwise(F.get("cuts", x["g"] - 2)[at])
+        return lambda x: F.array_join(F.slice(side, before(x) + 2, x[at] - before(x)).cast("array<string>"), ",")
 
-def align_words(words: DataFrame) -> DataFrame:
-    """h, w, word, n, the word's groups as text, and its links (a, b) for encoded words."""
-    a, b = _tokens(words, "a"), _tokens(words, "b")
-    ours = _groups(a, b, "a", "b")
-    theirs = _groups(b, a, "b", "a")
-    groups = ours.join(theirs, ["h", "w", "g"]).select("h", "w", F.struct("g", F.concat("a_ids", F.lit("|"), "b_ids").alias("ids"), "a", "b").alias("x"))
-    each = groups.groupBy("h", "w").agg(F.sort_array(F.collect_list("x")).alias("x"))
-    each = each.select("h", "w", F.array_join("x.ids", ";").alias("groups"), F.transform("x", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))).alias("links"))
-    return words.select("h", "w", "word", "n").join(each, ["h", "w"])
+    a, b = ids("a"), ids("b")
+    groups = F.array_join(F.transform("cuts", lambda x: F.concat(a(x), F.lit("|"), b(x))), ";")
+    links = F.transform("cuts", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))
+    return words.join(each, ["h", "w"]).select("h", "w", "word", "n", groups.alias("groups"), links.alias("links"))
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
@@ -248,56 +261,68 @@ def pair_counts(links: DataFrame) -> DataFrame:
     return counts.join(highest, "b").select("a", "b", "count", (F.col("count") == F.col("highest")).cast("long").alias("best"))
 
 
+def _with_sums(words: DataFrame, links: DataFrame, pairs: DataFrame, buckets: int) -> DataFrame:
+    """words (h, w, ...) with best and total of their links (h, w, a, b). The most frequent pairs, FREQUENT at most, are broadcast and looked
+    up where the links lie; the others are joined by the pair and dealt back."""
+    frequent = F.broadcast(stage(pairs.orderBy(F.desc("count"), "a", "b").limit(FREQUENT), "frequent-pairs"))
+    met = links.join(frequent, ["a", "b"], "left")
+    sums = lambda rows, k: rows.groupBy("h", "w").agg(F.sum("best").alias(f"best_{k}"), F.sum("count").alias(f"total_{k}"))
+    near = sums(met.filter("count IS NOT NULL"), 1)
+    far = sums(met.filter("count IS NULL").select("h", "w", "a", "b").join(pairs, ["a", "b"]).select("h", "w", "best", "count").repartition(buckets, "h"), 2)
+    plus = lambda x: (F.coalesce(f"{x}_1", F.lit(0)) + F.coalesce(f"{x}_2", F.lit(0))).alias(x)
+    return words.join(near, ["h", "w"], "left").join(far, ["h", "w"], "left").select(*words.columns, plus("best"), plus("total"))
+
+
 def _added_up(schema: T.StructType):
     def run(docs: pa.Table, entries: pa.Table) -> pa.Table:
-        n, made = docs.num_rows, []
-        best, total, groups = (np.zeros(entries.num_rows, np.int64) for _ in range(3))
-        ours, theirs, texts = np.zeros_like(best), np.zeros_like(best), [""] * len(best)
-        number = entries.column("number").to_numpy()
-        best[number], total[number] = entries.column("best").to_numpy(), entries.column("total").to_numpy()
-        for k, text in zip(number.tolist(), entries.column("groups").to_pylist(), strict=True):
-            texts[k] = text
-            groups[k] = g = text.count("|")
-            theirs[k] = sum(1 + x.count(",") for x in _RIGHT.findall(text)) if g > 1 else 1 + text.rpartition("|")[2].count(",")
-            ours[k] = text.count(",") + 2 * g - theirs[k]
+        order = np.argsort(entries.column("number").to_numpy())  # all numbers from 0 on
+        best, total = entries.column("best").to_numpy()[order], entries.column("total").to_numpy()[order]
+        texts = entries.column("groups").combine_chunks().take(pa.array(order))
+        del entries, order
+        groups = pc.count_substring(texts, "|").to_numpy()
+        commas = pc.count_substring(texts, ",").to_numpy()
+        ours = pc.count_substring(pc.replace_substring_regex(texts, r"\|[0-9,]*", ""), ",").to_numpy() + groups
+        theirs = commas + 2 * groups - ours
+        texts, made = texts.to_pylist(), []
+        pa.default_memory_pool().release_unused()
+        unpack = zstandard.ZstdDecompressor()
         for packed in docs.column("words"):
             packed = packed.as_py()
             if packed is None:
                 made.append((0, 0, 0, 0, 0, 0, ""))
                 continue
-            at = _bytes_to_numbers(packed)
+            at = _bytes_to_numbers(unpack.decompress(packed))
             g = int(groups[at].sum())
             digest = sha256(";".join(map(texts.__getitem__, at.tolist())).encode()).hexdigest()
-            made.append((int(ours[at].sum()), int(theirs[at].sum()), g, g, int(best[at].sum()), int(total[at].sum()), digest))
-        columns = list(zip(*made, strict=True)) if n else [[]] * 7
+            made.append((int(ours[at].sum(dtype=np.int64)), int(theirs[at].sum(dtype=np.int64)), g, g, int(best[at].sum()), int(total[at].sum()), digest))
+        columns = list(zip(*made, strict=True)) if made else [[]] * 7
         arrays = [pa.array(c, pa.string() if k == 6 else pa.int64()) for k, c in enumerate(columns)]
         return pa.table([docs.column("id").combine_chunks(), *arrays], names=schema.names)
 
     return run
 
 
-_RIGHT = re.compile(r"\|([0-9,]+)")
-
-
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_path: str = DEFAULT_A, b_path: str = DEFAULT_B) -> DataFrame:
     """One row per row of docs: id_col, n_a and n_b (tokens), n_groups, n_links, n_best (links whose pair is the most frequent of its
     B token), count_sum (of the links' pairs), groups_sha256."""
     spark, a, b = docs.sparkSession, read_model(a_path), read_model(b_path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType([docs.schema[id_col], *T._parse_datatype_string("n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string").fields])
-    made = stage(_dictionaries(docs, id_col, text_col, check_models(a, b)), "dictionaries")
-    entries = made.filter("word IS NOT NULL").select(F.xxhash64("word").alias("h"), "word", "dictionary", "number", "n")
+    path = new_path(spark, "dictionaries")
+    made = _dictionaries(docs, id_col, text_col, check_models(a, b)).withColumn("is_entry", F.col("word").isNotNull())
+    made.write.partitionBy("is_entry").parquet(path)
+    read = spark.read.schema(made.schema).parquet
+    entries = read(path).filter("is_entry").select(F.xxhash64("word").alias("h"), "word", "dictionary", "number", "n")
     entries = _stage_by(entries.repartition(buckets, "h"), "entries", "h", buckets)
+    delete(spark, f"{path}/is_entry=true")
     with _joins_by_part_of_keys(spark):
         words = _encoded(entries.groupBy("h", "word").agg(F.sum("n").alias("n")), a, b).withColumn("w", F.monotonically_increasing_id())
         words = _stage_by(words, "words", "h", buckets)
         aligned = _stage_by(align_words(words), "aligned", "h", buckets)
         drop_staged(words)
         links = aligned.select("h", "w", "n", F.inline("links"))
-        pairs = stage(pair_counts(links), "pairs")
-        sums = links.drop("n").join(pairs, ["a", "b"]).select("h", "w", "count", "best").repartition(buckets, "h").groupBy("h", "w").agg(F.sum("best").alias("best"), F.sum("count").alias("total"))
-        told = aligned.select("h", "w", "word", "groups").join(sums, ["h", "w"]).drop("w")
+        told = _with_sums(aligned.select("h", "w", "word", "groups"), links.drop("n"), stage(pair_counts(links), "pairs"), buckets)
         answers = entries.select("h", "word", "dictionary", "number").join(told, ["h", "word"]).select("dictionary", "number", "groups", "best", "total")
-        texts = made.filter("word IS NULL").select("dictionary", "id", "words")
+        texts = read(path).filter("NOT is_entry").select("dictionary", "id", "words")
         out = texts.groupBy("dictionary").cogroup(answers.groupBy("dictionary")).applyInArrow(_added_up(schema), schema)
         return stage(out, "alignment")

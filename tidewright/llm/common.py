@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from contextlib import contextmanager
 
@@ -53,6 +54,12 @@ def drop_staged(df: DataFrame) -> None:
         _delete(df.sparkSession, folder)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that are over and staged: Spark removes them once the driver has collected what stood for them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows of a few numbers each that may be broadcast; more are joined by a shuffle.
 MOST_BROADCAST = 1_000_000
 #: A key with more than 1/HOT_SHARE of the rows is hot, so fewer than HOT_SHARE keys are, whatever the input.
