@@ -53,7 +53,7 @@ class BucketTable:
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(*self.deal), F.lit(self.buckets)).cast("int")
 
-    def read(self, version: int | None = None, buckets: list[int] | None = None, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, version: int | None = None, buckets: list[int] | None = None, schema: T.StructType | str | None = None) -> DataFrame:
         """The table, or some of its buckets; without a version yet, an empty table of the given schema."""
         found = self.manifest(version)
         if found is None:
@@ -64,10 +64,11 @@ class BucketTable:
         paths = [f"{self.path}/{d}/{BUCKET}={b}" for b, d in found["standing"].items() if buckets is None or int(b) in buckets]
         return self.spark.read.schema(kind).parquet(*paths) if paths else self.spark.createDataFrame([], kind)
 
-    def merge(self, new: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame], number: int | None = None, check: Callable[[DataFrame, DataFrame], None] | None = None) -> int | None:
+    def merge(self, new: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame], number: int | None = None, check: Callable[[DataFrame, DataFrame], None] | None = None, note: dict | None = None) -> int | None:
         """Commit merged(old, new) for the buckets that new has keys of, old being these buckets alone: the commit's number, or null for
         nothing to do. A number that is committed already is left alone, so a batch that is run again changes nothing. check gets the
-        touched buckets before and after, as written, and stops the commit by raising."""
+        touched buckets before and after, as written, and stops the commit by raising. A note, such as how far a source was read, is
+        committed with the rows, even where there are none."""
         found = self.manifest()
         at = found["number"] if found else -1
         if number is not None and number <= at:
@@ -76,10 +77,12 @@ class BucketTable:
         new = new.withColumn(BUCKET, self.bucket_of()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # at most as many as buckets
-            if not touched:
+            if not touched and note is None:
                 return None
+            if not touched and found is None:
+                raise ValueError("a table begins with rows")
             old = self.read(buckets=touched, schema=T.StructType([f for f in new.schema.fields if f.name != BUCKET]))
-            out = merged(old, new.drop(BUCKET)).withColumn(BUCKET, self.bucket_of())
+            out = (merged(old, new.drop(BUCKET)) if touched else old).withColumn(BUCKET, self.bucket_of())
             place = f"data/{number}-{uuid.uuid4().hex}"
             out.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{place}")
             kind = T.StructType([f for f in out.schema.fields if f.name != BUCKET])
@@ -89,7 +92,7 @@ class BucketTable:
             # a bucket whose rows are all gone has no folder
             made = {int(n.partition("=")[2]) for n in self.folder.names(place) if n.startswith(BUCKET)}
             standing = {b: d for b, d in (found["standing"] if found else {}).items() if int(b) not in touched} | {str(b): place for b in sorted(made)}
-            told = {"number": number, "keys": self.keys, "deal": self.deal, "buckets": self.buckets, "touched": touched, "standing": standing, "schema": kind.jsonValue()}
+            told = {"number": number, "keys": self.keys, "deal": self.deal, "buckets": self.buckets, "touched": touched, "standing": standing, "schema": kind.jsonValue(), "note": note if note is not None else found and found["note"]}
             if not self.folder.create(f"manifests/{number}.json", json.dumps(told)):
                 raise Conflict(f"version {number} of {self.path} is taken")
             return number

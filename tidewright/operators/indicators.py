@@ -5,9 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tidewright.sources.tidy import per_row
 
 
 def _last(n: int, by: str, order: str):
@@ -32,29 +29,69 @@ def moving(prices: DataFrame, by: str = "code", order: str = "data_date") -> Dat
     })
 
 
-def smoothed(prices: DataFrame, by: str = "code", order: str = "data_date") -> DataFrame:
-    """by, order, macd, macd_signal, rsi14: averages that depend on all days before, over each key's days in order, one day each."""
-    days = prices.groupBy(by).agg(F.array_sort(F.collect_list(F.struct(order, "close"))).alias("days"))
-    schema = T.StructType([prices.schema[by], T.StructField("at", T.ArrayType(prices.schema[order].dataType)), *T._parse_datatype_string("macd array<double>, macd_signal array<double>, rsi14 array<double>").fields])
-
-    def averages(key, series):
-        fast = slow = signal = gain = loss = None
-        ema = lambda old, x, n: x if old is None else old + (x - old) * 2 / (n + 1)
-        wilder = lambda old, x: x if old is None else old + (x - old) / 14
-        at, macd, signals, rsi, before = [], [], [], [], None
-        for day in series:
-            close = day["close"]
-            fast, slow = ema(fast, close, 12), ema(slow, close, 26)
-            signal = ema(signal, fast - slow, 9)
-            if before is not None:
-                gain, loss = wilder(gain, max(close - before, 0.0)), wilder(loss, max(before - close, 0.0))
-            before = close
-            at.append(day[order])
-            macd.append(fast - slow)
-            signals.append(signal)
-            rsi.append(None if gain is None or gain + loss == 0 else 100 * gain / (gain + loss))
-        return [(key, at, macd, signals, rsi)]
-
-    out = per_row(days.filter("days is not null"), [by, "days"], schema, averages)
-    each = F.arrays_zip("at", "macd", "macd_signal", "rsi14")
-    return out.select(by, F.explode(each).alias("d")).select(by, F.col("d.at").alias(order), "d.macd", "d.macd_signal", "d.rsi14")
+#: Rows of a series that are summed in one piece; powers of a decay stay within a double's range over so many.
+_PIECE = 512
+
+
+def in_pieces(rows: DataFrame, by: str, order: str, span: Column | None = None) -> DataFrame:
+    """rows with _piece and _j: each series cut into pieces of consecutive rows, and a row's place in its piece. Rows are dealt out by series
+    and span (a column that grows with the order; for days the years), so a long series is spread over tasks."""
+    if span is None:
+        span = F.year(order) if dict(rows.dtypes)[order] in ("date", "timestamp", "timestamp_ntz") else F.lit(0)
+    place = F.row_number().over(Window.partitionBy(by, "_span").orderBy(order)) - 1
+    numbered = rows.withColumn("_span", span).withColumn("_k", place)
+    return numbered.withColumns({"_piece": F.struct(F.col("_span").alias("span"), F.floor(F.col("_k") / _PIECE).alias("part")), "_j": F.col("_k") % _PIECE}).drop("_span", "_k")
+
+
+def _with_carry(pieces: DataFrame, by: str, told: DataFrame, start, step) -> DataFrame:
+    """pieces (by, _piece, ...) with _carry, what the pieces before hand on. told has a row for each piece; start and step give what the
+    first piece gets, and what a piece hands on from what it got."""
+    each = told.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("_piece", *[c for c in told.columns if c not in (by, "_piece")]))).alias("p"))
+    none = F.array().cast("array<struct<_piece:struct<span:int,part:bigint>,_carry:double,_next:double>>")
+
+    def add(done, x):
+        got = F.when(F.size(done) == 0, start(x)).otherwise(F.element_at(done, -1)["_next"])
+        return F.concat(done, F.array(F.struct(x["_piece"].alias("_piece"), got.alias("_carry"), step(x, got).alias("_next"))))
+
+    carried = each.select(by, F.inline(F.aggregate("p", none, add))).select(by, "_piece", "_carry")
+    return pieces.join(carried, [by, "_piece"])
+
+
+def average(pieces: DataFrame, by: str, value: str, decay: float, name: str) -> DataFrame:
+    """pieces (see in_pieces) with an average that begins with the first value and then moves by 1 - decay towards each: within a piece a sum of
+    decayed values, to which comes what the piece before hands on, decayed too. Rows without a value have none and don't move it."""
+    known = F.col(value).isNotNull()
+    until = Window.partitionBy(by, "_piece").orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    power = lambda n: F.pow(F.lit(decay), n)
+    rows = pieces.withColumn("_n", F.count(value).over(until))
+    rows = rows.withColumn("_sum", power(F.col("_n")) * F.sum(F.when(known, F.col(value) * (1 - decay) * power(-F.col("_n")))).over(until))
+    told = rows.filter(known).groupBy(by, "_piece").agg(F.max_by("_sum", "_j").alias("sum"), F.max("_n").alias("n"), F.min_by(value, "_j").alias("first"))
+    carried = _with_carry(rows.filter(known).select(by, "_piece").distinct(), by, told, lambda x: x["first"], lambda x, got: x["sum"] + got * F.pow(F.lit(decay), x["n"]))
+    out = rows.join(carried, [by, "_piece"], "left")
+    return out.withColumn(name, F.when(known, F.col("_sum") + F.col("_carry") * power(F.col("_n")))).drop("_n", "_sum", "_carry")
+
+
+def previous(pieces: DataFrame, by: str, value: str, name: str) -> DataFrame:
+    """pieces with the value of the row before, over the ends of pieces."""
+    own = F.lag(value).over(Window.partitionBy(by, "_piece").orderBy("_j"))
+    ends = pieces.groupBy(by, "_piece").agg(F.max_by(value, "_j").alias("last"))
+    before = ends.select(by, "_piece", F.lag("last").over(Window.partitionBy(by).orderBy("_piece")).alias("_before"))
+    return pieces.withColumn("_own", own).join(before, [by, "_piece"]).withColumn(name, F.when(F.col("_j") == 0, F.col("_before")).otherwise(F.col("_own"))).drop("_own", "_before")
+
+
+def smoothed(prices: DataFrame, by: str = "code", order: str = "data_date", span: Column | None = None) -> DataFrame:
+    """by, order, macd, macd_signal, rsi14, and atr14 where prices have high and low: averages that depend on all days before. The signal is
+    an average of an average, so it is scanned after that; an index of nothing but equal closes is null."""
+    days = previous(in_pieces(prices.filter("close IS NOT NULL"), by, order, span), by, "close", "_last")
+    move = F.col("close") - F.col("_last")
+    days = days.withColumns({"_up": F.greatest(move, F.lit(0.0)), "_down": F.greatest(-move, F.lit(0.0))})
+    days = days.withColumns({"_up": F.when(F.col("_last").isNotNull(), F.col("_up")), "_down": F.when(F.col("_last").isNotNull(), F.col("_down"))})
+    ranged = {"high", "low"} <= set(prices.columns)
+    if ranged:
+        true_range = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("_last")), F.abs(F.col("low") - F.col("_last")))
+        days = days.withColumn("_range", true_range)
+    for value, decay, name in (("close", 11 / 13, "_fast"), ("close", 25 / 27, "_slow"), ("_up", 13 / 14, "_gain"), ("_down", 13 / 14, "_loss"), *((("_range", 13 / 14, "atr14"),) if ranged else ())):
+        days = average(days, by, value, decay, name)
+    days = average(days.withColumn("macd", F.col("_fast") - F.col("_slow")), by, "macd", 8 / 10, "macd_signal")
+    both = F.col("_gain") + F.col("_loss")
+    return days.select(by, order, "macd", "macd_signal", F.when(both != 0, 100 * F.col("_gain") / both).alias("rsi14"), *(["atr14"] if ranged else []))

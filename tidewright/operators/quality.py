@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewright.functions.values import due_from, elapsed_hours, judge
-from tidewright.operators.keyed import diff_declared, regressions
+from tidewright.operators.keyed import diff_declared
 
 #: For each dataset the hours that are green and yellow, whether they count business days only, and the days after
 #: its date on which data is due; and datasets that are observed but not refreshed any more.
@@ -78,6 +80,13 @@ def freshness_report(judged: DataFrame, declared: DataFrame, accepted: DataFrame
     return rows.select("dataset", "verdict", level.alias("level")).unionByName(missing.select("dataset", F.lit("missing").alias("verdict"), F.lit("problem").alias("level")))
 
 
+def silences(runs: DataFrame, now: Column, most_hours: float = SILENCE_HOURS) -> DataFrame:
+    """job_name, last_ok (epoch of the job's last success), silent_hours and problem: never, silent or null. Failures don't count."""
+    last = runs.groupBy("job_name").agg(F.max(F.when(F.col("status") == SUCCESS, F.col("finished_at"))).alias("last_ok"))
+    hours = (F.unix_seconds(now) - F.col("last_ok")) / 3600.0
+    return last.select("job_name", "last_ok", hours.alias("silent_hours"), F.when(F.coalesce("last_ok", F.lit(0)) == 0, "never").when(hours > most_hours, "silent").alias("problem"))
+
+
 def probe_silence(runs: DataFrame, now: Column, job: str = PROBE_JOB, most_hours: float = SILENCE_HOURS) -> DataFrame:
     """One row: last_ok (epoch of the job's last success), silent_hours and problem: never, silent or null. Failures don't count."""
     last = runs.filter((F.col("job_name") == job) & (F.col("status") == SUCCESS)).agg(F.max("finished_at").alias("last_ok"))
@@ -123,17 +132,30 @@ def contract_breaks(rows: DataFrame, key: str, required: list[str], arrays: dict
     return reduce(DataFrame.unionByName, parts)
 
 
-def elements_of(rows: DataFrame, key: str, paths: list[str]) -> DataFrame:
-    """key, path, element: the arrays of payloads at the given dotted paths, each element as JSON in a canonical order of keys."""
-    payload = F.try_parse_json("payload")
-    found = [F.struct(F.lit(p).alias("path"), F.try_variant_get(payload, f"$.{p}", "array<variant>").alias("items")) for p in paths]
-    each = rows.select(key, F.explode(F.array(*found)).alias("a")).select(key, "a.path", F.explode("a.items").alias("i"))
-    return each.select(key, "path", F.to_json("i").alias("element"))  # a variant's objects keep their keys sorted
-
-
-def guard_problems(old: DataFrame, new: DataFrame, key: str, paths: list[str], writer: str) -> DataFrame:
-    """key, problem: why new payloads (key, payload) may not replace old ones: another writer, an array that is gone, shorter or
-    lacks an old element, or a later first_date. A payload without an old one only needs the right writer."""
+def arrays_in(rows: DataFrame, key: str, paths: list[str] | None = None) -> DataFrame:
+    """key, path, items (variants): the arrays of payloads (JSON text in `payload`) at the given dotted paths, or, without any given, all
+    that stand in the payload or in objects within objects; a payload that is an array itself is at `$`. Arrays within arrays are part of
+    their elements. Objects are opened level by level, as deep as any payload goes."""
+    level = rows.select(F.col(key).alias("k"), F.lit("").alias("path"), F.try_parse_json("payload").alias("v")).filter("v IS NOT NULL")
+    if paths is not None:
+        found = [F.struct(F.lit(p).alias("path"), F.try_variant_get("v", f"$.{p}", "array<variant>").alias("items")) for p in paths]
+        return level.select("k", F.explode(F.array(*found)).alias("a")).select(F.col("k").alias(key), "a.path", "a.items").filter("items IS NOT NULL")
+    found = []
+    while True:
+        level = level.withColumn("kind", F.split_part(F.schema_of_variant("v"), F.lit("<"), F.lit(1))).persist(StorageLevel.MEMORY_AND_DISK)
+        found.append(level.filter("kind = 'ARRAY'").select(F.col("k").alias(key), F.when(F.col("path") == "", "$").otherwise(F.col("path")).alias("path"), F.expr("try_variant_get(v, '$', 'array<variant>')").alias("items")))
+        objects = level.filter("kind = 'OBJECT'")
+        if objects.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        name = f"objects_{uuid.uuid4().hex}"
+        objects.createOrReplaceTempView(name)
+        level = rows.sparkSession.sql(f"SELECT o.k, CASE WHEN o.path = '' THEN e.key ELSE concat(o.path, '.', e.key) END AS path, e.value AS v FROM {name} o, LATERAL variant_explode(o.v) e")
+
+
+def guard_problems(old: DataFrame, new: DataFrame, key: str, paths: list[str] | None, writer: str) -> DataFrame:
+    """key, problem: why new payloads (key, payload) may not replace old ones: another writer, an array that is gone (even if it was
+    empty), shorter or lacks an old element, or a later first_date. Arrays are found where no paths are given. A payload without an old
+    one only needs the right writer. Elements are compared as JSON in a canonical order of keys."""
     at = lambda side, path: F.try_variant_get(F.try_parse_json(F.col(side)), f"$.{path}", "string")
     both = old.select(key, F.col("payload").alias("_old")).join(new.select(key, F.col("payload").alias("_new")), key, "right")
     later = at("_new", "first_date") > at("_old", "first_date")
@@ -141,19 +163,37 @@ def guard_problems(old: DataFrame, new: DataFrame, key: str, paths: list[str], w
         F.when(~at("_new", "writer").eqNullSafe(F.lit(writer)), "another writer now"), F.when(at("_old", "writer").isNotNull() & (at("_old", "writer") != writer), "another writer before"), F.when(later, "first_date moved on"),
     ))
     heads = both.select(key, F.explode(found).alias("problem"))
-    replaced = elements_of(old.join(new.select(key), key, "left_semi"), key, paths)
-    lost = regressions(replaced, elements_of(new, key, paths), [key, "path"], ["element"])
-    told = F.when(F.col("new_size") == 0, "gone").when(F.col("new_size") < F.col("old_size"), "shorter").otherwise("elements lost")
-    return heads.unionByName(lost.select(key, F.concat_ws(" ", "path", told).alias("problem")))
-
-
-def guarded(old: DataFrame, new: DataFrame, key: str, paths: list[str], writer: str) -> DataFrame:
+    had, has = arrays_in(old.join(new.select(key), key, "left_semi"), key, paths), arrays_in(new, key, paths)
+    side = lambda df, old: df.select(key, "path", F.lit(old).alias("old"), "items")
+    arrays = side(had, True).unionByName(side(has, False))
+    size = lambda old: F.max(F.when(F.col("old") == old, F.size("items")))
+    sizes = arrays.groupBy(key, "path").agg(size(True).alias("before"), size(False).alias("now"))
+    each = arrays.select(key, "path", "old", F.explode("items").alias("i")).groupBy(key, "path", F.to_json("i").alias("element")).agg(F.bool_or("old").alias("_had"), F.bool_or(~F.col("old")).alias("_has"))
+    lost = each.filter("_had AND NOT _has").select(key, "path").distinct().withColumn("_lost", F.lit(True))
+    told = F.when(F.col("now").isNull(), "gone").when(F.col("now") < F.col("before"), "shorter").when(F.col("_lost"), "elements lost")
+    problems = sizes.filter("before IS NOT NULL").join(lost, [key, "path"], "left").select(key, F.concat(F.col("path"), F.lit(" "), told).alias("problem"))
+    return heads.unionByName(problems.filter("problem IS NOT NULL"))
+
+
+def guarded(old: DataFrame, new: DataFrame, key: str, paths: list[str] | None, writer: str) -> DataFrame:
     """What is stored after a guarded full replacement: new payloads in place of old ones, but not where the guard objects."""
     bad = guard_problems(old, new, key, paths, writer).select(key).distinct()
     passed = new.join(bad, key, "left_anti")
     return old.join(passed.select(key), key, "left_anti").unionByName(passed)
 
 
+def schema_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """table, column, kind, nullable of tables as they stand: what their files' footers or the catalogue say, by no scan."""
+    rows = [(name, f.name, f.dataType.simpleString(), f.nullable) for name, df in tables.items() for f in df.schema.fields]
+    return next(iter(tables.values())).sparkSession.createDataFrame(rows, "table string, column string, kind string, nullable boolean")
+
+
+def catalogue_schema(spark: SparkSession, database: str | None = None) -> DataFrame:
+    """schema_of all tables of a database."""
+    names = [x.name for x in spark.catalog.listTables(database) if not x.isTemporary]
+    return schema_of({n: spark.table(f"{database}.{n}" if database else n) for n in names})
+
+
 def schema_drift(observed: DataFrame, declared: DataFrame) -> DataFrame:
     """(table, column, kind, nullable) of both -> table, column, problem: missing, undeclared, another type or nullability."""
     d = declared.select("table", "column", F.upper("kind").alias("_dk"), F.col("nullable").alias("_dn"), F.lit(True).alias("_d"))

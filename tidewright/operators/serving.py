@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.functions.values import is_publishable, market_day
@@ -121,9 +121,9 @@ def element_vocabulary(df: DataFrame) -> DataFrame:
     return df.groupBy("element").agg(F.count_distinct("doc_id").alias("doc_count")).select("element", space.alias("namespace"), "doc_count", F.col("element").endswith("TextBlock").alias("is_text_block"))
 
 
-def raw_file(df: DataFrame, sha256: str, public: bool = True) -> DataFrame:
+def raw_file(df: DataFrame, sha256: str | Column, public: bool = True) -> DataFrame:
     """The file of a digest; a text that isn't a digest finds nothing, and the public only finds what may be published in full."""
-    rows = df.filter((F.col("sha256") == sha256) & F.lit(sha256).rlike("^[0-9a-f]{64}$"))
+    rows = df.filter((F.col("sha256") == sha256) & F.col("sha256").rlike("^[0-9a-f]{64}$"))
     return rows.filter(is_publishable(F.col("license_tag"))) if public else rows
 
 
@@ -134,7 +134,8 @@ def supply_latest(df: DataFrame, data_type: str | None = None, limit: int = 100)
 def benefits(rows: DataFrame, master: DataFrame, code: str) -> DataFrame:
     """A company's shareholder benefits, 50 at most, without the columns that may not be shown."""
     own = master.filter(F.col("code") == code).select(F.col("id").alias("stock_id"))
-    return redact_table(rows.join(own, "stock_id").select("genre_id", "min_shares", "record_month").limit(50), "yutai_benefits")
+    shown = redact_table(rows.join(own, "stock_id").select("genre_id", "min_shares", "record_month"), "yutai_benefits")
+    return page(shown, ["genre_id", "min_shares", "record_month"], 50)
 
 
 def most_profitable(df: DataFrame, limit: int = 100) -> DataFrame:

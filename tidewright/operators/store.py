@@ -135,3 +135,15 @@ def trusted_map(entries: DataFrame, target: Column) -> DataFrame:
     """Entries of a date-scoped lookup that may be trusted: those of the target day alone."""
     return entries.filter(F.col("event_date") == target)
 
+
+def write_map(entries: DataFrame, path: str) -> None:
+    """Add the entries of some days (event_date and others) to a lookup that is laid out by day; a day's entries replace those it has."""
+    entries.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+
+
+def look_up_dated(rows: DataFrame, entries: DataFrame, day: str, key: str, value: str) -> DataFrame:
+    """rows with the value that the lookup holds for their key on their own day, null where it holds none: an entry of another day is never
+    taken. Which days the rows have is found first, so no other day of the lookup is read."""
+    days = rows.select(day).distinct().filter(F.col(day).isNotNull())
+    own = entries.select(F.col("event_date").alias(day), F.col(key), F.col(value)).join(F.broadcast(days), day, "left_semi")
+    return rows.join(own, [day, key], "left")

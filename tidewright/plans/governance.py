@@ -50,22 +50,21 @@ def q97_verdict_order(t):
     return t("nation").select("n_nationkey", verdict.alias("verdict"))
 
 
-@query("""SELECT * FROM (VALUES ('a', 'accepted and exempt'), ('a', 'judged and exempt'), ('b', 'judged and exempt'), ('c', 'accepted without a threshold'), ('d', 'no reason')) v(dataset, problem)""")
+@query("""WITH d AS (SELECT * FROM nation WHERE n_nationkey % 2 = 0), a AS (SELECT n_name, CASE WHEN n_regionkey > 0 THEN n_name ELSE ' ' END AS reason FROM nation WHERE n_nationkey % 3 = 0), e AS (SELECT n_name, CASE WHEN n_regionkey < 4 THEN n_name END AS reason FROM nation WHERE n_nationkey % 5 = 1)
+    SELECT n_name AS dataset, 'accepted and exempt' AS problem FROM a WHERE n_name IN (SELECT n_name FROM e) UNION ALL SELECT n_name, 'judged and exempt' FROM e WHERE n_name IN (SELECT n_name FROM d)
+    UNION ALL SELECT n_name, 'accepted without a threshold' FROM a WHERE n_name NOT IN (SELECT n_name FROM d) UNION ALL SELECT n_name, 'no reason' FROM (FROM a UNION ALL FROM e) WHERE trim(coalesce(reason, '')) = ''""")
 def q98_declarations(t):
-    spark = t("nation").sparkSession
-    frame = lambda rows: spark.createDataFrame(rows, "dataset string, reason string")
-    return quality.declaration_conflicts(frame([("a", ""), ("b", ""), ("d", "")]), frame([("a", "x"), ("c", "y")]), frame([("a", "x"), ("b", "z")]).unionByName(frame([("d", " ")]).filter("dataset = 'x'"))).unionByName(
-        quality.declaration_conflicts(frame([("d", "")]), frame([("d", " ")]), frame([]))
-    )
+    """Declarations that contradict each other: the sets of what is accepted and what is exempt must not meet."""
+    said = lambda where, reason: t("nation").filter(where).select(F.col("n_name").alias("dataset"), F.expr(reason).alias("reason"))
+    accepted, exempt = said("n_nationkey % 3 = 0", "CASE WHEN n_regionkey > 0 THEN n_name ELSE ' ' END"), said("n_nationkey % 5 = 1", "CASE WHEN n_regionkey < 4 THEN n_name END")
+    return quality.declaration_conflicts(said("n_nationkey % 2 = 0", "n_name"), accepted, exempt)
 
 
-@query("""SELECT user_id, CASE WHEN last IS NULL THEN 'never' WHEN last < epoch(TIMESTAMP '2024-01-30 00:00:00') - 48 * 3600 THEN 'silent' END AS problem FROM (SELECT user_id, max(CAST(floor(epoch(ts)) AS BIGINT)) FILTER (event_type = 'signup') AS last FROM events GROUP BY user_id) WHERE user_id < 3 ORDER BY user_id""")
+@query("""SELECT user_id, CASE WHEN last IS NULL THEN 'never' WHEN last < epoch(TIMESTAMP '2024-01-30 00:00:00') - 48 * 3600 THEN 'silent' END AS problem FROM (SELECT user_id, max(CAST(floor(epoch(ts)) AS BIGINT)) FILTER (event_type = 'signup') AS last FROM events GROUP BY user_id)""")
 def q99_probe_silence(t):
-    """Whether an observing job still succeeds: failures don't count."""
+    """Whether observing jobs still succeed: failures don't count."""
     runs = t("events").select(F.col("user_id").alias("job_name"), F.when(F.col("event_type") == "signup", quality.SUCCESS).otherwise(quality.FAILURE).alias("status"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("finished_at"))
-    now = F.lit("2024-01-30 00:00:00").cast("timestamp")
-    each = [quality.probe_silence(runs, now, k).select(F.lit(k).cast("long").alias("user_id"), "problem") for k in (0, 1, 2)]
-    return each[0].unionByName(each[1]).unionByName(each[2])
+    return quality.silences(runs, F.lit("2024-01-30 00:00:00").cast("timestamp")).select(F.col("job_name").alias("user_id"), "problem")
 
 
 @query("""SELECT job_name, count(*) AS idle FROM (SELECT 'j' || CAST(user_id AS VARCHAR) AS job_name, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS rn FROM events WHERE ts >= TIMESTAMP '2024-01-02 00:00:00' AND user_id % 7 > 0) WHERE rn <= 5 AND value < 50 AND event_type <> 'error' GROUP BY job_name HAVING count(*) >= 3""")
@@ -107,19 +106,44 @@ def q103_guarded_write(t):
     return out.select("c_custkey", F.size(F.from_json(F.get_json_object("payload", "$.a"), "array<int>")).alias("size"))
 
 
-@query("""SELECT * FROM (VALUES ('t', 'a', 'missing'), ('t', 'b', 'type'), ('t', 'c', 'nullability'), ('t', 'e', 'undeclared')) v("table", "column", problem)""")
+_TABLES = ("customer", "documents", "events", "labels", "lineitem", "nation", "orders", "part")
+_KINDS = "CASE data_type WHEN 'VARCHAR' THEN 'STRING' WHEN 'INTEGER' THEN 'INT' WHEN 'TIMESTAMP' THEN 'TIMESTAMP_NTZ' ELSE data_type END"
+
+
+def _declared(spark):
+    """What is declared of two tables: of orders a wrong type, a nullability that doesn't hold, a column that is gone and one left out."""
+    rows = [
+        ("orders", "o_orderkey", "BIGINT", True), ("orders", "o_custkey", "bigint", False), ("orders", "o_orderstatus", "STRING", True), ("orders", "o_totalprice", "DECIMAL(12,2)", True), ("orders", "o_clerk", "STRING", True),
+        ("orders", "o_orderpriority", "STRING", True), ("nation", "n_nationkey", "INT", True), ("nation", "n_name", "STRING", True), ("nation", "n_regionkey", "INT", True), ("returns", "r_orderkey", "BIGINT", True),
+    ]
+    return spark.createDataFrame(rows, "table string, column string, kind string, nullable boolean")
+
+
+_DECLARED_SQL = """(VALUES ('orders', 'o_orderkey', 'BIGINT', 'YES'), ('orders', 'o_custkey', 'BIGINT', 'NO'), ('orders', 'o_orderstatus', 'STRING', 'YES'), ('orders', 'o_totalprice', 'DECIMAL(12,2)', 'YES'), ('orders', 'o_clerk', 'STRING', 'YES'),
+    ('orders', 'o_orderpriority', 'STRING', 'YES'), ('nation', 'n_nationkey', 'INT', 'YES'), ('nation', 'n_name', 'STRING', 'YES'), ('nation', 'n_regionkey', 'INT', 'YES'), ('returns', 'r_orderkey', 'BIGINT', 'YES')) d(t, c, kind, nullable)"""
+
+
+@query(f"""WITH o AS (SELECT table_name AS t, column_name AS c, {_KINDS} AS kind, is_nullable AS nullable FROM information_schema.columns WHERE table_name IN ('orders', 'nation'))
+    SELECT coalesce(o.t, d.t) AS "table", coalesce(o.c, d.c) AS "column", CASE WHEN o.t IS NULL THEN 'missing' WHEN d.t IS NULL THEN 'undeclared' WHEN o.kind <> d.kind THEN 'type' ELSE 'nullability' END AS problem
+    FROM o FULL JOIN {_DECLARED_SQL} ON o.t = d.t AND o.c = d.c WHERE o.t IS NULL OR d.t IS NULL OR o.kind <> d.kind OR o.nullable <> d.nullable""")
 def q104_drift(t):
-    spark = t("nation").sparkSession
-    frame = lambda rows: spark.createDataFrame(rows, "table string, column string, kind string, nullable boolean")
-    return quality.schema_drift(frame([("t", "b", "text", True), ("t", "c", "REAL", False), ("t", "d", "real", True), ("t", "e", "real", True)]), frame([("t", "a", "real", True), ("t", "b", "REAL", True), ("t", "c", "real", True), ("t", "d", "REAL", True)]))
+    """The schemas of stored tables against what is declared, both ways."""
+    tables = {n: t(n) for n in ("orders", "nation")}
+    return quality.schema_drift(quality.schema_of(tables), _declared(tables["nation"].sparkSession))
 
 
-@query("""SELECT * FROM (VALUES ('new', NULL, 'warning', 'table not declared'), ('gone', NULL, 'failure', 'table vanished'), ('open', NULL, 'warning', 'table unclassified'), ('tagged', NULL, 'failure', 'no row tag'), ('mapped', 'old', 'failure', 'column vanished'), ('mapped', 'b', 'warning', 'column without a licence')) v("table", "column", level, problem)""")
+@query("""WITH o AS (SELECT table_name AS t, column_name AS c FROM information_schema.columns WHERE table_name IN ('customer', 'documents', 'events', 'labels', 'lineitem', 'nation', 'orders', 'part')),
+    d AS (SELECT * FROM (VALUES ('customer', 'row-tag'), ('documents', 'row-tag'), ('events', 'unclassified'), ('labels', 'uniform'), ('returns', 'uniform'), ('orders', 'column-map'), ('gone', 'column-map')) v(t, kind)),
+    m AS (SELECT * FROM (VALUES ('orders', 'o_orderkey'), ('orders', 'o_clerk'), ('gone', 'x')) v(t, c))
+    SELECT DISTINCT t AS "table", NULL::VARCHAR AS "column", 'warning' AS level, 'table not declared' AS problem FROM o WHERE t NOT IN (SELECT t FROM d) UNION ALL SELECT t, NULL, 'failure', 'table vanished' FROM d WHERE t NOT IN (SELECT t FROM o)
+    UNION ALL SELECT t, NULL, 'warning', 'table unclassified' FROM d WHERE kind = 'unclassified' AND t IN (SELECT t FROM o) UNION ALL SELECT t, NULL, 'failure', 'no row tag' FROM d WHERE kind = 'row-tag' AND t NOT IN (SELECT t FROM o WHERE c = 'source')
+    UNION ALL SELECT t, c, 'failure', 'column vanished' FROM m WHERE t IN (SELECT t FROM o) AND (t, c) NOT IN (SELECT (t, c) FROM o) UNION ALL SELECT t, c, 'warning', 'column without a licence' FROM o WHERE t = 'orders' AND c NOT IN (SELECT c FROM m WHERE t = 'orders')""")
 def q105_licence_coverage(t):
-    spark = t("nation").sparkSession
-    columns = spark.createDataFrame([("new", "x"), ("open", "x"), ("tagged", "x"), ("tagged too", "license_tag"), ("mapped", "a"), ("mapped", "b")], "table string, column string")
-    tables = spark.createDataFrame([("gone", "uniform"), ("open", "unclassified"), ("tagged", "row-tag"), ("tagged too", "row-tag"), ("mapped", "column-map")], "table string, kind string")
-    return quality.licence_coverage(columns, tables, spark.createDataFrame([("mapped", "a"), ("mapped", "old")], "table string, column string"))
+    """Licences of the tables that are there, a row's source being its tag."""
+    observed = quality.schema_of({n: t(n) for n in _TABLES})
+    spark = observed.sparkSession
+    tables = spark.createDataFrame([("customer", "row-tag"), ("documents", "row-tag"), ("events", "unclassified"), ("labels", "uniform"), ("returns", "uniform"), ("orders", "column-map"), ("gone", "column-map")], "table string, kind string")
+    return quality.licence_coverage(observed, tables, spark.createDataFrame([("orders", "o_orderkey"), ("orders", "o_clerk"), ("gone", "x")], "table string, column string"), "source")
 
 
 @query("""SELECT n_name AS dataset, 'all' AS column_group, CASE WHEN n_nationkey < 5 THEN 'missing' WHEN n_nationkey < 10 THEN 'mismatched' ELSE 'orphan' END AS status FROM nation WHERE n_nationkey < 10 OR n_nationkey > 20""")
@@ -147,7 +171,19 @@ def q109_empty_lists(t):
     return told(t("orders"), "orders").unionByName(told(t("orders").filter("o_totalprice < 0"), "none"))
 
 
-@query("""SELECT s AS source, CASE s WHEN 'EDINET' THEN 'commercial-ok' WHEN 'TDnet' THEN 'factual-cite' ELSE 'personal-only' END AS tag FROM (VALUES ('EDINET'), ('TDnet'), ('JPX'), ('日証金')) v(s)""")
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'commercial-ok' WHEN 1 THEN 'factual-cite' ELSE 'personal-only' END AS tag FROM documents""")
 def q110_source_licence(t):
-    rows = t("nation").sparkSession.createDataFrame([("EDINET",), ("TDnet",), ("JPX",), ("日証金",)], "source string")
-    return rows.select("source", values.source_licence(F.col("source")).alias("tag"))
+    """The tag that a row has from its source."""
+    source = F.element_at(F.array(*[F.lit(x) for x in ("EDINET", "TDnet", "JPX", "日証金")]), (F.col("doc_id") % 4 + 1).cast("int"))
+    return t("documents").select("doc_id", values.source_licence(source).alias("tag"))
+
+
+@query("""SELECT c_custkey, problem FROM (SELECT c_custkey, unnest(['empty gone', 'deep.er.a gone', 'deep.er.a shorter', 'deep.er.a elements lost', 'top elements lost']) AS problem, unnest(range(5)) AS k FROM customer) WHERE c_custkey % 7 = k""")
+def q130_arrays_found(t):
+    """A guarded replacement whose arrays are found wherever they stand; an array that was empty may not vanish either."""
+    k = F.col("c_custkey") % 7
+    text = lambda empty, deep, top: F.concat(F.lit('{"writer":"me",'), empty, F.lit('"deep":{"n":1,"er":{'), deep, F.lit('}},"top":['), top, F.lit("]}"))
+    old = t("customer").select("c_custkey", text(F.lit('"empty":[],'), F.lit('"a":[{"d":1,"v":2},[3]]'), F.lit("1")).alias("payload"))
+    deep = F.when(k == 1, '"b":[]').when(k == 2, '"a":[[3]]').when(k == 3, '"a":[[3],[4],{"d":1}]').otherwise('"a":[[3],{"v":2,"d":1},5]')
+    new = t("customer").select("c_custkey", text(F.when(k == 0, "").otherwise('"empty":[],'), deep, F.when(k == 4, "2,3").otherwise("2,1")).alias("payload"))
+    return quality.guard_problems(old, new, "c_custkey", None, "me")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewright.functions import codes, titles, values
 from tidewright.operators import keyed, quality, serving
-from tidewright.plans import governance, records, stores
+from tidewright.plans import atrest, governance, records, stores
 from tidewright.plans.base import Registry
 from tidewright.sources import tidy
 
@@ -104,7 +104,7 @@ _TAG = "CASE WHEN quality = 1 AND toxic = 0 THEN 'commercial-ok' WHEN quality =
     SELECT source, tag, CASE tag WHEN 'commercial-ok' THEN 0 WHEN 'factual-cite' THEN 1 WHEN 'personal-only' THEN 2 ELSE 3 END AS r FROM (SELECT source, {_TAG} AS tag FROM documents JOIN labels USING (doc_id))) GROUP BY source""")
 def q11_licence_lattice(t):
     rows = t("documents").select("doc_id", "source").join(t("labels"), "doc_id").select("source", F.expr(_TAG).alias("tag")).withColumn("r", values.licence_rank(F.col("tag")))
-    return rows.groupBy("source").agg(F.max("r").alias("strictest_rank"), F.max_by("tag", "r").alias("strictest"), F.count_if(values.is_publishable(F.col("tag"))).alias("publishable"))
+    return rows.groupBy("source").agg(F.max("r").alias("strictest_rank"), values.strictest("tag").alias("strictest"), F.count_if(values.is_publishable(F.col("tag"))).alias("publishable"))
 
 
 @query("""SELECT a.o_orderkey, a.o_orderstatus, b.o_orderstatus AS old_o_orderstatus FROM orders a JOIN (SELECT o_orderkey + 1 AS o_orderkey, nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders) b
@@ -299,7 +299,7 @@ def q36_page_links(t):
     return tidy.links_of(t("pages"))
 
 
-_ALL = (_OWN, records.QUERIES, stores.QUERIES, governance.QUERIES)
+_ALL = (_OWN, records.QUERIES, stores.QUERIES, governance.QUERIES, atrest.QUERIES)
 
 
 def queries():

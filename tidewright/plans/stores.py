@@ -292,12 +292,11 @@ def q91_disclosures(t):
     return serving.disclosures(rows, code=7, since="1996-01-01 00:00:00", until="1999-12-31 00:00:00").select("doc_id", F.date_format("disclosed_at", "yyyy-MM-dd").alias("day"))
 
 
-@query("""SELECT s_suppkey AS genre_id, p.n_regionkey AS min_shares FROM supplier JOIN nation p ON s_nationkey = n_nationkey WHERE n_name = 'FRANCE'""")
+@query("""SELECT l_suppkey AS genre_id, l_linenumber AS min_shares FROM lineitem JOIN (SELECT min(l_partkey) AS l_partkey FROM lineitem WHERE l_partkey > 40) USING (l_partkey) ORDER BY 1, 2 LIMIT 50""")
 def q92_benefits(t):
-    rows = t("supplier").select(F.col("s_nationkey").alias("stock_id"), F.col("s_suppkey").alias("genre_id"), F.lit("x").alias("description"), F.lit(3).alias("record_month"))
-    master = t("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("code"), "n_regionkey")
-    rows = rows.join(master.select(F.col("id").alias("stock_id"), F.col("n_regionkey").alias("min_shares")), "stock_id")
-    return serving.benefits(rows, master, "FRANCE").select("genre_id", "min_shares")
+    rows = t("lineitem").select(F.col("l_partkey").alias("stock_id"), F.col("l_suppkey").alias("genre_id"), F.col("l_linenumber").alias("min_shares"), F.lit("x").alias("description"), F.lit(3).alias("record_month"))
+    master = t("lineitem").filter("l_partkey > 40").agg(F.min("l_partkey").alias("id")).withColumn("code", F.lit("own"))
+    return serving.benefits(rows, master.unionByName(t("part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("code"))), "own").select("genre_id", "min_shares")
 
 
 @query("""WITH d AS (SELECT event_type, CAST(ts AS DATE) AS d, sum(CAST(value AS DECIMAL(18, 6)))::DOUBLE AS close, count(*) AS volume FROM events GROUP BY 1, 2)
@@ -331,9 +330,9 @@ def q111_stocks(t):
     return serving.stocks(t("customer").select(F.col("c_custkey").alias("code"), (F.col("c_acctbal") > 0).alias("listed")), listed=True, limit=30, offset=20)
 
 
-@query("""SELECT l_suppkey AS code, strftime(l_shipdate, '%Y-%m-%d') AS data_date, l_orderkey FROM lineitem WHERE l_suppkey = 3 AND l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31' AND l_linenumber = 1""")
+@query("""SELECT l_suppkey AS code, strftime(l_shipdate, '%Y-%m-%d') AS data_date, l_orderkey FROM lineitem WHERE l_suppkey = 3 AND l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1997-12-31'""")
 def q112_prices(t):
-    rows = t("lineitem").filter("l_linenumber = 1").select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").alias("data_date"), "l_orderkey")
+    rows = t("lineitem").select(F.col("l_suppkey").alias("code"), F.col("l_shipdate").alias("data_date"), "l_orderkey")
     return serving.prices(rows, 3, "1996-01-01 00:00:00", "1997-12-31 00:00:00", 1_000_000).withColumn("data_date", F.date_format("data_date", "yyyy-MM-dd"))
 
 
@@ -375,7 +374,7 @@ def q118_public_freshness(t):
 @query("""SELECT doc_id FROM documents WHERE text IS NOT NULL AND sha256(text) = (SELECT max(sha256(text)) FROM documents WHERE doc_id % 2 = 0) AND doc_id % 2 = 0""")
 def q119_raw_file(t):
     rows = t("documents").filter("text is not null").select("doc_id", F.sha2("text", 256).alias("sha256"), F.when(F.col("doc_id") % 2 == 0, "commercial-ok").otherwise("factual-cite").alias("license_tag"))
-    last = rows.filter("license_tag = 'commercial-ok'").agg(F.max("sha256")).first()[0]
+    last = rows.filter("license_tag = 'commercial-ok'").agg(F.max("sha256")).scalar()
     return serving.raw_file(rows, last).select("doc_id")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from tidewright.functions.codes import source_code_to_ticker
 from tidewright.functions.titles import DOCUMENT_LABELS, LARGE_HOLDINGS, action_attributes, classify_title, direct_url, document_id, document_label, split_terms
 from tidewright.functions.values import as_of_day, market_day, strip, submit_time
+from tidewright.operators.master import code_of_issuer
 from tidewright.sources.tidy import per_row
 
 #: Names that the payloads and files use.
@@ -57,8 +58,8 @@ def disclosures_of(documents: DataFrame, base_url: str) -> DataFrame:
 
 
 def with_issuer_codes(records: DataFrame, master: DataFrame) -> DataFrame:
-    """records, whose missing codes come from the master (edinet_code, code) by the issuer's; else empty."""
-    known = master.filter("edinet_code is not null").groupBy(F.col("edinet_code").alias("issuerEdinetCode")).agg(F.max("code").alias("_issuer"))
+    """records, whose missing codes come from the master (edinet_code, code, ord) by the issuer's, of several the last by ord; else empty."""
+    known = code_of_issuer(master).select(F.col("edinet_code").alias("issuerEdinetCode"), F.col("code").alias("_issuer"))
     return records.join(known, "issuerEdinetCode", "left").withColumn("code", F.coalesce("code", "_issuer", F.lit(""))).drop("_issuer")
 
 

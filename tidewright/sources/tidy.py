@@ -6,8 +6,10 @@ import csv
 import html
 import io
 import json
+import lzma
 import re
 import zipfile
+import zlib
 from collections.abc import Callable
 from decimal import Decimal, InvalidOperation
 from html.parser import HTMLParser
@@ -200,6 +202,12 @@ def inline_facts(data: bytes) -> list[dict]:
     return out
 
 
+#: What a damaged, encrypted or unknown kind of member raises when it is read.
+_BROKEN = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, RuntimeError)
+#: Fields of delimited files: a block of text may be as long as its file.
+csv.field_size_limit(1 << 31)
+
+
 def zip_facts(data: bytes) -> list[dict]:
     """Facts of all instances in a zip by name; of inline documents only if there is no instance. Bad members are skipped."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
@@ -209,7 +217,7 @@ def zip_facts(data: bytes) -> list[dict]:
                 for n in names:
                     try:
                         out += parse(z.read(n))
-                    except expat.ExpatError:
+                    except (expat.ExpatError, *_BROKEN):
                         continue
                 return out
     return []
@@ -230,11 +238,16 @@ def sniff(data: bytes) -> str:
 
 
 def csv_zip_facts(data: bytes) -> list[dict]:
-    """Facts of the tab-separated files in a zip, whose periods stay empty; a file without the needed columns is an error."""
+    """Facts of the tab-separated files in a zip, whose periods stay empty; a file without the needed columns is an error, a member that
+    can't be read is skipped."""
     out = []
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         for n in sorted(n for n in z.namelist() if n.lower().endswith(".csv")):
-            rows = [r for r in csv.reader(io.StringIO(sniff(z.read(n))), delimiter="\t") if any(c.strip() for c in r)]
+            try:
+                text = sniff(z.read(n))
+            except _BROKEN:
+                continue
+            rows = [r for r in csv.reader(io.StringIO(text), delimiter="\t") if any(c.strip() for c in r)]
             header = [h.strip() for h in rows[0]] if rows else []
             if rows and not {"要素ID", "コンテキストID", "値"} <= set(header):
                 raise ValueError(f"{n} has columns {header}")
@@ -259,7 +272,7 @@ def facts_of(files: DataFrame, kind: str) -> DataFrame:
     def convert(code, doc, content):
         try:
             found, status, error = ([{}], NOT_APPLICABLE, None) if content is None else (parse(content), DONE, None)
-        except (ValueError, KeyError, zipfile.BadZipFile, expat.ExpatError, NotImplementedError, EOFError) as e:
+        except (ValueError, KeyError, expat.ExpatError, csv.Error, *_BROKEN) as e:
             found, status, error = [{}], FAILED, f"{type(e).__name__}: {e}"
         return [(code, doc, *[x.get(c) for c in TIDY[2:]], i, status, error) for i, x in enumerate(found)]
 
