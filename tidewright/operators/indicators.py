@@ -43,32 +43,34 @@ def in_pieces(rows: DataFrame, by: str, order: str, span: Column | None = None)
     return numbered.withColumns({"_piece": F.struct(F.col("_span").alias("span"), F.floor(F.col("_k") / _PIECE).alias("part")), "_j": F.col("_k") % _PIECE}).drop("_span", "_k")
 
 
-def _with_carry(pieces: DataFrame, by: str, told: DataFrame, start, step) -> DataFrame:
-    """pieces (by, _piece, ...) with _carry, what the pieces before hand on. told has a row for each piece; start and step give what the
-    first piece gets, and what a piece hands on from what it got."""
-    each = told.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("_piece", *[c for c in told.columns if c not in (by, "_piece")]))).alias("p"))
-    none = F.array().cast("array<struct<_piece:struct<span:int,part:bigint>,_carry:double,_next:double>>")
-
-    def add(done, x):
-        got = F.when(F.size(done) == 0, start(x)).otherwise(F.element_at(done, -1)["_next"])
-        return F.concat(done, F.array(F.struct(x["_piece"].alias("_piece"), got.alias("_carry"), step(x, got).alias("_next"))))
-
-    carried = each.select(by, F.inline(F.aggregate("p", none, add))).select(by, "_piece", "_carry")
-    return pieces.join(carried, [by, "_piece"])
-
-
-def average(pieces: DataFrame, by: str, value: str, decay: float, name: str) -> DataFrame:
-    """pieces (see in_pieces) with an average that begins with the first value and then moves by 1 - decay towards each: within a piece a sum of
-    decayed values, to which comes what the piece before hands on, decayed too. Rows without a value have none and don't move it."""
-    known = F.col(value).isNotNull()
+def averages(pieces: DataFrame, by: str, wanted: list[tuple[str, float, str]]) -> DataFrame:
+    """pieces (see in_pieces) with averages (value, decay, name), each of which begins with the first value and then moves by 1 - decay
+    towards every other: within a piece a sum of decayed values, to which comes what the piece before hands on, decayed too. What pieces
+    hand on is folded over one short list for each series. Rows without a value have no average and don't move it."""
     until = Window.partitionBy(by, "_piece").orderBy("_j").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    power = lambda n: F.pow(F.lit(decay), n)
-    rows = pieces.withColumn("_n", F.count(value).over(until))
-    rows = rows.withColumn("_sum", power(F.col("_n")) * F.sum(F.when(known, F.col(value) * (1 - decay) * power(-F.col("_n")))).over(until))
-    told = rows.filter(known).groupBy(by, "_piece").agg(F.max_by("_sum", "_j").alias("sum"), F.max("_n").alias("n"), F.min_by(value, "_j").alias("first"))
-    carried = _with_carry(rows.filter(known).select(by, "_piece").distinct(), by, told, lambda x: x["first"], lambda x, got: x["sum"] + got * F.pow(F.lit(decay), x["n"]))
-    out = rows.join(carried, [by, "_piece"], "left")
-    return out.withColumn(name, F.when(known, F.col("_sum") + F.col("_carry") * power(F.col("_n")))).drop("_n", "_sum", "_carry")
+    rows, told = pieces, []
+    for k, (value, decay, _) in enumerate(wanted):
+        n, v = F.col(f"_n{k}"), F.col(value)
+        rows = rows.withColumn(f"_n{k}", F.count(value).over(until))
+        rows = rows.withColumn(f"_sum{k}", F.pow(F.lit(decay), n) * F.sum(v * (1 - decay) * F.pow(F.lit(decay), -n)).over(until))
+        at = F.when(v.isNotNull(), F.col("_j"))
+        told += [F.max_by(f"_sum{k}", at).alias(f"sum{k}"), F.max(n).alias(f"n{k}"), F.min_by(v, at).alias(f"first{k}")]
+    each = rows.groupBy(by, "_piece").agg(*told).groupBy(by).agg(F.array_sort(F.collect_list(F.struct("_piece", *[f"{x}{k}" for k in range(len(wanted)) for x in ("sum", "n", "first")]))).alias("p"))
+
+    def carried(k: int, decay: float):
+        def add(done, x):
+            got = F.coalesce(done["now"], x[f"first{k}"])
+            after = F.when(x[f"n{k}"] > 0, x[f"sum{k}"] + got * F.pow(F.lit(decay), x[f"n{k}"])).otherwise(done["now"])
+            return F.struct(F.concat(done["all"], F.array(got)).alias("all"), after.alias("now"))
+
+        start = F.struct(F.array().cast("array<double>").alias("all"), F.lit(None).cast("double").alias("now"))
+        return F.aggregate("p", start, add)["all"]
+
+    handed = each.select(by, F.inline(F.arrays_zip(F.col("p._piece").alias("_piece"), *[carried(k, decay).alias(f"_carry{k}") for k, (_, decay, _) in enumerate(wanted)])))
+    out = rows.join(handed, [by, "_piece"])
+    for k, (value, decay, name) in enumerate(wanted):
+        out = out.withColumn(name, F.when(F.col(value).isNotNull(), F.col(f"_sum{k}") + F.col(f"_carry{k}") * F.pow(F.lit(decay), F.col(f"_n{k}")))).drop(f"_n{k}", f"_sum{k}", f"_carry{k}")
+    return out
 
 
 def previous(pieces: DataFrame, by: str, value: str, name: str) -> DataFrame:
@@ -90,8 +92,7 @@ def smoothed(prices: DataFrame, by: str = "code", order: str = "data_date", span
     if ranged:
         true_range = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("_last")), F.abs(F.col("low") - F.col("_last")))
         days = days.withColumn("_range", true_range)
-    for value, decay, name in (("close", 11 / 13, "_fast"), ("close", 25 / 27, "_slow"), ("_up", 13 / 14, "_gain"), ("_down", 13 / 14, "_loss"), *((("_range", 13 / 14, "atr14"),) if ranged else ())):
-        days = average(days, by, value, decay, name)
-    days = average(days.withColumn("macd", F.col("_fast") - F.col("_slow")), by, "macd", 8 / 10, "macd_signal")
+    days = averages(days, by, [("close", 11 / 13, "_fast"), ("close", 25 / 27, "_slow"), ("_up", 13 / 14, "_gain"), ("_down", 13 / 14, "_loss"), *([("_range", 13 / 14, "atr14")] if ranged else [])])
+    days = averages(days.withColumn("macd", F.col("_fast") - F.col("_slow")), by, [("macd", 8 / 10, "macd_signal")])
     both = F.col("_gain") + F.col("_loss")
     return days.select(by, order, "macd", "macd_signal", F.when(both != 0, 100 * F.col("_gain") / both).alias("rsi14"), *(["atr14"] if ranged else []))
