@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import time
 import uuid
 from contextlib import contextmanager
 
@@ -55,9 +56,12 @@ def drop_staged(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of steps that are over and staged: Spark removes them once the driver has collected what stood for them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let go of the shuffle files of steps that are over and staged: Spark removes them once the driver has collected what stood for
+    them, on the side of Python first, whose notices reach the other side a little later."""
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
 
 
 #: Rows of a few numbers each that may be broadcast; more are joined by a shuffle.

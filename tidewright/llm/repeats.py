@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewright.llm.common import fresh, stage
+from tidewright.llm.common import fresh, release, stage
 from tidewright.llm.shingles import mix, parts_of, text_bytes
 
 LENGTH, GRAM = 100, 32
@@ -364,10 +364,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     marks = _bitmap(spark, _hashes(texts).groupBy("hash").count().filter("count > 1").select("hash"))
+    release(spark)
     first = _pieces(texts, marks).groupBy("d1", "d2").agg(F.min(F.struct("id", "th", "span", "hash")).alias("x"))
     first = stage(first.select("x.*"), "first-pieces").withColumn("doc", _doc_key())
+    release(spark)
     counts = first.groupBy("hash").count().filter("count > 1")
     shared = stage(first.select("hash", "doc", "th", "span").join(counts, "hash").drop("hash"), "shared-pieces")
+    release(spark)
 
     def places(batches):
         for batch in batches:
@@ -375,6 +378,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     at = _bitmap(spark, shared.filter(F.col("count") <= HOT).select("doc", "span").mapInArrow(places, "place long"))
     gone = stage(_repeated(_at_places(texts, at)), "repeated-windows")
+    release(spark)
     hot = shared.filter(F.col("count") > HOT).drop("count")
     kept = first.select("doc", "th", "span")
     if not hot.isEmpty():
