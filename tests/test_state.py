@@ -9,14 +9,17 @@ from tidewright.streaming import state
 
 
 class Source:
-    def __init__(self, spark, folder, form, make, mode="update"):
-        self.spark, self.folder, self.form, self.make, self.mode = spark, folder, form, make, mode
+    def __init__(self, spark, folder, form, make, mode="update", expires=False):
+        self.spark, self.folder, self.form, self.make, self.mode, self.expires = spark, folder, form, make, mode, expires
 
     def arrive(self, *rows):
         got = []
+        before = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", "2")  # as many state stores
         self.spark.createDataFrame(rows, self.form).coalesce(1).write.mode("append").parquet(f"{self.folder}/in")
         stream = self.spark.readStream.schema(self.form).parquet(f"{self.folder}/in")
-        state.start(self.make(stream), f"{self.folder}/checkpoint", lambda df, _: got.extend(map(tuple, df.collect())), self.mode).awaitTermination()
+        state.start(self.make(stream), f"{self.folder}/checkpoint", lambda df, _: got.extend(map(tuple, df.collect())), self.mode, self.expires).awaitTermination()
+        self.spark.conf.set("spark.sql.shuffle.partitions", before)
         return sorted(got, key=str)
 
 
@@ -41,7 +44,7 @@ def test_corrections_out_of_order_and_over_restarts(spark, tmp_path):
 
 @pytest.mark.parametrize("seconds", [3, 9000])
 def test_what_is_not_written_for_long_is_forgotten(spark, tmp_path, seconds):
-    source = Source(spark, str(tmp_path), FORM, lambda s: state.corrected(s, ["k"], ["n"], "at", POLICY, seconds / 86400))
+    source = Source(spark, str(tmp_path), FORM, lambda s: state.corrected(s, ["k"], ["n"], "at", POLICY, seconds / 86400), expires=True)
     source.arrive(("a", 1, day(9), 1.0, "personal-only", 1))
     time.sleep(4)
     assert source.arrive(("a", 2, day(1), 2.0, "commercial-ok", 2)) == ([("a", 2, day(1), 2.0, "commercial-ok", 2)] if seconds == 3 else [])
@@ -49,7 +52,7 @@ def test_what_is_not_written_for_long_is_forgotten(spark, tmp_path, seconds):
 
 @pytest.mark.parametrize("seconds", [3, 9000])
 def test_keys_seen_within_the_retention(spark, tmp_path, seconds):
-    source = Source(spark, str(tmp_path), "k string, v long", lambda s: state.seen_once(s, ["k"], seconds / 86400), "append")
+    source = Source(spark, str(tmp_path), "k string, v long", lambda s: state.seen_once(s, ["k"], seconds / 86400), "append", True)
     assert source.arrive(("a", 1), ("b", 1)) == [("a", 1), ("b", 1)]
     time.sleep(4)
     assert source.arrive(("a", 2), ("c", 2)) == ([("a", 2), ("c", 2)] if seconds == 3 else [("c", 2)])

@@ -24,18 +24,18 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(_SPACE))
 
 
-_DIGITS = "[0-9](?:_?[0-9]){0,199}"
-_NUMBER = rf"^[△▲()\s]*+([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?[0-9]{{1,2}})?)[△▲()\s]*+$"
+_DIGITS = "[0-9](?:_?[0-9])*+"
+_NUMBER = rf"^[△▲()\s]*+([+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?)[△▲()\s]*+$"
 
 
 def parse_numeric(c: Column) -> Column:
-    """Commas dropped; a leading triangle or bracket is minus, if it isn't a note's; dashes, notes and what isn't a number are null,
-    as are numbers of over 200 digits or with exponents of over two, which might not be finite. One pattern finds the digits, so
-    that nothing is worked out twice."""
+    """Commas dropped; a leading triangle or bracket is minus, if it isn't a note's; dashes, notes and what isn't a number are null, as is
+    one beyond a double's range. Plain numbers are cast as they are; only others go through the pattern."""
     text = strip(F.translate(c, "０１２３４５６７８９,", "0123456789"))
     minus = F.substring(text, 1, 2).rlike("^(?:[△▲]|[(](?!注))")
     value = F.replace(F.regexp_extract(text, _NUMBER, 1), F.lit("_"), F.lit("")).try_cast("double")
-    return value * F.when(minus, -1.0).otherwise(1.0)
+    number = F.when(text.rlike("^[0-9.eE+-]+$"), text.try_cast("double")).otherwise(value * F.when(minus, -1.0).otherwise(1.0))
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def round_half_even(c: Column, places: int) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.operators import keyed
+from tidewright.operators import keyed, master, store
 from tidewright.operators.buckets import BucketTable
 from tidewright.operators.textindex import TextIndex
 from tidewright.plans.base import Registry, scratch
@@ -59,3 +59,21 @@ def q129_series_at_rest(t):
     for k in (0, 1):
         table.merge(points.filter(f"event_id % 2 = {k}"), lambda old, new: keyed.merge_series(old, new, keys, [F.col("event_id")]))
     return table.read().select("user_id", F.date_format("d", "yyyy-MM-dd").alias("d"), F.coalesce("ex", F.lit("none")).alias("ex"), "value")
+
+
+@query("""SELECT coalesce(o.c_custkey, n.c_custkey) AS code, coalesce(n.c_name || ' KK', o.c_name) AS name, CASE WHEN o.c_custkey IS NOT NULL THEN 'listed' END AS status, CASE WHEN o.c_custkey IS NOT NULL THEN '2000-01-01' END AS listing_date
+    FROM (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') o FULL JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY') n ON o.c_custkey = n.c_custkey""")
+def q131_master_upsert(t):
+    """A list merged into the master, which leaves states and dates to disclosures."""
+    row = lambda df, name, status, day: df.select(F.col("c_custkey").alias("code"), name.alias("name"), F.lit(status).alias("status"), F.lit(day).alias("listing_date"), F.lit(None).cast("string").alias("delisting_date"))
+    old = row(t("customer").filter("c_mktsegment <> 'BUILDING'"), F.col("c_name"), "listed", "2000-01-01")
+    new = row(t("customer").filter("c_mktsegment <> 'MACHINERY'"), F.concat("c_name", F.lit(" KK")), "unknown", "2024-01-01")
+    return master.upsert(old, new).select("code", "name", "status", "listing_date")
+
+
+@query("""SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(o_orderkey % 3 AS INTEGER) AS rest FROM orders""")
+def q132_typed_sidecar(t):
+    """A table written beside its raw file with its own types, and read back."""
+    rows = t("orders").select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"), (F.col("o_orderkey") % 3).cast("int").alias("rest"))
+    out = rows.sparkSession.read.parquet(store.write_typed(rows, scratch(rows, "sidecar"), "orders.json"))
+    return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))

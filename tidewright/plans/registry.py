@@ -62,7 +62,7 @@ def q06_last_wins(t):
 def q07_primary_pick(t):
     rows = t("lineitem").join(t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
     order = [(F.col("s_nationkey") != 7).cast("int"), *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_extendedprice")]]
-    return keyed.pick_first(rows.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "s_nationkey", "l_shipdate", "l_extendedprice"), ["l_partkey"], order).select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
+    return keyed.least_of_each(rows.select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "s_nationkey", "l_shipdate", "l_extendedprice"), ["l_partkey"], order).select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
 
 
 _RANKED = "CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END, CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_extendedprice"

@@ -139,7 +139,8 @@ def recent_runs(stream: DataFrame, key: str, at: str, processed: str, retention_
     return stream.groupBy(key).transformWithStateInPandas(processor, schema, "Update", "None")
 
 
-def start(changes: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None], mode: str = "update") -> StreamingQuery:
-    """Run a stream with state over what is there, handing each batch of changes on with its number."""
+def start(changes: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None], mode: str = "update", expires: bool = False) -> StreamingQuery:
+    """Run a stream with state over what is there, handing each batch of changes on with its number. A stream whose state expires takes
+    all that is there as one batch: Spark gives it a batch at every trigger, so it would never be through with what is available."""
     changes.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
-    return changes.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return changes.writeStream.outputMode(mode).foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**({"once": True} if expires else {"availableNow": True})).start()
