@@ -141,9 +141,10 @@ def _drop_table(spark: SparkSession, name: str) -> None:
 
 
 def _stage_by(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
-    """Like stage(), in a table that is dealt out by a key, so that what is grouped or joined by it needs no shuffle."""
+    """Like stage(), in a table that is dealt out by a key and sorted by it, so that what is grouped or joined by it needs no shuffle, and rows
+    of one key lie together and are stored in less."""
     spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
-    df.write.format("parquet").bucketBy(buckets, key).option("path", new_path(spark, label)).saveAsTable(name)
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", new_path(spark, label)).saveAsTable(name)
     atexit.register(_drop_table, spark, name)
     del df
     release(spark)
@@ -321,7 +322,9 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
         aligned = _stage_by(align_words(words), "aligned", "h", buckets)
         drop_staged(words)
         links = aligned.select("h", "w", "n", F.inline("links"))
-        told = _with_sums(aligned.select("h", "w", "word", "groups"), links.drop("n"), stage(pair_counts(links), "pairs"), buckets)
+        pairs = stage(pair_counts(links), "pairs")
+        release(spark)
+        told = _with_sums(aligned.select("h", "w", "word", "groups"), links.drop("n"), pairs, buckets)
         answers = entries.select("h", "word", "dictionary", "number").join(told, ["h", "word"]).select("dictionary", "number", "groups", "best", "total")
         texts = read(path).filter("NOT is_entry").select("dictionary", "id", "words")
         out = texts.groupBy("dictionary").cogroup(answers.groupBy("dictionary")).applyInArrow(_added_up(schema), schema)
