@@ -23,7 +23,7 @@ def copies(tmp_path_factory):
     return path, con
 
 
-@pytest.mark.parametrize("name", ["q43_balance_points", "q44_supply_latest", "q45_series_documents", "q55_master_writes", "q56_lifecycle", "q58_issuer_codes"])
+@pytest.mark.parametrize("name", ["q43_balance_points", "q44_supply_latest", "q45_series_documents", "q55_master_writes", "q56_lifecycle", "q57_sector_changes", "q58_issuer_codes"])
 def test_long_keys(spark, copies, name):
     path, con = copies
     assert rows_of(registry.queries()[name](spark, str(path)).toPandas()) == rows_of(con.sql(registry.oracle_sql()[name]).df())
