@@ -89,9 +89,14 @@ def raw_index(df: DataFrame, scope: str | None = None, limit: int = 200) -> Data
     return page(where_equal(df, scope=scope or None), [F.desc("fetched_at"), "sha256"], limit)
 
 
-def facts(df: DataFrame, doc_id: str | None = None, code: str | None = None, element: str | None = None, text_only: bool = False, limit: int = 200, offset: int = 0) -> DataFrame:
+def facts(df: DataFrame, doc_id: str | None = None, code: str | None = None, element: str | None = None, text_only: bool = False, limit: int | None = 200, offset: int = 0) -> DataFrame:
+    """A page of facts in order. Without a limit all of them, in no order, for another search to page: a limit of millions would
+    bring them all to one task."""
     rows = like_prefix(where_equal(df, doc_id=doc_id or None, code=code or None), "element", element)
-    return page(rows.filter("is_text_block") if text_only else rows, ["doc_id", "element", "context_ref"], limit, offset)
+    rows = rows.filter("is_text_block") if text_only else rows
+    if limit is None and offset:
+        raise ValueError("an offset needs a limit")
+    return rows if limit is None else page(rows, ["doc_id", "element", "context_ref"], limit, offset)
 
 
 def search_facts(df: DataFrame, text: str, code: str | None = None, limit: int = 100) -> DataFrame:

@@ -261,7 +261,7 @@ def _served(t):
 @query("""SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_returnflag || ':' || l_linestatus || 'TextBlock' AS element FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'A' AND CAST(l_shipdate AS VARCHAR) LIKE '%1997%' ORDER BY CAST(l_orderkey AS VARCHAR), 2, concat_ws('-', l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) LIMIT 100""")
 def q86_fact_search(t):
     """Blocks of text of one kind of element that contain the words."""
-    return serving.search_facts(serving.facts(_served(t), element="A:_T", text_only=True, limit=10_000_000), "1997").select("doc_id", "element")
+    return serving.search_facts(serving.facts(_served(t), element="A:_T", text_only=True, limit=None), "1997").select("doc_id", "element")
 
 
 @query("""SELECT l_returnflag || ':' || l_linestatus || CASE WHEN l_linestatus = 'F' THEN 'TextBlock' ELSE '' END AS element, l_returnflag AS namespace, count(DISTINCT l_orderkey) AS doc_count, l_linestatus = 'F' AS is_text_block FROM lineitem WHERE l_returnflag IN ('A') GROUP BY l_returnflag, l_linestatus""")
