@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidewright.operators import serving
+from tidewright.operators import documents, serving
 
 
 def plan_of(df):
@@ -20,3 +20,17 @@ def test_fact_search_sorts_what_it_finds_alone(spark):
     from tidewright.plans import registry
 
     assert plan_of(registry.queries()["q86_fact_search"](spark, "/root/testdata/sf0.001")).count("GlobalLimit") == 1
+
+
+def test_disclosures_meet_by_digests_of_their_titles(spark):
+    columns = "doc_id long, title string, disclosed_at string, doc_type string, has_xbrl boolean, code string, source_url string, split_ratio string, split_factor double, effective_date date"
+    row = lambda k, title: (k, title, "2024-05-01T09:00:00+09:00", "x", True, None, None, None, None, None)
+    new = spark.createDataFrame([row(1, "a" * 2500), row(2, "b"), row(3, None), row(4, None), row(5, ""), row(6, "f"), row(6, "g"), row(7, "h")], columns)
+    old = spark.createDataFrame([row(1, "a" * 1990 + "…(省略)"), row(2, "B"), row(3, None), row(4, ""), row(5, None), row(6, "f")], columns)
+    found = documents.disclosures_to_write(old, new)
+    assert sorted((r.doc_id, r.title or "") for r in found.collect()) == [(2, "b"), (4, ""), (5, ""), (6, "g"), (7, "h")]
+    node = documents.disclosures_to_write(old, new).select("doc_id")._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    kinds = [(x.name(), x.dataType().typeName()) for k in (0, 1) for x in [node.children().apply(k).output().apply(i) for i in range(node.children().apply(k).output().size())]]
+    assert ("_title", "binary") in kinds and "title" not in dict(kinds)
