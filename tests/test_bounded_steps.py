@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidewright.operators import documents, serving
+from tidewright.operators import documents, facts, serving
 
 
 def plan_of(df):
@@ -34,3 +34,11 @@ def test_disclosures_meet_by_digests_of_their_titles(spark):
         node = node.children().apply(0)
     kinds = [(x.name(), x.dataType().typeName()) for k in (0, 1) for x in [node.children().apply(k).output().apply(i) for i in range(node.children().apply(k).output().size())]]
     assert ("_title", "binary") in kinds and "title" not in dict(kinds)
+
+
+def test_summaries_are_grouped_once(spark):
+    scopes = {"a": ["連結", "単体"], "b": ["単体", "単体"], "c": ["単体", ""], "d": ["単体", None], "e": [None, None], "f": ["", None]}
+    rows = [(d, "x:FiscalYearEnd", "CurrentYearDuration", "", s, "2024-03-31", k) for d, both in scopes.items() for k, s in enumerate(both)]
+    found = facts.summarize(spark.createDataFrame(rows, "doc_id string, element string, context_ref string, period_end string, consolidated string, value string, ord long"))
+    assert {r.doc_id: r.consolidated for r in found.collect()} == {"a": "連結", "b": "単体", "c": None, "d": "単体", "e": None, "f": None}
+    assert found._jdf.queryExecution().sparkPlan().toString().count("Aggregate(") == 2

@@ -99,8 +99,8 @@ def summarize(
     texts = {"_end": PERIOD_END, "_standard": STANDARD, "_kind": PERIOD_KIND}
     aggs += [pick_text(names).alias(k) for k, names in texts.items()]
     ends = F.max(F.when(context.contains("CurrentYear") & ~is_forecast(context), F.try_to_date(F.substring("period_end", 1, 10), "yyyy-MM-dd")))
-    scopes = F.count_distinct("consolidated")
-    label = F.when(F.bool_or(F.col("consolidated") == "連結"), "連結").when((scopes == 1) & F.bool_and(F.col("consolidated") == "単体"), "単体")
+    # all scopes being one says as much as a count of distinct ones, which would group and shuffle everything once more
+    label = F.when(F.bool_or(F.col("consolidated") == "連結"), "連結").when(F.bool_and(F.col("consolidated") == "単体"), "単体")
     aggs += [ends.alias("_ends"), label.alias("consolidated"), (F.lit(None).cast("string") if kind is None else kind).alias("_given")]
     wide = prepared(facts).groupBy("doc_id").agg(*aggs)
     named = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.col("_kind")]
