@@ -60,13 +60,15 @@ def _rank(candidates: list[str]) -> Column:
     return F.array_position(F.array(*[F.lit(c) for c in candidates]), F.col("_name"))
 
 
-def prepared(facts: DataFrame) -> DataFrame:
-    """Facts with what picks look at: the local name, the text, the number, the place of the scope and kinds of context, each once."""
+def prepared(facts: DataFrame, numbers: set[str], texts: set[str]) -> DataFrame:
+    """Facts with what picks look at, each once: the local name, the text and number of the elements that are picked as such, the place of
+    the scope and kinds of context."""
     scope = F.when(F.col("consolidated") == "連結", 0).when(F.col("consolidated") == "", 1).when(F.col("consolidated") == "単体", 2)
     context = F.col("context_ref")
     ahead = is_forecast(context)
+    name, value = local_name(F.col("element")), F.col("value")
     return facts.withColumns({
-        "_name": local_name(F.col("element")), "_text": strip(F.col("value")), "_number": parse_numeric(F.col("value")), "_scope": scope, "_actual": is_current(context) & ~ahead, "_next": ahead & is_next_year(context), "_other": ahead & ~is_next_year(context),
+        "_name": name, "_text": strip(F.when(name.isin(*sorted(texts)), value)), "_number": parse_numeric(F.when(name.isin(*sorted(numbers)), value)), "_scope": scope, "_actual": is_current(context) & ~ahead, "_next": ahead & is_next_year(context), "_other": ahead & ~is_next_year(context),
     })
 
 
@@ -102,7 +104,8 @@ def summarize(
     # all scopes being one says as much as a count of distinct ones, which would group and shuffle everything once more
     label = F.when(F.bool_or(F.col("consolidated") == "連結"), "連結").when(F.bool_and(F.col("consolidated") == "単体"), "単体")
     aggs += [ends.alias("_ends"), label.alias("consolidated"), (F.lit(None).cast("string") if kind is None else kind).alias("_given")]
-    wide = prepared(facts).groupBy("doc_id").agg(*aggs)
+    numbers = {x for names in [*measures.values(), *forecasts.values(), dividends] for x in names}
+    wide = prepared(facts, numbers, {x for names in texts.values() for x in names}).groupBy("doc_id").agg(*aggs)
     named = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])[F.col("_kind")]
     wide = wide.withColumns({
         "fiscal_period_end": F.coalesce(F.try_to_date(F.substring("_end", 1, 10), "yyyy-MM-dd"), "_ends"), "accounting_standard": accounting_standard(F.col("_standard")), "disclosure_type": F.coalesce("_given", named, F.lit("本決算")),
