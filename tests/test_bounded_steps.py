@@ -1,8 +1,10 @@
 """Steps whose largest task must not take in more than its share of the rows."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidewright.operators import documents, facts, serving
+from tidewright.sources import tidy
 
 
 def plan_of(df):
@@ -42,3 +44,19 @@ def test_summaries_are_grouped_once(spark):
     found = facts.summarize(spark.createDataFrame(rows, "doc_id string, element string, context_ref string, period_end string, consolidated string, value string, ord long"))
     assert {r.doc_id: r.consolidated for r in found.collect()} == {"a": "連結", "b": "単体", "c": None, "d": "単体", "e": None, "f": None}
     assert found._jdf.queryExecution().sparkPlan().toString().count("Aggregate(") == 2
+
+
+def test_batches_become_rows_in_parts(monkeypatch):
+    batch, asked = pa.RecordBatch.from_pydict({"a": list(range(450)), "b": [str(k) if k % 2 else None for k in range(450)]}), []
+    part = pa.RecordBatch.from_pydict({"a": [1], "b": ["x"]})
+
+    class Watched:
+        num_rows = batch.num_rows
+
+        def slice(self, at, rows):
+            asked.append((at, rows))
+            return batch.slice(at, rows)
+
+    assert list(tidy.rows_in_parts(Watched())) == [(k, str(k) if k % 2 else None) for k in range(450)]
+    assert asked == [(0, 200), (200, 200), (400, 200)]
+    assert list(tidy.rows_in_parts(part)) == [(1, "x")] and list(tidy.rows_in_parts(part.slice(0, 0))) == []
